@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, lengths, tokenfile
+from parcelwise.llm import bpe, decontaminate, lengths, tokenfile
 from parcelwise.llm.common import shared_folder
 
 
@@ -19,6 +20,20 @@ def op3_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.length_histogram(lengths.token_lengths(_table(spark, sf_dir, "documents")))
 
 
+def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document: how many of its words they cover, and of which items they are."""
+    found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda done, x: done + x["end"] - x["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back."""
     path = shared_folder(spark)
@@ -33,6 +48,7 @@ def op6_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_length_histogram": op3_length_histogram,
+    "op4_suffix_decontamination": op4_suffix_decontamination,
     "op5_token_files": op5_token_files,
     "op6_bpe_chunks": op6_bpe_chunks,
 }
