@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, decontaminate, lengths, tokenfile
+from parcelwise.llm import bpe, decontaminate, interpolation, lengths, tokenfile
 from parcelwise.llm.common import shared_folder
 
 
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probabilities of all documents under the interpolated model and under a unigram model."""
+    return interpolation.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact histogram of encoded lengths with its suffix sums."""
     return lengths.length_histogram(lengths.token_lengths(_table(spark, sf_dir, "documents")))
@@ -47,6 +52,7 @@ def op6_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_deleted_interpolation": op2_deleted_interpolation,
     "op3_length_histogram": op3_length_histogram,
     "op4_suffix_decontamination": op4_suffix_decontamination,
     "op5_token_files": op5_token_files,
