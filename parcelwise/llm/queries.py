@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, decontaminate, interpolation, lengths, tokenfile
+from parcelwise.llm import bpe, decontaminate, interpolation, lengths, partenum, tokenfile
 from parcelwise.llm.common import shared_folder
 
 
@@ -51,12 +51,18 @@ def op6_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(_table(spark, sf_dir, "documents"), digests=True)
 
 
+def op9_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose three-word shingle sets have a Jaccard similarity of 0.9 or more."""
+    return partenum.jaccard_join(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_deleted_interpolation": op2_deleted_interpolation,
     "op3_length_histogram": op3_length_histogram,
     "op4_suffix_decontamination": op4_suffix_decontamination,
     "op5_token_files": op5_token_files,
     "op6_bpe_chunks": op6_bpe_chunks,
+    "op9_partenum_join": op9_partenum_join,
 }
 
 #: None of these can be stated in SQL: the tests hold them against brute force.
