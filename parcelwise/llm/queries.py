@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, decontaminate, interpolation, lengths, partenum, tokenfile
+from parcelwise.llm import bpe, decontaminate, interpolation, lengths, partenum, templates, tokenfile
 from parcelwise.llm.common import shared_folder
 
 
@@ -56,6 +56,12 @@ def op9_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines whose template recurs; the text that stays as a digest."""
+    kept = templates.drop_recurring_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_deleted_interpolation": op2_deleted_interpolation,
     "op3_length_histogram": op3_length_histogram,
@@ -63,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op6_bpe_chunks": op6_bpe_chunks,
     "op9_partenum_join": op9_partenum_join,
+    "op10_line_templates": op10_line_templates,
 }
 
 #: None of these can be stated in SQL: the tests hold them against brute force.
