@@ -14,7 +14,8 @@ reaches the driver.
 
 Defined results: a null or empty text is one end token; repeated rows count each time; null ids train; without any
 training text every estimate falls back to the uniform share; an empty table gives no rows; other columns are ignored.
-Two different words or pairs share a count if their 64-bit hashes collide (about one in 10^5 for 10^7 distinct pairs).
+Two different words (64-bit hashes) or pairs (56 bits) share a count if their hashes collide: for 10^8 distinct pairs
+that is expected 0.07 times in all.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from parcelwise.llm.common import blocks, fold, frozen, hashes, mixed, starts, s
 FOLDS, TEST_FOLD, HELD_FOLD = 5, 1, 0
 #: Fixed hashes of the two marks that are not words.
 END_HASH, START_HASH = np.uint64(0x5BD1E995C3B2AE35), np.uint64(0x27D4EB2F165667C5)
+#: Pairs are told apart by the upper 56 bits of their hash, which makes requests a fifth smaller.
+PAIR_BITS = np.uint64(0xFFFFFFFFFFFFFF00)
 #: Tokens for each reducer, which sets how many ranges of hashes there are.
 TOKENS_A_RANGE = 2_000_000
 #: Steps of the learning histogram in one power of two, and the number of context buckets.
@@ -98,7 +101,7 @@ class Block:
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Order of the tokens by the hash of their pair, and where each distinct pair begins in it."""
-        key = mixed(self.hashes[self.before] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[self.now])
+        key = mixed(self.hashes[self.before] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[self.now]) & PAIR_BITS
         order = np.argsort(key)
         key = key[order]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
@@ -129,7 +132,7 @@ def requests(rows: DataFrame, bits: int) -> DataFrame:
                     cut = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
                     for r in np.flatnonzero(np.diff(cut)).tolist():
                         part = slice(cut[r], cut[r + 1])
-                        out.append((kind, r, row["block"], packed(np.diff(keys[part], prepend=np.uint64(0))), packed(train[part]), packed(held[part])))
+                        out.append((kind, r, row["block"], packed(np.diff(keys[part] >> np.uint64(8 * kind), prepend=np.uint64(0))), packed(train[part]), packed(held[part])))
                 columns = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["kind", "range", "block", "keys", "train", "held"])
 
@@ -145,7 +148,7 @@ def answered(asked: DataFrame) -> DataFrame:
     def add_up(key: tuple, group: pa.Table) -> pa.Table:
         kind, part = key[0].as_py(), key[1].as_py()
         blocks_of = group.column("block").to_pylist()
-        runs = [np.cumsum(unpacked(x), dtype=np.uint64) for x in group.column("keys").to_pylist()]
+        runs = [np.cumsum(unpacked(x), dtype=np.uint64) for x in group.column("keys").to_pylist()]  # pairs without their low byte
         train = np.concatenate([unpacked(x) for x in group.column("train").to_pylist()]).astype(np.int64)
         held = np.concatenate([unpacked(x) for x in group.column("held").to_pylist()]).astype(np.int64)
         keys = np.concatenate(runs)
@@ -171,22 +174,21 @@ def counted(rows: DataFrame, answers: DataFrame) -> DataFrame:
     """Every block with the counts of its tokens beside them; block -1 with the sums of all ranges."""
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ("block", "ids", "folds", "n_tokens", "word", "context", "pair", "held_word", "held_context", "held_pair", "vocabulary", "tokens")
-        kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), *[pa.binary()] * 6, pa.int64(), pa.int64())
+        names = ("block", "ids", "folds", "n_tokens", "word", "pair", "held_word", "held_pair", "vocabulary", "tokens")
+        kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), *[pa.binary()] * 4, pa.int64(), pa.int64())
         got = {k: [] for k in (0, 1)}
         for x in sorted(zip(*(right.column(c).to_pylist() for c in ("kind", "range", "train", "held")), strict=True), key=lambda x: x[:2]):
             got[x[0]].append((unpacked(x[2]).astype(np.int64), unpacked(x[3]).astype(np.int64)))
         if not left.num_rows:
-            values = [-1, [], [], [], *[b""] * 6, int(sum(a[0] for a, _ in got[0])), int(sum(b[0] for _, b in got[0]))]
+            values = [-1, [], [], [], *[b""] * 4, int(sum(a[0] for a, _ in got[0])), int(sum(b[0] for _, b in got[0]))]
         else:
             row = left.to_pylist()[0]
             block = Block(row)
             order = block.word_order()
             by_word = []
             for i in (0, 1):
-                counts = np.zeros(block.end + 2, np.int64)
+                counts = np.zeros(block.end + 1, np.int64)
                 counts[order] = np.concatenate([x[i] for x in got[0]])
-                counts[block.start] = counts[block.end]  # as many texts begin as end
                 by_word.append(counts)
             order, first = block.pairs()
             by_pair = []
@@ -195,13 +197,10 @@ def counted(rows: DataFrame, answers: DataFrame) -> DataFrame:
                 counts[order] = np.repeat(np.concatenate([x[i] for x in got[1]]), np.diff(np.append(first, len(order))))
                 by_pair.append(counts)
             held = block.held
-            values = [
-                row["block"], row["ids"], row["folds"], block.n_tokens.tolist(), packed(by_word[0][block.now]), packed(by_word[0][block.before]), packed(by_pair[0]),
-                packed(by_word[1][block.now[held]]), packed(by_word[1][block.before[held]]), packed(by_pair[1][held]), 0, 0,
-            ]
+            values = [row["block"], row["ids"], row["folds"], block.n_tokens.tolist(), packed(by_word[0][block.now]), packed(by_pair[0]), packed(by_word[1][block.now[held]]), packed(by_pair[1][held]), 0, 0]
         return pa.table({n: pa.array([v], t) for n, v, t in zip(names, values, kinds, strict=True)})
 
-    schema = "block long, ids array<long>, folds array<int>, n_tokens array<long>, word binary, context binary, pair binary, held_word binary, held_context binary, held_pair binary, vocabulary long, tokens long"
+    schema = "block long, ids array<long>, folds array<int>, n_tokens array<long>, word binary, pair binary, held_word binary, held_pair binary, vocabulary long, tokens long"
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join, schema)
 
 
@@ -210,6 +209,15 @@ def bucket_of(context: np.ndarray) -> np.ndarray:
     return np.where(context > 0, np.floor(np.log2(np.maximum(context, 1))).astype(np.int64) + 1, 0)
 
 
+def contexts(word: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Counts of what stands before each token, from the tokens' own counts and the texts' offsets: the word before,
+    or for the first the start mark, of which there are as many as ends (each text's last token)."""
+    out = np.empty_like(word)
+    out[1:] = word[:-1]
+    out[at[:-1]] = word[at[1:] - 1]
+    return out
+
+
 def held_histogram(table: DataFrame, vocabulary: int, tokens: int) -> DataFrame:
     """(bucket, pair_step, word_step, n): held-out tokens by context bucket and by how far each estimate, from the
     counts without the held-out documents, lies above the uniform share, in quarter powers of two (null: it is 0)."""
@@ -217,12 +225,12 @@ def held_histogram(table: DataFrame, vocabulary: int, tokens: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                held = np.repeat(np.array(row["folds"], np.int64) == HELD_FOLD, np.array(row["n_tokens"], np.int64))
+                docs_held, n = np.array(row["folds"], np.int64) == HELD_FOLD, np.array(row["n_tokens"], np.int64)
+                held = np.repeat(docs_held, n)
                 if not held.any():
                     continue
-                word, context, pair = (
-                    unpacked(row[c]).astype(np.int64)[held] - unpacked(row[f"held_{c}"]).astype(np.int64) for c in ("word", "context", "pair")
-                )
+                word, pair = (unpacked(row[c]).astype(np.int64)[held] - unpacked(row[f"held_{c}"]).astype(np.int64) for c in ("word", "pair"))
+                context = contexts(word, starts(n[docs_held]))
                 with np.errstate(divide="ignore", invalid="ignore"):
                     above = [np.log2(pair / context * (vocabulary + 1)), np.log2(word / max(tokens, 1) * (vocabulary + 1))]
                 steps = [np.where((c > 0) & np.isfinite(a), np.rint(np.nan_to_num(a, neginf=0, posinf=0) * STEPS) + 1000, 0).astype(np.int64) for a, c in zip(above, (pair, word), strict=True)]
@@ -270,7 +278,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                word, context, pair = (unpacked(row[c]).astype(np.float64) for c in ("word", "context", "pair"))
+                word, pair = (unpacked(row[c]).astype(np.float64) for c in ("word", "pair"))
+                context = contexts(word, starts(np.array(row["n_tokens"], np.int64)))
                 mix = weights[bucket_of(context)]
                 chance = mix[:, 0] * pair / np.maximum(context, 1)
                 if trained:
