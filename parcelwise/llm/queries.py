@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, decontaminate, interpolation, lengths, partenum, templates, tokenfile
+from parcelwise.llm import bpe, decontaminate, interpolation, lengths, partenum, quality, templates, tokenfile, toxicity
 from parcelwise.llm.common import shared_folder
 
 
@@ -15,6 +15,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from its text, its source and its language there."""
+    judged = quality.judge_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "source", "lang", "evidence", "host_share", "path_share", "quality_score", "keep")
+
+
 def op2_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probabilities of all documents under the interpolated model and under a unigram model."""
     return interpolation.score_documents(_table(spark, sf_dir, "documents"))
@@ -51,6 +57,11 @@ def op6_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(_table(spark, sf_dir, "documents"), digests=True)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by compression distance."""
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose three-word shingle sets have a Jaccard similarity of 0.9 or more."""
     return partenum.jaccard_join(_table(spark, sf_dir, "documents"))
@@ -63,11 +74,13 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_deleted_interpolation": op2_deleted_interpolation,
     "op3_length_histogram": op3_length_histogram,
     "op4_suffix_decontamination": op4_suffix_decontamination,
     "op5_token_files": op5_token_files,
     "op6_bpe_chunks": op6_bpe_chunks,
+    "op7_toxicity": op7_toxicity,
     "op9_partenum_join": op9_partenum_join,
     "op10_line_templates": op10_line_templates,
 }

@@ -24,6 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelwise.llm.common import blocks, frozen, hashes, mixed, starts, strings, words
 
@@ -172,5 +173,5 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([*columns, pa.array(per_text), pa.array(dropped)], [*docs_columns, "n_lines", "n_dropped"])
 
     docs_columns = docs.columns
-    schema = docs.schema.add("n_lines", "long").add("n_dropped", "long")
+    schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     return joined.mapInArrow(run, schema)
