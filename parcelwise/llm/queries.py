@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, decontaminate, interpolation, lengths, partenum, quality, templates, tokenfile, toxicity
+from parcelwise.llm import bpe, decontaminate, interpolation, lengths, multiindex, partenum, quality, templates, tokenfile, toxicity
 from parcelwise.llm.common import shared_folder
 
 
@@ -62,6 +62,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every twentieth vector."""
+    return multiindex.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op9_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose three-word shingle sets have a Jaccard similarity of 0.9 or more."""
     return partenum.jaccard_join(_table(spark, sf_dir, "documents"))
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op6_bpe_chunks": op6_bpe_chunks,
     "op7_toxicity": op7_toxicity,
+    "op8_inverted_multi_index": op8_inverted_multi_index,
     "op9_partenum_join": op9_partenum_join,
     "op10_line_templates": op10_line_templates,
 }
