@@ -1,4 +1,534 @@
-"""Registered queries over the listing view and their DuckDB twins."""
+"""Registered queries over the listing view of the standard tables, each with its DuckDB twin.
 
-QUERIES = {}
-ORACLE_SQL = {}
+The tables hold no listings, so a view derives them: a line item is a listing, its part gives title and category, its
+customer's nation and segment are city and district, and some rows are made dirty by rules on the order key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from parcelwise.functions.columns import half_up
+from parcelwise.operators import analytics, changes, cleaning, market, warehouse
+from parcelwise.sources import readers
+from parcelwise.sources.store import as_strings, merge_upsert
+
+AS_OF = "2002-01-01 00:00:00"
+#: Stand-ins in the language of the tables for the rules of :mod:`parcelwise.functions.rules`.
+KEYWORDS = {"Cold goods": ["cold", "hot"], "Rings": ["ring"], "Widgets": ["widget", "gizmo"], "Bolts": ["bolt"], "Promoted": ["promo"]}
+GROUPS = {"Commercial": ["promo", "economy"], "Land": ["ring", "rod"], "Residential": ["widget", "goods"]}
+SEGMENTS = {"Building": ["BUILDING"], "Automobile": ["AUTOMOBILE"], "Furniture": ["FURNITURE"], "Household": ["HOUSEHOLD"]}
+REGIONS = {"NATION_1": "North", "NATION_2": "North", "NATION_7": "South"}
+LISTING_TIERS = [("source_category", "promo|economy", "BAN", 0.95), ("title", "widget|cold", "CHO_THUE", 0.80), ("title", "rod", "SANG_NHUONG", 0.85)]
+PROPERTY_TIERS = [("both", r"ring|promo rod", "Rings", 0.90), ("both", r"\bbolt\b", "Bolts", 0.85), ("both", "widget|economy", "Widgets", 0.80)]
+FLAGS = {"has_cold": r"\bcold\b", "has_ring": "ring"}
+CDC_FIELDS = ["property_id", "title", "city", "district", "price_text"]
+
+
+def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def _as_of() -> Column:
+    return F.lit(AS_OF).cast("timestamp")
+
+
+def raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings as text, with dirt. Small tables are joined without hints: Spark broadcasts them while they are small."""
+    k = F.col("l_orderkey")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    rows = _t(spark, sf, "lineitem").join(_t(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = rows.join(_t(spark, sf, "orders"), k == F.col("o_orderkey")).join(_t(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    rows = rows.join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return rows.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("property_id"), F.col("p_name").alias("title"), F.col("p_type").alias("source_category"),
+        F.when(k % 7 == 1, F.concat(F.lit("  "), F.lower("n_name"), F.lit(" "))).otherwise(F.col("n_name")).alias("city"),
+        F.when(k % 97 == 0, "").otherwise(F.col("c_mktsegment")).alias("district"), F.col("r_name").alias("region"),
+        F.when(k % 89 == 0, "n/a").when(k % 83 == 0, (cents * -1500).cast("string")).otherwise((cents * 1500).cast("string")).alias("price"),
+        F.round(F.col("l_quantity") * 4).cast("long").cast("string").alias("area_sqm"), (F.col("l_linenumber") - 1).cast("string").alias("bedrooms"),
+        F.date_format("l_shipdate", "yyyy-MM-dd'T00:00:00Z'").alias("posted_at"), k.alias("orderkey"),
+    )
+
+
+RAW = """raw AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS property_id, p_name AS title, p_type AS source_category,
+  CASE WHEN l_orderkey % 7 = 1 THEN '  ' || lower(n_name) || ' ' ELSE n_name END AS city, CASE WHEN l_orderkey % 97 = 0 THEN '' ELSE c_mktsegment END AS district, r_name AS region,
+  CASE WHEN l_orderkey % 89 = 0 THEN 'n/a' WHEN l_orderkey % 83 = 0 THEN CAST(CAST(round(l_extendedprice * 100) AS BIGINT) * -1500 AS VARCHAR) ELSE CAST(CAST(round(l_extendedprice * 100) AS BIGINT) * 1500 AS VARCHAR) END AS price,
+  CAST(CAST(round(l_quantity * 4) AS BIGINT) AS VARCHAR) AS area_sqm, CAST(l_linenumber - 1 AS VARCHAR) AS bedrooms, strftime(l_shipdate, '%Y-%m-%dT00:00:00Z') AS posted_at, l_orderkey AS orderkey
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+TAGGED = """tagged AS (SELECT *, CASE WHEN trim(district) = '' THEN 'missing_required_fields' WHEN TRY_CAST(price AS DOUBLE) IS NULL THEN 'type_cast_failed' WHEN TRY_CAST(price AS DOUBLE) <= 0 THEN 'numeric_constraint_failed' END AS dq_reason FROM raw)"""
+
+
+def tagged(spark: SparkSession, sf: str) -> DataFrame:
+    return cleaning.with_reason(raw(spark, sf))
+
+
+def _cities(spark: SparkSession, sf: str) -> DataFrame:
+    return _t(spark, sf, "nation").select(F.lower("n_name").alias("alias"), F.col("n_name").alias("standard"))
+
+
+def _standard(df: DataFrame, spark: SparkSession, sf: str, machinery: bool = True) -> DataFrame:
+    segments = SEGMENTS | ({"Machinery": ["MACHINERY"]} if machinery else {})
+    return cleaning.standardize(df, {"city": _cities(spark, sf), "district": segments})
+
+
+def typed(df: DataFrame) -> DataFrame:
+    return df.withColumns({"price": F.col("price").try_cast("double"), "area_sqm": F.col("area_sqm").try_cast("double"), "bedrooms": F.col("bedrooms").try_cast("int")})
+
+
+def clean(spark: SparkSession, sf: str) -> DataFrame:
+    """Valid listings, standardised and typed; several rows may share an id."""
+    return typed(_standard(tagged(spark, sf).filter("dq_reason is null").drop("dq_reason"), spark, sf)).drop("mapping_status")
+
+
+def latest(spark: SparkSession, sf: str) -> DataFrame:
+    return cleaning.dedupe_latest(clean(spark, sf))
+
+
+CLEAN = RAW + ",\n" + TAGGED + """,
+clean AS (SELECT property_id, title, source_category, upper(trim(city)) AS city, upper(district[1:1]) || lower(district[2:]) AS district, region, CAST(price AS DOUBLE) AS price, CAST(area_sqm AS DOUBLE) AS area_sqm, CAST(bedrooms AS INTEGER) AS bedrooms, posted_at, orderkey FROM tagged WHERE dq_reason IS NULL)"""
+ORDER = "posted_at DESC NULLS LAST, property_id, title, source_category, city, district, region, price, area_sqm, bedrooms, posted_at, orderkey"
+LATEST = CLEAN + f""",
+latest AS (SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY property_id ORDER BY {ORDER}) AS rn FROM clean) WHERE rn = 1)"""
+
+
+def _r(x: str, d: int) -> str:
+    f = float(10**d)
+    return f"(CAST(floor({x} * CAST({f} AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS DOUBLE) / CAST({f} AS DOUBLE))"
+
+
+def silver(spark: SparkSession, sf: str) -> DataFrame:
+    return market.to_silver(latest(spark, sf), _as_of(), half_up)
+
+
+SILVER = LATEST + f""",
+silver AS (SELECT *, {_r("price / CAST(1e9 AS DOUBLE)", 3)} AS price_billion_vnd, {_r("price / area_sqm", 2)} AS price_per_sqm,
+  CASE WHEN price < 4000000000 THEN 'affordable' WHEN price < 8000000000 THEN 'mid' WHEN price < 12000000000 THEN 'upper_mid' ELSE 'luxury' END AS price_segment,
+  CASE WHEN area_sqm < 50 THEN 'compact' WHEN area_sqm < 90 THEN 'standard' WHEN area_sqm < 130 THEN 'spacious' ELSE 'villa_like' END AS area_segment,
+  posted_at[1:10] AS posted_date, greatest(0, date_diff('day', CAST(posted_at[1:10] AS DATE), DATE '2002-01-01')) AS listing_age_days, '2002-01-01T00:00:00' AS ingested_at FROM latest)"""
+
+
+def gold(spark: SparkSession, sf: str) -> DataFrame:
+    return market.to_gold(silver(spark, sf), _as_of(), half_up, accuracy=1_000_000)
+
+
+GOLD_OF = lambda source, at="2002-01-01T00:00:00": f"""SELECT city, district, count(*) AS listing_count, {_r("(sum(price) / count(*))", 2)} AS avg_price, {_r("(sum(area_sqm) / count(*))", 2)} AS avg_area_sqm,
+  {_r("(CAST(sum(CAST(price_per_sqm AS DECIMAL(18,2))) AS DOUBLE) / count(*))", 2)} AS avg_price_per_sqm, {_r("quantile_disc(price, 0.5)", 2)} AS median_price, {_r("quantile_disc(price, 0.9)", 2)} AS p90_price,
+  {_r("quantile_disc(price_per_sqm, 0.9)", 2)} AS p90_price_per_sqm, max(price) AS max_price, min(price) AS min_price, {_r("(CAST(sum(listing_age_days) AS DOUBLE) / count(*))", 2)} AS avg_listing_age_days,
+  {_r("(CAST(count(*) FILTER (price_segment = 'luxury') AS DOUBLE) / count(*))", 4)} AS luxury_listing_ratio, '{at}' AS snapshot_at FROM {source} GROUP BY city, district"""
+GOLD = SILVER + ",\ngold AS (" + GOLD_OF("silver") + ")"
+
+
+def classified(spark: SparkSession, sf: str) -> DataFrame:
+    return cleaning.classify_by_keywords(latest(spark, sf), KEYWORDS, unknown="Unknown", other="SMALL")
+
+
+def _keywords(column: str) -> str:
+    arms = " ".join(f"WHEN regexp_matches(lower({column}), '{'|'.join(w)}') THEN '{n}'" for n, w in reversed(KEYWORDS.items()))
+    return f"CASE {arms} END"
+
+
+CLASSIFIED = LATEST + f""",
+classified AS (SELECT *, coalesce({_keywords("title")}, {_keywords("source_category")}, CASE WHEN source_category NOT IN ('SMALL', '') THEN source_category END, 'Unknown') AS property_type,
+  CASE WHEN {_keywords("title")} IS NOT NULL THEN 'Regex (Title)' WHEN {_keywords("source_category")} IS NOT NULL THEN 'Regex (Category)' ELSE 'Chờ ML dự đoán' END AS mapping_source FROM latest)"""
+
+
+def labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver with property and listing types."""
+    rows = market.to_silver(classified(spark, sf), _as_of(), half_up)
+    return market.weak_label(rows, LISTING_TIERS, "listing_type", "listing_confidence", ("UNKNOWN", 0.30))
+
+
+LISTING = "CASE WHEN regexp_matches(lower(source_category), 'promo|economy') THEN 'BAN' WHEN regexp_matches(lower(title), 'widget|cold') THEN 'CHO_THUE' WHEN regexp_matches(lower(title), 'rod') THEN 'SANG_NHUONG' ELSE 'UNKNOWN' END"
+SURE = "CASE WHEN regexp_matches(lower(source_category), 'promo|economy') THEN 0.95 WHEN regexp_matches(lower(title), 'widget|cold') THEN 0.80 WHEN regexp_matches(lower(title), 'rod') THEN 0.85 ELSE 0.30 END"
+BOTH = "(lower(source_category) || ' ' || lower(title))"
+PROPERTY = rf"CASE WHEN regexp_matches({BOTH}, 'ring|promo rod') THEN 'Rings' WHEN regexp_matches({BOTH}, '\bbolt\b') THEN 'Bolts' WHEN regexp_matches({BOTH}, 'widget|economy') THEN 'Widgets' ELSE 'UNMAPPED' END"
+PROPERTY_SURE = rf"CASE WHEN regexp_matches({BOTH}, 'ring|promo rod') THEN 0.90 WHEN regexp_matches({BOTH}, '\bbolt\b') THEN 0.85 WHEN regexp_matches({BOTH}, 'widget|economy') THEN 0.80 ELSE 0.0 END"
+
+
+def star_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    rows = labelled(spark, sf)
+    location, kinds = warehouse.dim_location(rows, REGIONS), warehouse.dim_property_type(rows, GROUPS)
+    fact = warehouse.fact_listing(rows, location, kinds, warehouse.dim_price_segment(spark), warehouse.dim_area_segment(spark), _as_of())
+    return rows, location, kinds, fact
+
+
+LOCATION = """location AS (SELECT row_number() OVER (ORDER BY city, district) AS location_key, city, district, city AS city_normalized, district AS district_normalized,
+  CASE city WHEN 'NATION_1' THEN 'North' WHEN 'NATION_2' THEN 'North' WHEN 'NATION_7' THEN 'South' ELSE 'OTHER' END AS region_code FROM (SELECT DISTINCT city, district FROM classified))"""
+KINDS = """kinds AS (SELECT row_number() OVER (ORDER BY property_type) AS property_type_key, property_type AS property_type_name,
+  CASE WHEN regexp_matches(lower(property_type), 'promo|economy') THEN 'Commercial' WHEN regexp_matches(lower(property_type), 'ring|rod') THEN 'Land' WHEN regexp_matches(lower(property_type), 'widget|goods') THEN 'Residential' ELSE 'Unknown' END AS property_type_group, mapping_source
+  FROM (SELECT property_type, mapping_source, row_number() OVER (PARTITION BY property_type ORDER BY n DESC, mapping_source) AS rn FROM (SELECT property_type, mapping_source, count(*) AS n FROM classified GROUP BY ALL)) WHERE rn = 1)"""
+FACT = SILVER + ",\n" + CLASSIFIED.removeprefix(LATEST + ",\n") + ",\n" + LOCATION + ",\n" + KINDS + f""",
+fact AS (SELECT s.property_id, location_key, property_type_key, CASE price_segment WHEN 'affordable' THEN 1 WHEN 'mid' THEN 2 WHEN 'upper_mid' THEN 3 ELSE 4 END AS price_segment_key,
+  CASE area_segment WHEN 'compact' THEN 1 WHEN 'standard' THEN 2 WHEN 'spacious' THEN 3 ELSE 4 END AS area_segment_key, CAST(strftime(CAST(posted_date AS DATE), '%Y%m%d') AS INTEGER) AS posted_time_key, 20020101 AS ingested_time_key,
+  s.title, CAST(s.price AS DECIMAL(15,2)) AS price_vnd, CAST(s.area_sqm AS DECIMAL(8,2)) AS area_sqm, s.bedrooms, listing_age_days, region_code, s.city, s.district, c.property_type, {LISTING.replace("source_category", "s.source_category").replace("title", "s.title")} AS listing_type
+  FROM silver s JOIN classified c USING (property_id) JOIN location l ON l.city = s.city AND l.district = s.district JOIN kinds ON property_type_name = c.property_type)"""
+DAYS = "days AS (SELECT CAST(d AS DATE) AS full_date FROM generate_series((SELECT CAST(min(l_shipdate) AS DATE) FROM lineitem)::TIMESTAMP, (SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem)::TIMESTAMP, INTERVAL 1 DAY) t(d))"
+
+
+def calendar(spark: SparkSession, sf: str) -> DataFrame:
+    """The calendar over the days that the table spans."""
+    first = _t(spark, sf, "lineitem").agg(F.min(F.to_date("l_shipdate")).cast("string").alias("a"), F.max(F.to_date("l_shipdate")).cast("string").alias("b")).first()
+    return warehouse.dim_time(spark, first["a"], first["b"])
+
+
+# --- queries -----------------------------------------------------------------------------------------------------
+
+
+def raw_normalize(spark, sf):
+    at = F.unix_timestamp(F.to_timestamp("posted_at"))
+    rows = raw(spark, sf).select(
+        F.col("property_id").alias("list_id"), F.concat(F.lit(" "), "title", F.lit(" ")).alias("subject"), F.col("city").alias("region_name"), F.col("district").alias("area_name"), "price",
+        F.when(F.col("orderkey") % 2 == 0, at * 1000).otherwise(at).cast("string").alias("list_time"), F.col("area_sqm").alias("size"), F.when(F.col("orderkey") % 5 == 0, "x").otherwise(F.col("bedrooms")).alias("rooms"), F.col("source_category").alias("category_name"),
+    )
+    return readers.from_fields(rows)
+
+
+def validate_split(spark, sf):
+    return tagged(spark, sf).select("property_id", "posted_at", "price", "area_sqm", "dq_reason")
+
+
+def dq_samples(spark, sf):
+    return cleaning.invalid_samples(tagged(spark, sf), ["property_id", "posted_at", "price", "area_sqm", "title"]).select("property_id", "posted_at", "price", "area_sqm", "title", "dq_reason")
+
+
+def _cdc(spark, sf):
+    text = F.col("price").cast("decimal(18,2)").cast("string")
+    rows = latest(spark, sf).withColumn("price_text", text)
+    state = changes.detect_changes(rows.filter("orderkey % 13 != 0"), spark.createDataFrame([], "property_id string, fingerprint string"), "property_id", CDC_FIELDS, "posted_at").select("property_id", "fingerprint")
+    second = rows.withColumn("price_text", F.when(F.col("orderkey") % 10 == 0, (F.col("price") + 1).cast("decimal(18,2)").cast("string")).otherwise(text))
+    return changes.detect_changes(second, state, "property_id", CDC_FIELDS, "posted_at"), state
+
+
+def cdc_changes(spark, sf):
+    return _cdc(spark, sf)[0].select("property_id", "fingerprint", "status")
+
+
+CDC = LATEST + """,
+second AS (SELECT *, CAST(CAST(price + CASE WHEN orderkey % 10 = 0 THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS VARCHAR) AS price_text, CAST(CAST(price AS DECIMAL(18,2)) AS VARCHAR) AS old_text FROM latest),
+marked AS (SELECT property_id, posted_at, md5(concat_ws('|', property_id, title, city, district, price_text)) AS fingerprint,
+  CASE WHEN orderkey % 13 = 0 THEN 'NEW' WHEN md5(concat_ws('|', property_id, title, city, district, price_text)) <> md5(concat_ws('|', property_id, title, city, district, old_text)) THEN 'UPDATED' ELSE 'UNCHANGED' END AS status FROM second)"""
+
+
+def cdc_next_state(spark, sf):
+    marked, state = _cdc(spark, sf)
+    return changes.next_state(marked, state, "property_id", "posted_at")
+
+
+def cdc_in_batch_sequence(spark, sf):
+    rows = clean(spark, sf).select("property_id", "title", F.col("price").cast("decimal(18,2)").cast("string").alias("price_text"), "posted_at")
+    empty = spark.createDataFrame([], "property_id string, fingerprint string")
+    return changes.detect_changes(rows, empty, "property_id", ["property_id", "title", "price_text"], "posted_at").select("property_id", "posted_at", "price_text", "status")
+
+
+def standardize_mapped(spark, sf):
+    return _standard(raw(spark, sf), spark, sf, machinery=False).select("property_id", "posted_at", "price", "city", "district", "mapping_status")
+
+
+STANDARD = RAW + """,
+standard AS (SELECT property_id, posted_at, price, upper(trim(city)) AS city, CASE WHEN district IN ('', 'MACHINERY') THEN district ELSE upper(district[1:1]) || lower(district[2:]) END AS district,
+  CASE WHEN district IN ('', 'MACHINERY') THEN 'UNMAPPED' ELSE 'MAPPED' END AS mapping_status, orderkey FROM raw)"""
+
+
+def quarantine_reprocess(spark, sf):
+    """Half of the rows are cleaned with old rules; what they leave is cleaned again with the other half and new rules."""
+    rows = raw(spark, sf)
+    _, left = cleaning.reprocess_quarantine(rows.filter("orderkey % 2 = 0"), None, lambda d: _standard(d, spark, sf, machinery=False))
+    mapped, unmapped = cleaning.reprocess_quarantine(rows.filter("orderkey % 2 = 1"), left, lambda d: _standard(d, spark, sf))
+    return mapped.unionByName(unmapped).groupBy("district", "mapping_status").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("orderkey") % 2 == 0).alias("n_released"))
+
+
+def unknown_worklist(spark, sf):
+    return analytics.unknown_worklist(labelled(spark, sf), "title", 10)
+
+
+def near_duplicate_drop(spark, sf):
+    docs = _t(spark, sf, "documents").select("doc_id", F.substring("text", 1, 80).alias("title"), F.col("n_chars").alias("price"))
+    return cleaning.drop_near_duplicates(docs, "title", "price", "doc_id").select("doc_id", "price")
+
+
+def silver_upsert(spark, sf):
+    """Old Silver (without some orders) and a batch with changed prices, merged on the id; old titles are kept."""
+    rows = latest(spark, sf).select("property_id", "title", "price", "orderkey")
+    old = rows.filter("orderkey % 13 != 0")
+    new = rows.filter("orderkey % 5 = 0").withColumns({"price": F.col("price") + 1, "title": F.lit("changed")})
+    return merge_upsert(old, new, ["property_id"], keep=["title"])
+
+
+def gold_history_merge(spark, sf):
+    """Yesterday's snapshot and today's; today's is recomputed for some places, which replaces their rows of today only."""
+    rows = silver(spark, sf)
+    pick = ("city", "district", "listing_count", "avg_price", "snapshot_date")
+    day = lambda df, at: market.to_gold(df, F.lit(at).cast("timestamp"), half_up).withColumn("snapshot_date", F.substring("snapshot_at", 1, 10)).select(*pick)
+    history = day(rows, "2001-12-31 00:00:00").unionByName(day(rows, AS_OF))
+    again = day(rows.filter("orderkey % 2 = 0 and district = 'Building'"), AS_OF)
+    return merge_upsert(history, again, ["city", "district", "snapshot_date"])
+
+
+def touched_gold(spark, sf):
+    rows = silver(spark, sf)
+    return market.touched_gold(rows, rows.filter("orderkey % 1000 = 3"), _as_of(), rounder=half_up, accuracy=1_000_000)
+
+
+def bronze_strings(spark, sf):
+    return as_strings(latest(spark, sf).select("property_id", "title", "city", "bedrooms", "orderkey", "posted_at")).withColumn("ingest_date", F.lit("2002-01-01"))
+
+
+def dim_price_segment_scd2(spark, sf):
+    """Luxury begins at the highest price quartile of the data from a given day on; the other bands stay."""
+    seeds = warehouse.dim_price_segment(spark)
+    floor = latest(spark, sf).agg(F.percentile("price", 0.75).alias("q"))
+    new = seeds.crossJoin(F.broadcast(floor)).select("segment_name", F.when(F.col("segment_name") == "luxury", F.floor("q")).otherwise(F.col("price_floor")).cast("decimal(15,2)").alias("price_floor"), "price_ceiling", "label")  # one row
+    return warehouse.scd2_apply(seeds, new, "segment_name", ["price_floor", "price_ceiling"], F.lit("2026-01-01").cast("date"), "price_segment_key").select("price_segment_key", "segment_name", "price_floor", "valid_from", "valid_to", "is_current")
+
+
+def dim_area_segment(spark, sf):
+    counts = silver(spark, sf).groupBy("area_segment").agg(F.count(F.lit(1)).alias("n"))
+    return warehouse.dim_area_segment(spark).join(counts, F.col("segment_name") == F.col("area_segment")).select("area_segment_key", "segment_name", "area_floor", "area_ceiling", "n")
+
+
+def fact_listing(spark, sf):
+    return star_tables(spark, sf)[3].select("property_id", "location_key", "property_type_key", "price_segment_key", "area_segment_key", "posted_time_key", "ingested_time_key", "title", "price_vnd", "area_sqm", "bedrooms", "listing_age_days")
+
+
+def fact_market_snapshot(spark, sf):
+    places = warehouse.dim_location(latest(spark, sf), REGIONS)
+    facts = warehouse.fact_market_snapshot(gold(spark, sf), places)
+    return facts.select("location_key", "snapshot_time_key", "listing_count", "avg_price", "median_price", "max_price", "avg_listing_age_days", "luxury_listing_ratio")
+
+
+def range_join_bands(spark, sf):
+    bands = warehouse.half_open(warehouse.dim_price_segment(spark).drop("valid_from", "valid_to"), "price_floor", "price_ceiling")
+    joined = warehouse.range_join(latest(spark, sf), bands, "price", "price_floor", "price_ceiling", ["segment_name"])
+    return joined.groupBy("segment_name").agg(F.count(F.lit(1)).alias("n"), F.min("price").alias("lowest"), F.max("price").alias("highest"))
+
+
+def range_join_buckets(spark, sf):
+    """Orders fall into many bands of 1000, given by the customers' balances; joined by bucket."""
+    bands = _t(spark, sf, "customer").filter("c_acctbal >= 0").select(F.floor(F.col("c_acctbal") / 10).alias("b")).distinct().select((F.col("b") * 10).cast("double").alias("low"), (F.col("b") * 10 + 10).cast("double").alias("high"))
+    values = _t(spark, sf, "lineitem").select("l_orderkey", (F.col("l_extendedprice") / 10).alias("v"))
+    joined = warehouse.range_join(values, bands.withColumn("band", F.col("low")), "v", "low", "high", ["band"], steps=100)
+    return joined.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+
+
+def scd2_point_in_time(spark, sf):
+    old = warehouse.half_open(warehouse.dim_price_segment(spark).drop("valid_from", "valid_to"), "price_floor", "price_ceiling").select("segment_name", "price_floor", "price_ceiling", F.lit("1990-01-01").cast("date").alias("valid_from"), F.lit("1997-12-31").cast("date").alias("valid_to"))
+    new = old.select("segment_name", (F.col("price_floor") * 2).alias("price_floor"), (F.col("price_ceiling") * 2).alias("price_ceiling"), F.lit("1998-01-01").cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
+    rows = latest(spark, sf).withColumn("day", F.to_date(F.substring("posted_at", 1, 10)))
+    joined = warehouse.point_in_time_join(rows, old.unionByName(new), "price", "day", "price_floor", "price_ceiling", ["segment_name"])
+    return joined.groupBy("segment_name", F.year("day").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _star(spark, sf):
+    rows, location, kinds, fact = star_tables(spark, sf)
+    return analytics.star(fact, location, kinds, rows)
+
+
+def drilldown_counts(spark, sf):
+    rows = _star(spark, sf).withColumn("deal", analytics.deal_label(F.col("listing_type")))
+    return analytics.drilldown(rows, ["region_code", "city", "district", "property_type_name", "deal"])
+
+
+def role_playing_dates(spark, sf):
+    return analytics.role_playing_dates(star_tables(spark, sf)[3], calendar(spark, sf))
+
+
+def outliers_iqr(spark, sf):
+    rows = latest(spark, sf).withColumn("price", F.when(F.col("orderkey") % 31 == 0, F.col("price") * 50).otherwise(F.col("price")))
+    return market.remove_outliers(rows, "city", "price").groupBy("city").agg(F.count(F.lit(1)).alias("n"), F.max("price").alias("highest"))
+
+
+def _weak(spark, sf, tiers, names, unknown):
+    rows = market.weak_label(latest(spark, sf), tiers, *names, unknown)
+    return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+
+
+def features(spark, sf):
+    rows = market.build_features(latest(spark, sf), FLAGS).withColumn("log_price", half_up(F.col("log_price"), 6))
+    return rows.select("property_id", "log_price", "title_length", *[half_up(F.col(c), 2).alias(c) for c in ("price_per_sqm", "price_per_bedroom", "area_per_bedroom")], "price_hint_rent", "has_cold", "has_ring", "is_missing_bedroom", "is_missing_price")
+
+
+def target_mean_feature(spark, sf):
+    rows = latest(spark, sf)
+    means = market.group_means(rows.filter("orderkey % 5 != 0 and district != 'Household'"), "district", "price")
+    return market.with_group_mean(rows.filter("orderkey % 5 = 0"), means, "district").select("property_id", half_up(F.col("district_avg_price"), 2).alias("district_avg_price"))
+
+
+def training_set(spark, sf):
+    return market.training_set(latest(spark, sf), LISTING_TIERS, PROPERTY_TIERS, FLAGS, least_title=8).select("property_id", "title", "city", "price_double", "area_double", "bedrooms_int", "listing_type", "listing_confidence", "property_type", "property_confidence")
+
+
+def layer_inventory(spark, sf):
+    return analytics.layer_inventory({"raw": raw(spark, sf), "invalid": tagged(spark, sf).filter("dq_reason is not null"), "silver": silver(spark, sf), "gold": gold(spark, sf), "none": raw(spark, sf).filter("orderkey < 0")})
+
+
+def eval_metrics(spark, sf):
+    rows = labelled(spark, sf).withColumn("guess", F.when(F.col("orderkey") % 4 == 0, "BAN").otherwise(F.col("listing_type")))
+    return analytics.evaluation(rows, "listing_type", "guess")
+
+
+def classify_hybrid(spark, sf):
+    """Keywords first, then a model's label where they find nothing (here a fixed stand-in for the model)."""
+    rows = cleaning.classify_by_keywords(latest(spark, sf), {"Widgets": ["widget"]}, unknown="Unknown", other="SMALL")
+    rows = rows.withColumns({"property_type": F.when(F.col("mapping_source") == "Chờ ML dự đoán", "Unknown").otherwise(F.col("property_type")), "guess": F.element_at(F.split("title", " "), -1), "sure": (F.col("orderkey") % 100) / 100.0})
+    routed = cleaning.listing_type(cleaning.route_by_confidence(rows, "guess", "sure", 0.7, "Unknown"), "guess", "sure", 0.7)
+    return routed.groupBy("property_type", "mapping_source", "listing_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def train_compare(spark, sf):
+    from parcelwise.operators import models
+
+    rows = market.weak_label(latest(spark, sf), LISTING_TIERS, "listing_type", "listing_confidence", ("UNKNOWN", 0.30))
+    return models.train_and_compare(market.build_features(rows, market.rules.TITLE_FLAGS), "listing_type", trees=10)[1]
+
+
+def resolve_entities(spark, sf):
+    rows = latest(spark, sf).filter("district = 'Building'").withColumn("block", F.concat_ws("/", "city", "title"))
+    return cleaning.resolve_entities(rows, "property_id", "title", "price", "area_sqm", "block", 0.95).withColumn("score", half_up(F.col("score"), 6))
+
+
+def stream_incremental(spark, sf):
+    """The listings processed as a stream in two landings: what has passed change detection after both."""
+    from parcelwise.plans.streams import incremental
+
+    return incremental(spark, sf)
+
+
+FEATURE_SQL = f"""SELECT property_id, {_r("ln(1 + price)", 6)} AS log_price, length(title) AS title_length, {_r("price / area_sqm", 2)} AS price_per_sqm, {_r("CASE WHEN bedrooms > 0 THEN price / bedrooms ELSE 0.0::DOUBLE END", 2)} AS price_per_bedroom,
+  {_r("CASE WHEN bedrooms > 0 THEN area_sqm / bedrooms ELSE 0.0::DOUBLE END", 2)} AS area_per_bedroom, CAST(price BETWEEN 1 AND 500000000 AS INTEGER) AS price_hint_rent, CAST(regexp_matches(title, '\\bcold\\b') AS INTEGER) AS has_cold, CAST(regexp_matches(title, 'ring') AS INTEGER) AS has_ring, 0 AS is_missing_bedroom, 0 AS is_missing_price FROM latest"""
+TRAINING_SQL = f"""WITH {LATEST},
+near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title[1:50], price ORDER BY property_id, title, source_category, city, district, region, price, area_sqm, bedrooms, posted_at, orderkey) AS rn FROM latest WHERE length(title) > 8) WHERE rn = 1),
+fence AS (SELECT city, quantile_cont(price, 0.75) + 3 * (quantile_cont(price, 0.75) - quantile_cont(price, 0.25)) AS f, count(*) AS n FROM near WHERE price > 0 GROUP BY city),
+kept AS (SELECT near.* FROM near JOIN fence USING (city) WHERE n < 10 OR price <= f)
+SELECT * FROM (SELECT property_id, title, city, price AS price_double, area_sqm AS area_double, bedrooms AS bedrooms_int, {LISTING} AS listing_type, CAST({SURE} AS DOUBLE) AS listing_confidence, {PROPERTY} AS property_type, CAST({PROPERTY_SURE} AS DOUBLE) AS property_confidence FROM kept)
+WHERE listing_type <> 'UNKNOWN' AND property_type <> 'UNMAPPED' AND listing_confidence >= 0.7 AND property_confidence >= 0.7"""
+EVAL_SQL = f"""WITH {LATEST}, p AS (SELECT {LISTING} AS label, CASE WHEN orderkey % 4 = 0 THEN 'BAN' ELSE {LISTING} END AS guess FROM latest),
+a AS (SELECT label, count(*) AS support, count(*) FILTER (label = guess) AS hits FROM p GROUP BY label), g AS (SELECT guess, count(*) AS guesses FROM p GROUP BY guess),
+f AS (SELECT a.*, coalesce(guesses, 0) AS guesses, coalesce(CAST(2.0 AS DOUBLE) * hits / nullif(support + coalesce(guesses, 0), 0), 0) AS f1 FROM a LEFT JOIN g ON label = guess)
+SELECT label, support, {_r("coalesce(CAST(hits AS DOUBLE) / nullif(guesses, 0), 0)", 6)} AS precision, {_r("(CAST(hits AS DOUBLE) / support)", 6)} AS recall, {_r("f1", 6)} AS f1, {_r("(CAST(sum(hits) OVER () AS DOUBLE) / sum(support) OVER ())", 6)} AS accuracy, {_r("(sum(f1 * support) OVER () / sum(support) OVER ())", 6)} AS weighted_f1 FROM f"""
+HISTORY = lambda source, day: f"SELECT city, district, count(*) AS listing_count, {_r('(sum(price) / count(*))', 2)} AS avg_price, '{day}' AS snapshot_date FROM {source} GROUP BY city, district"
+
+QUERIES = {
+    "raw_normalize": raw_normalize,
+    "validate_split": validate_split,
+    "dq_reason_counts": lambda s, d: cleaning.reason_counts(tagged(s, d)),
+    "dq_metrics": lambda s, d: cleaning.quality_metrics(tagged(s, d)),
+    "dq_samples": dq_samples,
+    "cdc_changes": cdc_changes,
+    "cdc_metrics": lambda s, d: changes.change_metrics(_cdc(s, d)[0]),
+    "cdc_next_state": cdc_next_state,
+    "cdc_in_batch_sequence": cdc_in_batch_sequence,
+    "standardize_mapped": standardize_mapped,
+    "quarantine_worklist": lambda s, d: analytics.quarantine_worklist(standardize_mapped(s, d).filter("mapping_status = 'UNMAPPED'")),
+    "quarantine_reprocess": quarantine_reprocess,
+    "classify_keywords": lambda s, d: classified(s, d).groupBy("title", "source_category", "property_type", "mapping_source").agg(F.count(F.lit(1)).alias("n")),
+    "classify_source_mix": lambda s, d: analytics.share_of_total(classified(s, d), "mapping_source"),
+    "classify_hybrid": classify_hybrid,
+    "unknown_worklist": unknown_worklist,
+    "dedupe_latest": latest,
+    "near_duplicate_drop": near_duplicate_drop,
+    "resolve_entities": resolve_entities,
+    "silver_features": silver,
+    "gold_snapshot": gold,
+    "gold_history_merge": gold_history_merge,
+    "gold_touched": touched_gold,
+    "silver_upsert": silver_upsert,
+    "bronze_strings": bronze_strings,
+    "dim_location": lambda s, d: warehouse.dim_location(latest(s, d), REGIONS),
+    "dim_property_type": lambda s, d: warehouse.dim_property_type(classified(s, d), GROUPS),
+    "dim_price_segment_scd2": dim_price_segment_scd2,
+    "dim_area_segment": dim_area_segment,
+    "dim_time": calendar,
+    "fact_listing": fact_listing,
+    "fact_market_snapshot": fact_market_snapshot,
+    "range_join_bands": range_join_bands,
+    "range_join_buckets": range_join_buckets,
+    "scd2_point_in_time": scd2_point_in_time,
+    "drilldown_counts": drilldown_counts,
+    "drilldown_rollup": lambda s, d: analytics.drilldown_rollup(latest(s, d), ["region", "city", "district"]),
+    "top_n_other": lambda s, d: analytics.top_n_other(latest(s, d), "title", 10),
+    "seasonality_mom_yoy": lambda s, d: analytics.seasonality(star_tables(s, d)[3], "posted_time_key", calendar(s, d)),
+    "role_playing_dates": role_playing_dates,
+    "outliers_iqr": outliers_iqr,
+    "weak_label_listing": lambda s, d: _weak(s, d, LISTING_TIERS, ("listing_type", "listing_confidence"), ("UNKNOWN", 0.30)),
+    "weak_label_property": lambda s, d: _weak(s, d, PROPERTY_TIERS, ("property_type", "property_confidence"), ("UNMAPPED", 0.0)),
+    "features": features,
+    "target_mean_feature": target_mean_feature,
+    "training_set": training_set,
+    "threshold_advice": lambda s, d: market.suggest_thresholds(latest(s, d), accuracy=1_000_000, rounder=half_up),
+    "layer_inventory": layer_inventory,
+    "eval_metrics": eval_metrics,
+    "train_compare": train_compare,
+    "stream_incremental": stream_incremental,
+}
+
+_COUNT = "count(*) AS n"
+ORACLE_SQL = {
+    "raw_normalize": f"WITH {RAW} SELECT property_id, trim(title) AS title, trim(city) AS city, trim(district) AS district, CAST(price AS DOUBLE) AS price, CAST(area_sqm AS DOUBLE) AS area_sqm, CASE WHEN orderkey % 5 = 0 THEN 0 ELSE CAST(bedrooms AS INTEGER) END AS bedrooms, posted_at, source_category FROM raw WHERE TRY_CAST(price AS DOUBLE) IS NOT NULL",
+    "validate_split": f"WITH {RAW}, {TAGGED} SELECT property_id, posted_at, price, area_sqm, dq_reason FROM tagged",
+    "dq_reason_counts": f"WITH {RAW}, {TAGGED} SELECT dq_reason, {_COUNT} FROM tagged WHERE dq_reason IS NOT NULL GROUP BY dq_reason",
+    "dq_metrics": f"WITH {RAW}, {TAGGED} SELECT count(*) AS total, count(*) - count(dq_reason) AS valid, count(dq_reason) AS invalid, {_r('(CAST(count(dq_reason) AS DOUBLE) / count(*))', 4)} AS invalid_rate FROM tagged",
+    "dq_samples": f"WITH {RAW}, {TAGGED} SELECT property_id, posted_at, price, area_sqm, title, dq_reason FROM tagged WHERE dq_reason IS NOT NULL ORDER BY property_id, posted_at, price, area_sqm, title LIMIT 20",
+    "cdc_changes": f"WITH {CDC} SELECT property_id, fingerprint, status FROM marked",
+    "cdc_metrics": f"WITH {CDC} SELECT status, {_COUNT} FROM marked GROUP BY status",
+    "cdc_next_state": f"WITH {CDC} SELECT property_id, fingerprint FROM marked",
+    "cdc_in_batch_sequence": f"""WITH {CLEAN}, x AS (SELECT property_id, title, CAST(CAST(price AS DECIMAL(18,2)) AS VARCHAR) AS price_text, posted_at FROM clean),
+y AS (SELECT *, md5(concat_ws('|', property_id, title, price_text)) AS h, lag(md5(concat_ws('|', property_id, title, price_text))) OVER (PARTITION BY property_id ORDER BY posted_at, title, price_text) AS b FROM x)
+SELECT property_id, posted_at, price_text, CASE WHEN b IS NULL THEN 'NEW' WHEN b <> h THEN 'UPDATED' ELSE 'UNCHANGED' END AS status FROM y""",
+    "standardize_mapped": f"WITH {STANDARD} SELECT property_id, posted_at, price, city, district, mapping_status FROM standard",
+    "quarantine_worklist": f"WITH {STANDARD} SELECT DISTINCT city, district FROM standard WHERE mapping_status = 'UNMAPPED'",
+    "quarantine_reprocess": f"""WITH {STANDARD}, x AS (SELECT CASE WHEN district = 'MACHINERY' THEN 'Machinery' ELSE district END AS district, CASE WHEN district = '' THEN 'UNMAPPED' ELSE 'MAPPED' END AS mapping_status, orderkey FROM standard WHERE orderkey % 2 = 1 OR mapping_status = 'UNMAPPED')
+SELECT district, mapping_status, {_COUNT}, count(*) FILTER (orderkey % 2 = 0) AS n_released FROM x GROUP BY district, mapping_status""",
+    "classify_keywords": f"WITH {CLASSIFIED} SELECT title, source_category, property_type, mapping_source, {_COUNT} FROM classified GROUP BY ALL",
+    "classify_source_mix": f"WITH {CLASSIFIED}, c AS (SELECT mapping_source, {_COUNT} FROM classified GROUP BY ALL) SELECT mapping_source, n, {_r('(n * CAST(100.0 AS DOUBLE) / sum(n) OVER ())', 2)} AS pct FROM c",
+    "classify_hybrid": f"""WITH {LATEST}, x AS (SELECT title, (orderkey % 100) / CAST(100.0 AS DOUBLE) AS sure, regexp_matches(title, 'widget') AS t, regexp_matches(lower(source_category), 'widget') AS s FROM latest)
+SELECT CASE WHEN t OR s THEN 'Widgets' WHEN sure >= 0.7 THEN split_part(title, ' ', -1) ELSE 'Unknown' END AS property_type, CASE WHEN t THEN 'Regex (Title)' WHEN s THEN 'Regex (Category)' WHEN sure >= 0.7 THEN 'ML Model (' || CAST(CAST(round(sure * 100) AS INTEGER) AS VARCHAR) || '%)' ELSE 'Quarantine (ML < 70%)' END AS mapping_source,
+CASE WHEN sure >= 0.7 THEN split_part(title, ' ', -1) ELSE 'UNKNOWN' END AS listing_type, {_COUNT} FROM x GROUP BY ALL""",
+    "unknown_worklist": f"WITH {LATEST} SELECT title, {_COUNT} FROM latest WHERE {LISTING} = 'UNKNOWN' GROUP BY title ORDER BY n DESC, title LIMIT 10",
+    "dedupe_latest": f"WITH {LATEST} SELECT * FROM latest",
+    "near_duplicate_drop": "SELECT doc_id, n_chars AS price FROM (SELECT doc_id, n_chars, row_number() OVER (PARTITION BY substr(text, 1, 50), n_chars ORDER BY doc_id, substr(text, 1, 80)) AS rn FROM documents) WHERE rn = 1",
+    "resolve_entities": f"""WITH {LATEST}, t AS (SELECT DISTINCT property_id AS k, lower(title) AS t, price AS p, area_sqm AS s, city || '/' || title AS g, CAST(floor(price / 1e9) AS BIGINT) AS b FROM latest WHERE district = 'Building'),
+x AS (SELECT l.k AS a, r.k AS b, CAST(0.5 AS DOUBLE) * (1 - CAST(levenshtein(l.t, r.t) AS DOUBLE) / greatest(length(l.t), length(r.t), 1)) + CAST(0.25 AS DOUBLE) * (1 - abs(l.p - r.p) / greatest(abs(l.p), abs(r.p), 1.0)) + CAST(0.25 AS DOUBLE) * (1 - abs(l.s - r.s) / greatest(abs(l.s), abs(r.s), 1.0)) AS score
+FROM t l JOIN t r ON l.g = r.g AND abs(l.b - r.b) <= 1 AND l.k < r.k) SELECT a, b, {_r('score', 6)} AS score FROM x WHERE score >= CAST(0.95 AS DOUBLE)""",
+    "silver_features": f"WITH {SILVER} SELECT * FROM silver",
+    "gold_snapshot": f"WITH {GOLD} SELECT * FROM gold",
+    "gold_history_merge": f"""WITH {SILVER}, again AS ({HISTORY("(SELECT * FROM silver WHERE orderkey % 2 = 0 AND district = 'Building')", "2002-01-01")}), history AS ({HISTORY("silver", "2001-12-31")} UNION ALL {HISTORY("silver", "2002-01-01")})
+SELECT * FROM history h WHERE NOT EXISTS (SELECT 1 FROM again a WHERE a.city = h.city AND a.district = h.district AND a.snapshot_date = h.snapshot_date) UNION ALL SELECT * FROM again""",
+    "gold_touched": f"WITH {SILVER}, x AS (SELECT * FROM silver s WHERE (city, district) IN (SELECT (city, district) FROM silver WHERE orderkey % 1000 = 3)) " + GOLD_OF("x"),
+    "silver_upsert": f"WITH {LATEST} SELECT property_id, CASE WHEN orderkey % 13 = 0 THEN 'changed' ELSE title END AS title, CASE WHEN orderkey % 5 = 0 THEN price + 1 ELSE price END AS price, orderkey FROM latest WHERE orderkey % 13 <> 0 OR orderkey % 5 = 0",
+    "bronze_strings": f"WITH {LATEST} SELECT property_id, title, city, CAST(bedrooms AS VARCHAR) AS bedrooms, CAST(orderkey AS VARCHAR) AS orderkey, posted_at, '2002-01-01' AS ingest_date FROM latest",
+    "dim_location": f"WITH {CLASSIFIED}, {LOCATION} SELECT * FROM location",
+    "dim_property_type": f"WITH {CLASSIFIED}, {KINDS} SELECT * FROM kinds",
+    "dim_price_segment_scd2": f"""WITH {LATEST}, q AS (SELECT floor(quantile_cont(price, 0.75)) AS q FROM latest),
+seed(price_segment_key, segment_name, price_floor) AS (VALUES (1, 'affordable', 0.0), (2, 'mid', 4000000000.0), (3, 'upper_mid', 8000000000.0), (4, 'luxury', 12000000000.0))
+SELECT price_segment_key, segment_name, CAST(price_floor AS DECIMAL(15,2)) AS price_floor, DATE '2020-01-01' AS valid_from, CASE WHEN segment_name = 'luxury' AND q <> 12000000000 THEN DATE '2025-12-31' END AS valid_to, NOT (segment_name = 'luxury' AND q <> 12000000000) AS is_current FROM seed, q
+UNION ALL SELECT 5, 'luxury', CAST(q AS DECIMAL(15,2)), DATE '2026-01-01', NULL, true FROM q WHERE q <> 12000000000""",
+    "dim_area_segment": f"""WITH {SILVER}, seed(area_segment_key, segment_name, area_floor, area_ceiling) AS (VALUES (1, 'compact', 0.0, 49.99), (2, 'standard', 50.0, 89.99), (3, 'spacious', 90.0, 129.99), (4, 'villa_like', 130.0, NULL))
+SELECT area_segment_key, segment_name, CAST(area_floor AS DECIMAL(8,2)) AS area_floor, CAST(area_ceiling AS DECIMAL(8,2)) AS area_ceiling, {_COUNT} FROM seed JOIN silver ON segment_name = area_segment GROUP BY ALL""",
+    "dim_time": f"""WITH {DAYS} SELECT CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS time_key, full_date, isodow(full_date) AS day_of_week, ['Thứ Hai', 'Thứ Ba', 'Thứ Tư', 'Thứ Năm', 'Thứ Sáu', 'Thứ Bảy', 'Chủ Nhật'][isodow(full_date)] AS day_name, day(full_date) AS day_of_month,
+week(full_date) AS week_of_year, month(full_date) AS month, 'Tháng ' || CAST(month(full_date) AS VARCHAR) AS month_name, quarter(full_date) AS quarter, year(full_date) AS year, isodow(full_date) >= 6 AS is_weekend FROM days""",
+    "fact_listing": f"WITH {FACT} SELECT property_id, location_key, property_type_key, price_segment_key, area_segment_key, posted_time_key, ingested_time_key, title, price_vnd, area_sqm, bedrooms, listing_age_days FROM fact",
+    "fact_market_snapshot": f"""WITH {GOLD}, {CLASSIFIED.removeprefix(LATEST + "," + chr(10))}, {LOCATION} SELECT location_key, 20020101 AS snapshot_time_key, listing_count, CAST(avg_price AS DECIMAL(15,2)) AS avg_price, CAST(median_price AS DECIMAL(15,2)) AS median_price, CAST(max_price AS DECIMAL(15,2)) AS max_price, CAST(avg_listing_age_days AS DECIMAL(6,2)) AS avg_listing_age_days, CAST(luxury_listing_ratio AS DECIMAL(5,4)) AS luxury_listing_ratio FROM gold JOIN location USING (city, district)""",
+    "range_join_bands": f"WITH {SILVER} SELECT price_segment AS segment_name, {_COUNT}, min(price) AS lowest, max(price) AS highest FROM silver GROUP BY price_segment",
+    "range_join_buckets": "WITH b AS (SELECT DISTINCT floor(c_acctbal / 10) * 10 AS low FROM customer WHERE c_acctbal >= 0), v AS (SELECT l_extendedprice / 10 AS v FROM lineitem) SELECT low AS band, count(*) AS n FROM v LEFT JOIN b ON v >= low AND v < low + 10 GROUP BY low",
+    "scd2_point_in_time": f"""WITH {LATEST}, x AS (SELECT CASE WHEN posted_at < '1998' THEN price ELSE price / 2 END AS p, CAST(posted_at[1:4] AS INTEGER) AS year FROM latest)
+SELECT CASE WHEN p < 4000000000 THEN 'affordable' WHEN p < 8000000000 THEN 'mid' WHEN p < 12000000000 THEN 'upper_mid' ELSE 'luxury' END AS segment_name, year, {_COUNT} FROM x GROUP BY ALL""",
+    "drilldown_counts": f"WITH {FACT} SELECT region_code, city, district, property_type AS property_type_name, CASE listing_type WHEN 'BAN' THEN 'Bán' WHEN 'CHO_THUE' THEN 'Cho thuê' WHEN 'SANG_NHUONG' THEN 'Sang nhượng' ELSE 'Khác' END AS deal, count(*) AS so_tin FROM fact GROUP BY ALL",
+    "drilldown_rollup": f"WITH {LATEST} SELECT region, city, district, {_COUNT}, CAST(grouping(region) + grouping(city) + grouping(district) AS INTEGER) AS level FROM latest GROUP BY ROLLUP (region, city, district)",
+    "top_n_other": f"WITH {LATEST}, c AS (SELECT title, {_COUNT} FROM latest GROUP BY title), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, title) AS r FROM c) SELECT CASE WHEN r <= 10 THEN title ELSE 'other' END AS title, CAST(sum(n) AS BIGINT) AS n FROM r GROUP BY 1",
+    "seasonality_mom_yoy": f"""WITH {LATEST}, m AS (SELECT year(d) AS year, quarter(d) AS quarter, month(d) AS month, {_COUNT} FROM (SELECT CAST(posted_at[1:10] AS DATE) AS d FROM latest) GROUP BY ALL)
+SELECT m.year, m.quarter, m.month, m.n, m.n - a.n AS mom, m.n - b.n AS yoy FROM m LEFT JOIN m a ON m.year * 12 + m.month = a.year * 12 + a.month + 1 LEFT JOIN m b ON m.year = b.year + 1 AND m.month = b.month""",
+    "role_playing_dates": f"WITH {LATEST} SELECT CAST(posted_at[1:4] AS INTEGER) AS posted_year, CAST(posted_at[6:7] AS INTEGER) AS posted_month, (SELECT CASE WHEN max(l_shipdate) >= DATE '2002-01-01' THEN 2002 END FROM lineitem) AS ingested_year, (SELECT CASE WHEN max(l_shipdate) >= DATE '2002-01-01' THEN 1 END FROM lineitem) AS ingested_month, {_COUNT} FROM latest GROUP BY ALL",
+    "outliers_iqr": f"""WITH {LATEST}, x AS (SELECT city, CASE WHEN orderkey % 31 = 0 THEN price * 50 ELSE price END AS price FROM latest), f AS (SELECT city, count(*) AS k, quantile_cont(price, 0.75) + 3 * (quantile_cont(price, 0.75) - quantile_cont(price, 0.25)) AS f FROM x WHERE price > 0 GROUP BY city)
+SELECT x.city, {_COUNT}, max(price) AS highest FROM x JOIN f USING (city) WHERE k < 10 OR price <= f GROUP BY x.city""",
+    "weak_label_listing": f"WITH {LATEST} SELECT {LISTING} AS listing_type, CAST({SURE} AS DOUBLE) AS listing_confidence, {_COUNT} FROM latest GROUP BY ALL",
+    "weak_label_property": f"WITH {LATEST} SELECT {PROPERTY} AS property_type, CAST({PROPERTY_SURE} AS DOUBLE) AS property_confidence, {_COUNT} FROM latest GROUP BY ALL",
+    "features": f"WITH {LATEST} {FEATURE_SQL}",
+    "target_mean_feature": f"""WITH {LATEST}, m AS (SELECT district, sum(price) / count(*) AS a FROM latest WHERE orderkey % 5 <> 0 AND district <> 'Household' GROUP BY district)
+SELECT property_id, {_r("coalesce(a, 0.0::DOUBLE)", 2)} AS district_avg_price FROM latest LEFT JOIN m USING (district) WHERE orderkey % 5 = 0""",
+    "training_set": TRAINING_SQL,
+    "threshold_advice": f"WITH {LATEST} SELECT {_COUNT}, " + ", ".join(f"{_r(f'(quantile_disc(price, {q}) / CAST(1e9 AS DOUBLE))', 1)} AS q{int(q * 100)}" for q in (0.25, 0.5, 0.75, 0.95)) + " FROM latest",
+    "layer_inventory": f"""WITH {GOLD} SELECT 'raw' AS layer, count(*) AS n_rows, 11 AS n_columns, 'OK' AS status FROM raw UNION ALL SELECT 'invalid', count(*), 12, 'OK' FROM tagged WHERE dq_reason IS NOT NULL UNION ALL SELECT 'silver', count(*), 18, 'OK' FROM silver
+UNION ALL SELECT 'gold', count(*), 14, 'OK' FROM gold UNION ALL SELECT 'none', 0, 11, 'EMPTY'""",
+    "eval_metrics": EVAL_SQL,
+}
