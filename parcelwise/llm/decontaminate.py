@@ -234,7 +234,7 @@ def merged_spans(column: str):
         F.array_sort(column),
         F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)"),
         lambda done, x: F.when((F.size(done) > 0) & (F.element_at(done, -1)["end"] >= x["start"]),
-            F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], x["end"]).alias("end"))))
+            F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], x["end"]).alias("end"))).cast("array<struct<start:bigint,end:bigint>>"))
         ).otherwise(F.concat(done, F.array(x))),
     )
     return F.when(F.size(column) > 0, joined).otherwise(F.col(column))

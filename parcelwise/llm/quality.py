@@ -80,8 +80,8 @@ def with_evidence(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.join(F.broadcast(known), "_id").select(F.col("_label").alias("label"), "text")  # bounded by ``sample``
     rows = sorted(tuple(r["x"]) + (r["label"],) for r in texts.mapInArrow(measure, "label int, x array<double>").collect())
-    matrix = np.array(rows, np.float64).reshape(len(rows), -1)
-    model = fit(matrix[:, :-1], matrix[:, -1]) if rows else fit(np.zeros((0, 1)), np.zeros(0))
+    matrix = np.array(rows, np.float64) if rows else np.zeros((0, 2))
+    model = fit(matrix[:, :-1], matrix[:, -1])
     where = docs.columns.index(text_col)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
