@@ -6,6 +6,7 @@ does not depend on how many rows its partition has, and all per-word work is don
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -63,6 +64,15 @@ def sizes(column: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def give_back() -> None:
+    """Returns memory that a finished block has left in the allocators, so that two workers fit beside an executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc: its allocator decides
+        pass
+
+
 def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of a partition regrouped into blocks of about ``limit`` bytes of ``column``."""
     held, size = [], 0
@@ -80,8 +90,19 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             if size >= limit or start < batch.num_rows:
                 yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
                 held, size = [], 0
+                give_back()
     if held:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        del held
+        give_back()
+
+
+def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of a partition one at a time, for rows that are large themselves."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+            give_back()
 
 
 def translated(texts: pa.LargeStringArray, table: bytes) -> pa.LargeStringArray:

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.llm.common import blocks, fold, frozen, hashes, mixed, starts, strings, words
+from parcelwise.llm.common import blocks, fold, frozen, give_back, hashes, mixed, rows_of, starts, strings, words
 
 FOLDS, TEST_FOLD, HELD_FOLD = 5, 1, 0
 #: Fixed hashes of the two marks that are not words.
@@ -44,14 +44,18 @@ ROUNDS = 60
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Unsigned integers, byte plane by byte plane, compressed."""
+    """Unsigned integers, byte plane by byte plane as far as the largest needs, compressed."""
     values = np.ascontiguousarray(values, np.uint64)
-    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(len(values), 8).T.tobytes())
+    planes = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return zstandard.ZstdCompressor(level=1).compress(bytes([planes]) + values.view(np.uint8).reshape(len(values), 8)[:, :planes].T.tobytes())
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data, max_output_size=1 << 31), np.uint8)
-    return np.ascontiguousarray(planes.reshape(8, -1).T).view(np.uint64).ravel()
+    plain = np.frombuffer(zstandard.ZstdDecompressor().decompress(data, max_output_size=1 << 31), np.uint8)
+    planes = int(plain[0])
+    out = np.zeros(((len(plain) - 1) // planes, 8), np.uint8)
+    out[:, :planes] = plain[1:].reshape(planes, -1).T
+    return out.view(np.uint64).ravel()
 
 
 def tokenised(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -92,16 +96,22 @@ class Block:
         self.end, self.start = len(known), len(known) + 1
         self.n_tokens = counts + 1
         self.at = starts(self.n_tokens)
-        self.now = np.full(self.at[-1], self.end, np.int64)
-        self.now[np.arange(counts.sum()) + np.repeat(np.arange(len(counts)), counts)] = unpacked(row["codes"]).astype(np.int64)
-        self.before = np.concatenate([[self.start], self.now[:-1]]).astype(np.int64)
+        self.now = np.full(self.at[-1], self.end, np.int32)
+        inside = np.ones(self.at[-1], bool)
+        inside[self.at[1:] - 1] = False
+        self.now[inside] = unpacked(row["codes"]).astype(np.int32)
+        self.before = np.empty_like(self.now)
+        self.before[1:] = self.now[:-1]
         self.before[self.at[:-1]] = self.start
         token_fold = np.repeat(self.folds, self.n_tokens)
         self.train, self.held = token_fold != TEST_FOLD, token_fold == HELD_FOLD
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Order of the tokens by the hash of their pair, and where each distinct pair begins in it."""
-        key = mixed(self.hashes[self.before] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[self.now]) & PAIR_BITS
+        key = self.hashes[self.before] * np.uint64(0x9E3779B97F4A7C15)
+        key += self.hashes[self.now]
+        key = mixed(key)
+        key &= PAIR_BITS
         order = np.argsort(key)
         key = key[order]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
@@ -117,24 +127,23 @@ def requests(rows: DataFrame, bits: int) -> DataFrame:
     """(kind, range, block, keys, train, held): the sorted hashes of a block in a range, with its own counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row)
-                order = block.word_order()
-                train = np.bincount(block.now[block.train], minlength=block.end + 1)[order]
-                held = np.bincount(block.now[block.held], minlength=block.end + 1)[order]
-                sets = [(0, block.hashes[order], train, held)]
-                order, first = block.pairs()
-                sums = [np.add.reduceat(x[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64) for x in (block.train, block.held)]
-                sets.append((1, block.pair_keys, *sums))
-                out = []
-                for kind, keys, train, held in sets:
-                    cut = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
-                    for r in np.flatnonzero(np.diff(cut)).tolist():
-                        part = slice(cut[r], cut[r + 1])
-                        out.append((kind, r, row["block"], packed(np.diff(keys[part] >> np.uint64(8 * kind), prepend=np.uint64(0))), packed(train[part]), packed(held[part])))
-                columns = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["kind", "range", "block", "keys", "train", "held"])
+        for row in rows_of(batches):
+            block = Block(row)
+            order = block.word_order()
+            train = np.bincount(block.now[block.train], minlength=block.end + 1)[order]
+            held = np.bincount(block.now[block.held], minlength=block.end + 1)[order]
+            sets = [(0, block.hashes[order], train, held)]
+            order, first = block.pairs()
+            sums = [np.add.reduceat(x[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64) for x in (block.train, block.held)]
+            sets.append((1, block.pair_keys, *sums))
+            out = []
+            for kind, keys, train, held in sets:
+                cut = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+                for r in np.flatnonzero(np.diff(cut)).tolist():
+                    part = slice(cut[r], cut[r + 1])
+                    out.append((kind, r, row["block"], packed(np.diff(keys[part] >> np.uint64(8 * kind), prepend=np.uint64(0))), packed(train[part]), packed(held[part])))
+            columns = list(zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["kind", "range", "block", "keys", "train", "held"])
 
     return rows.mapInArrow(run, "kind int, range int, block long, keys binary, train binary, held binary")
 
@@ -190,15 +199,19 @@ def counted(rows: DataFrame, answers: DataFrame) -> DataFrame:
                 counts = np.zeros(block.end + 1, np.int64)
                 counts[order] = np.concatenate([x[i] for x in got[0]])
                 by_word.append(counts)
+            held = block.held
+            words_packed = packed(by_word[0][block.now]), packed(by_word[1][block.now[held]])
             order, first = block.pairs()
-            by_pair = []
+            pairs_packed = []
             for i in (0, 1):
                 counts = np.empty(len(order), np.int64)
                 counts[order] = np.repeat(np.concatenate([x[i] for x in got[1]]), np.diff(np.append(first, len(order))))
-                by_pair.append(counts)
-            held = block.held
-            values = [row["block"], row["ids"], row["folds"], block.n_tokens.tolist(), packed(by_word[0][block.now]), packed(by_pair[0]), packed(by_word[1][block.now[held]]), packed(by_pair[1][held]), 0, 0]
-        return pa.table({n: pa.array([v], t) for n, v, t in zip(names, values, kinds, strict=True)})
+                pairs_packed.append(packed(counts[held] if i else counts))
+                del counts
+            values = [row["block"], row["ids"], row["folds"], block.n_tokens.tolist(), words_packed[0], pairs_packed[0], words_packed[1], pairs_packed[1], 0, 0]
+        out = pa.table({n: pa.array([v], t) for n, v, t in zip(names, values, kinds, strict=True)})
+        give_back()
+        return out
 
     schema = "block long, ids array<long>, folds array<int>, n_tokens array<long>, word binary, pair binary, held_word binary, held_pair binary, vocabulary long, tokens long"
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join, schema)
@@ -223,20 +236,19 @@ def held_histogram(table: DataFrame, vocabulary: int, tokens: int) -> DataFrame:
     counts without the held-out documents, lies above the uniform share, in quarter powers of two (null: it is 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                docs_held, n = np.array(row["folds"], np.int64) == HELD_FOLD, np.array(row["n_tokens"], np.int64)
-                held = np.repeat(docs_held, n)
-                if not held.any():
-                    continue
-                word, pair = (unpacked(row[c]).astype(np.int64)[held] - unpacked(row[f"held_{c}"]).astype(np.int64) for c in ("word", "pair"))
-                context = contexts(word, starts(n[docs_held]))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    above = [np.log2(pair / context * (vocabulary + 1)), np.log2(word / max(tokens, 1) * (vocabulary + 1))]
-                steps = [np.where((c > 0) & np.isfinite(a), np.rint(np.nan_to_num(a, neginf=0, posinf=0) * STEPS) + 1000, 0).astype(np.int64) for a, c in zip(above, (pair, word), strict=True)]
-                key = np.sort((bucket_of(context) * 4096 + steps[0]) * 4096 + steps[1])
-                first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-                yield pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(np.diff(np.append(first, len(key))))], ["key", "n"])
+        for row in rows_of(batches):
+            docs_held, n = np.array(row["folds"], np.int64) == HELD_FOLD, np.array(row["n_tokens"], np.int64)
+            held = np.repeat(docs_held, n)
+            if not held.any():
+                continue
+            word, pair = (unpacked(row[c]).astype(np.int64)[held] - unpacked(row[f"held_{c}"]).astype(np.int64) for c in ("word", "pair"))
+            context = contexts(word, starts(n[docs_held]))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                above = [np.log2(pair / context * (vocabulary + 1)), np.log2(word / max(tokens, 1) * (vocabulary + 1))]
+            steps = [np.where((c > 0) & np.isfinite(a), np.rint(np.nan_to_num(a, neginf=0, posinf=0) * STEPS) + 1000, 0).astype(np.int64) for a, c in zip(above, (pair, word), strict=True)]
+            key = np.sort((bucket_of(context) * 4096 + steps[0]) * 4096 + steps[1])
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(np.diff(np.append(first, len(key))))], ["key", "n"])
 
     return table.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -276,24 +288,30 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     weights = learned(found["key"].to_numpy(np.int64), found["n"].to_numpy(np.float64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                word, pair = (unpacked(row[c]).astype(np.float64) for c in ("word", "pair"))
-                context = contexts(word, starts(np.array(row["n_tokens"], np.int64)))
-                mix = weights[bucket_of(context)]
-                chance = mix[:, 0] * pair / np.maximum(context, 1)
-                if trained:
-                    chance += mix[:, 1] * word / trained
-                    chance += mix[:, 2] / (vocabulary + 1)
-                else:
-                    chance[:] = 1.0
-                base = np.log10((word + 0.5) / (trained + 0.5 * (vocabulary + 1)))
-                at = starts(np.array(row["n_tokens"], np.int64))[:-1]
-                fields = [np.add.reduceat((word > 0).astype(np.int64), at), np.add.reduceat(base, at), np.add.reduceat(np.log10(chance), at)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["ids"], pa.int64()), pa.array(np.array(row["folds"]) == TEST_FOLD), pa.array(row["n_tokens"], pa.int64()), pa.array(fields[0]), pa.array(np.full(len(at), trained)), pa.array(fields[1]), pa.array(fields[2])],
-                    ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+        for row in rows_of(batches):
+            word = unpacked(row["word"]).astype(np.float64)
+            at = starts(np.array(row["n_tokens"], np.int64))
+            known = np.add.reduceat((word > 0).astype(np.int64), at[:-1])
+            base = np.add.reduceat(np.log10((word + 0.5) / (trained + 0.5 * (vocabulary + 1))), at[:-1])
+            context = contexts(word, at)
+            bucket = bucket_of(context)
+            chance = unpacked(row["pair"]).astype(np.float64)
+            chance /= np.maximum(context, 1)
+            chance *= weights[bucket, 0]
+            del context
+            if trained:
+                word *= weights[bucket, 1]
+                word /= trained
+                chance += word
+                chance += weights[bucket, 2] / (vocabulary + 1)
+            else:
+                chance[:] = 1.0
+            fields = [known, base, np.add.reduceat(np.log10(chance, out=chance), at[:-1])]
+            at = at[:-1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row["ids"], pa.int64()), pa.array(np.array(row["folds"]) == TEST_FOLD), pa.array(row["n_tokens"], pa.int64()), pa.array(fields[0]), pa.array(np.full(len(at), trained)), pa.array(fields[1]), pa.array(fields[2])],
+                ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
 
     out = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return table.mapInArrow(run, out).withColumnRenamed("id", id_col)
