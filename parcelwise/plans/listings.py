@@ -147,7 +147,7 @@ PROPERTY_SURE = rf"CASE WHEN regexp_matches({BOTH}, 'ring|promo rod') THEN 0.90
 
 
 def star_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    rows = labelled(spark, sf)
+    rows = labelled(spark, sf).persist()  # stands for the Silver table, which dimensions, facts and joins all read
     location, kinds = warehouse.dim_location(rows, REGIONS), warehouse.dim_property_type(rows, GROUPS)
     fact = warehouse.fact_listing(rows, location, kinds, warehouse.dim_price_segment(spark), warehouse.dim_area_segment(spark), _as_of())
     return rows, location, kinds, fact
