@@ -139,7 +139,8 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     leaves = frozen(leaves)
     several = leaves.filter("kinds > 1").select("leaf")
     texts = masked_lines(docs, text_col, depth).join(several, "leaf", "left_semi").groupBy("leaf", "masked").agg(F.min("line").alias("line"))
-    found = templates_of(texts.join(distinct, ["leaf", "masked"]), similar).select("leaf", "masked", F.xxhash64("leaf", "template").alias("template"))
+    texts = frozen(texts.join(distinct, ["leaf", "masked"]))  # two steps read it, and its scan parses every line
+    found = templates_of(texts, similar).select("leaf", "masked", F.xxhash64("leaf", "template").alias("template"))
     placed = lines.join(leaves.select("leaf"), "leaf", "left_semi").join(found, ["leaf", "masked"], "left")
     placed = placed.select("id", "leaf", "masked", F.coalesce("template", F.xxhash64("leaf", "masked")).alias("template"))
     often = placed.select("template", "id").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("keeper"))
@@ -158,19 +159,21 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text_col):
             texts = block.column(where)
-            lines, per_text, leaf, masked = parsed(texts, depth)
-            at, text_list = starts(per_text), texts.to_pylist()
-            dropped = np.zeros(block.num_rows, np.int64)
-            for i, (leaves, maskeds) in enumerate(zip(block.column("_leaves").to_pylist(), block.column("_masked").to_pylist(), strict=True)):
-                if leaves:
-                    bad = set(zip(leaves, maskeds, strict=True))
-                    own = slice(at[i], at[i + 1])
-                    keep = [x not in bad for x in zip(leaf[own].tolist(), masked[own].tolist(), strict=True)]
-                    dropped[i] = len(keep) - sum(keep)
-                    text_list[i] = "\n".join(x for x, k in zip(lines[at[i] : at[i + 1]].to_pylist(), keep, strict=True) if k)
+            text_list, drops = texts.to_pylist(), block.column("_leaves").is_valid().to_numpy(zero_copy_only=False)
+            n_lines = [(t or "").count("\n") + 1 for t in text_list]
+            dropped = [0] * block.num_rows
+            touched = np.flatnonzero(drops)  # only these are parsed again
+            lines, per_text, leaf, masked = parsed(texts.take(pa.array(touched)), depth)
+            at = starts(per_text)
+            gone_leaf, gone_masked = (block.column(c).take(pa.array(touched)).to_pylist() for c in ("_leaves", "_masked"))
+            for k, i in enumerate(touched.tolist()):
+                bad, own = set(zip(gone_leaf[k], gone_masked[k], strict=True)), slice(at[k], at[k + 1])
+                keep = [x not in bad for x in zip(leaf[own].tolist(), masked[own].tolist(), strict=True)]
+                dropped[i] = len(keep) - sum(keep)
+                text_list[i] = "\n".join(x for x, k_ in zip(lines[at[k] : at[k + 1]].to_pylist(), keep, strict=True) if k_)
             columns = block.columns[: len(docs_columns)]
             columns[where] = pa.array(text_list, texts.type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(per_text), pa.array(dropped)], [*docs_columns, "n_lines", "n_dropped"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(dropped, pa.int64())], [*docs_columns, "n_lines", "n_dropped"])
 
     docs_columns = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
