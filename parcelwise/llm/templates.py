@@ -31,6 +31,8 @@ from parcelwise.llm.common import blocks, frozen, hashes, mixed, starts, strings
 DEPTH, SIMILAR, MIN_DOCS = 3, 0.7, 3
 #: Different masked lines in one salted part of a leaf.
 PART_LINES = 2048
+#: Into how many parts the lines of a template are dealt where they are joined.
+SALTS = 16
 FIELD = "<*>"
 _BLANKS = bytes.maketrans(bytes(range(9, 14)), b" " * 5)
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -144,8 +146,10 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = lines.join(leaves.select("leaf"), "leaf", "left_semi").join(found, ["leaf", "masked"], "left")
     placed = placed.select("id", "leaf", "masked", F.coalesce("template", F.xxhash64("leaf", "masked")).alias("template"))
     often = placed.select("template", "id").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("keeper"))
-    often = often.filter(F.col("n") >= min_docs).select("template", "keeper")
-    return placed.join(often, "template").filter(F.col("id") != F.col("keeper")).select("id", "leaf", "masked")
+    often = often.filter(F.col("n") >= min_docs).select("template", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    # A template may stand in most documents: its lines meet their keeper in several tasks.
+    placed = placed.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    return placed.join(often, ["template", "salt"]).filter(F.col("id") != F.col("keeper")).select("id", "leaf", "masked")
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, similar: float = SIMILAR, min_docs: int = MIN_DOCS) -> DataFrame:
