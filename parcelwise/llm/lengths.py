@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelwise.llm.common import blocks
+from parcelwise.llm.common import blocks, frozen
 from parcelwise.llm.tokenize import encode_texts, vocabulary_path
 
 #: Lengths in one range of the two-level suffix sums.
@@ -43,6 +43,7 @@ def length_histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFr
     the number of tokens left when every document is cut at the limit; ``share_at_most`` places quantiles.
     """
     counts = lengths.groupBy(F.col(length_col).cast("long").alias("length")).agg(F.count(F.lit(1)).alias("n_docs"))
+    counts = frozen(counts)  # read twice below, and the encoding is behind it
     counts = counts.withColumn("part", F.floor(F.col("length") / RANGE).cast("long"))
     tokens = F.col("length") * F.col("n_docs")
     totals = counts.groupBy("part").agg(F.sum("n_docs").alias("part_docs"), F.sum(tokens).alias("part_tokens"))
