@@ -30,6 +30,8 @@ from parcelwise.llm.common import blocks, starts, strings, words
 from parcelwise.llm.linear import fit
 
 SAMPLE, KEEP = 20_000, 0.5
+#: Up to so many paths, counted first, their shares are broadcast to the documents; with more, both are shuffled.
+BROADCAST_PATHS = 100_000
 #: No group's shrinkage is weaker or stronger than this many pseudo-documents.
 LEAST_PSEUDO, MOST_PSEUDO = 5.0, 10_000.0
 
@@ -123,7 +125,7 @@ def site_shares(judged: DataFrame, host: Column, path: Column) -> tuple[DataFram
     """(host, path, host_share, path_share) of every path, shrunk, and the global share of good documents."""
     paths = judged.select(host.alias("_host"), path.alias("_path"), _share(F.col("_evidence")).alias("p"))
     paths = paths.groupBy("_host", "_path").agg(F.sum("p").alias("good"), F.count(F.lit(1)).alias("n")).cache()
-    total = paths.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
+    total = paths.agg(F.sum("good").alias("good"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("paths")).first()
     everywhere = min(1 - 1e-4, max(1e-4, ((total["good"] or 0.0) + 0.5) / ((total["n"] or 0) + 1)))
     hosts = paths.groupBy("_host").agg(F.sum("good").alias("host_good"), F.sum("n").alias("host_n"))
     hosts = hosts.withColumn("mean", F.col("host_good") / F.col("host_n")).withColumn("expected", F.lit(everywhere))
@@ -132,7 +134,8 @@ def site_shares(judged: DataFrame, host: Column, path: Column) -> tuple[DataFram
     joined = paths.join(hosts, paths["_host"].eqNullSafe(hosts["_host"])).drop(hosts["_host"])
     joined = joined.withColumn("mean", F.col("good") / F.col("n"))
     pseudo = pseudo_documents(joined, "mean", "n", "host_share")
-    return joined.withColumn("path_share", _bounded((F.col("good") + pseudo * F.col("host_share")) / (F.col("n") + pseudo))).select("_host", "_path", "host_share", "path_share"), everywhere
+    shares = joined.withColumn("path_share", _bounded((F.col("good") + pseudo * F.col("host_share")) / (F.col("n") + pseudo))).select("_host", "_path", "host_share", "path_share")
+    return (F.broadcast(shares) if total["paths"] <= BROADCAST_PATHS else shares), everywhere
 
 
 def judge_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", host_col: str = "source", path_col: str = "lang", keep: float = KEEP) -> DataFrame:
