@@ -1,9 +1,10 @@
 """Line dedup with a log-template tree of fixed depth.
 
 A line's place in the tree is its number of tokens and its first ``DEPTH`` tokens; tokens that hold a digit count as
-the variable field ``<*>``. Lines of one leaf that agree in at least ``SIMILAR`` of their tokens share a template, in
-which the places that differ become variable as well. A template that recurs in at least ``MIN_DOCS`` documents is
-dropped from all of them but the one with the least id.
+the variable field ``<*>``. Lines of one leaf that agree literally in at least ``SIMILAR`` of their tokens share a
+template, in which the places that differ become variable as well. A variable place agrees with nothing: otherwise every
+line that joins would make the template wider, until it takes any line of its leaf. A template that recurs in at least
+``MIN_DOCS`` documents is dropped from all of them but the one with the least id.
 
 How it runs: the scan turns lines into hashes (leaf, masked line); equal lines are summed before anything is compared.
 Only leaves with enough lines and with several different masked lines are parsed, and a leaf is parsed in two steps:
@@ -100,22 +101,27 @@ def masked_lines(docs: DataFrame, text_col: str, depth: int) -> DataFrame:
 
 
 def generalise(lines: list[list[str]], similar: float = SIMILAR) -> tuple[list[list[str]], list[int]]:
-    """Templates of one leaf and the template of each line; the order of the lines decides ties."""
-    templates: list[np.ndarray] = []
-    owner = []
+    """Templates of one leaf and the template of each line; the order of the lines decides ties.
+
+    A line joins the template with which it has most literal tokens in common if these are ``similar`` of its tokens.
+    Variable places agree with nothing, so of a template that lines have joined at least that share stays literal.
+    """
+    codes: dict[str, int] = {FIELD: 0}
+    width = len(lines[0]) if lines else 0
+    templates, n, owner = np.zeros((16, width), np.int32), 0, []
     for tokens in lines:
-        line, best, most = np.array(tokens, object), -1, -1.0
-        for k, template in enumerate(templates):
-            same = float(((template == line) & (template != FIELD)).sum() + (template == FIELD).sum() * 0.5) / max(1, len(line))
-            if same > most and ((template == line) | (template == FIELD)).mean() >= similar:
-                best, most = k, same
-        if best < 0:
-            best = len(templates)
-            templates.append(line)
+        line = np.array([codes.setdefault(t, len(codes)) for t in tokens], np.int32)
+        same = ((templates[:n] == line) & (line != 0)).sum(axis=1)
+        best = int(same.argmax()) if n else -1
+        if best >= 0 and same[best] / max(1, width) >= similar:
+            templates[best] = np.where(templates[best] == line, line, 0)
         else:
-            templates[best] = np.where(templates[best] == line, templates[best], FIELD)
+            if n == len(templates):
+                templates = np.concatenate([templates, np.zeros_like(templates)])
+            templates[n], best, n = line, n, n + 1
         owner.append(best)
-    return [list(t) for t in templates], owner
+    texts = list(codes)
+    return [[texts[c] for c in t] for t in templates[:n].tolist()], owner
 
 
 def templates_of(lines: DataFrame, similar: float = SIMILAR, part_lines: int = PART_LINES) -> DataFrame:
@@ -123,7 +129,7 @@ def templates_of(lines: DataFrame, similar: float = SIMILAR, part_lines: int = P
 
     def parse(group: pa.Table) -> pa.Table:
         rows = sorted(zip(*(group.column(c).to_pylist() for c in ("line", "n_docs", "member", "leaf")), strict=True), key=lambda r: (-r[1], r[0]))
-        found, owner = generalise([r[0].split() for r in rows], similar)
+        found, owner = generalise([r[0].split(" ") for r in rows], similar)
         names = [" ".join(t) for t in found]
         return pa.table(
             {"leaf": pa.array([r[3] for r in rows], pa.int64()), "member": pa.array([r[2] for r in rows], pa.int64()), "template": pa.array([names[o] for o in owner], pa.string()), "n_docs": pa.array([r[1] for r in rows], pa.int64())}

@@ -278,6 +278,27 @@ def test_templates_generalise_and_do_not_depend_on_parts(spark):
     assert templates.generalise([["a", "b", "c", "d"], ["a", "b", "x", "d"], ["q", "q", "q", "q"]], 0.7) == ([["a", "b", "<*>", "d"], ["q", "q", "q", "q"]], [0, 0, 1])
 
 
+def test_unrelated_lines_of_one_leaf_all_stay(spark):
+    """Lines of ten tokens of which hardly two agree in seven, and none with two others: no three have a template."""
+    rng, share = np.random.default_rng(10), 1 / np.arange(1, 2001)
+    drawn = np.unique(rng.choice(2000, (3000, 7), p=share / share.sum()), axis=0)
+    partners = np.array([((drawn == row).sum(axis=1) >= 4).sum() - 1 for row in drawn])
+    drawn = drawn[partners <= 1]
+    assert len(drawn) > 2800 and (partners == 1).any()
+    lines = [" ".join(["it", "is", "a", *("w" + "".join("abcdefghij"[int(c)] for c in str(k)) for k in row)]) for row in drawn.tolist()]
+    found, owner = templates.generalise([x.split() for x in lines])
+    assert all(sum(t != "<*>" for t in x) >= 7 for x in found)
+    assert all(all(a in (b, "<*>") for a, b in zip(found[k], x.split(), strict=True)) for k, x in zip(owner, lines, strict=True))
+    frame = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert templates.drop_recurring_lines(frame).filter("n_dropped > 0").count() == 0
+
+
+def test_templates_keep_tokens_with_other_blanks(spark):
+    lines = ["one two three four\u00a0five six", "one two three four seven", "one two three eight\u3000nine six"]
+    frame = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert {r["text"] for r in templates.drop_recurring_lines(frame).collect()} == set(lines)
+
+
 def test_quality(spark, sf, docs, empty):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     judged = quality.judge_documents(spark.read.parquet(f"{sf}/documents.parquet"), labels).join(labels, "doc_id")
