@@ -28,8 +28,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies, the one with the least id."""
-    return partenum.keep_one(docs).select(*docs.columns)
+    """One document of every group of near copies (Jaccard of five-word shingles 0.8 or more), the one with the least id."""
+    return partenum.keep_one(docs, n=5, percent=80).select(*docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

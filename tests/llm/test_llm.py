@@ -229,6 +229,19 @@ def test_partenum(spark, sf, docs, empty, real):
     assert partenum.jaccard_join(empty).count() == 0
 
 
+def test_pipeline_keeps_one_of_each_group_at_five_words_and_80_percent(spark, sf, real):
+    import corpus_pipeline
+
+    rows = list(real)
+    for k, n in enumerate((42, 54)):  # one word of n differs: 0.767 and 0.818 on five words, 0.860 and 0.891 on three
+        words = [f"w{k}x{i}" for i in range(n)]
+        rows += [(10**6 + 2 * k, " ".join(words)), (10**6 + 2 * k + 1, " ".join([*words[: n // 2], "other", *words[n // 2 + 1 :]]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.keep_one_of_each_group(spark, docs, sf).collect())
+    assert kept == sorted(i for i, _, top, _ in jaccard(rows, 5, 80).elements() if i == top)
+    assert kept[-3:] == [10**6, 10**6 + 1, 10**6 + 2]
+
+
 def test_partenum_blocks_of_a_large_component(spark, monkeypatch):
     monkeypatch.setattr(partenum, "BLOCK_SETS", 3)
     rng = np.random.default_rng(5)
