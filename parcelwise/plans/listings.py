@@ -384,7 +384,7 @@ def train_compare(spark, sf):
 
 def resolve_entities(spark, sf):
     rows = latest(spark, sf).filter("district = 'Building'").withColumn("block", F.concat_ws("/", "city", "title"))
-    return cleaning.resolve_entities(rows, "property_id", "title", "price", "area_sqm", "block", 0.95).withColumn("score", half_up(F.col("score"), 6))
+    return cleaning.resolve_entities(rows, "property_id", "title", "price", "area_sqm", "block", 0.95, 1e9).withColumn("score", half_up(F.col("score"), 6))
 
 
 def stream_incremental(spark, sf):

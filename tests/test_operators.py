@@ -165,3 +165,17 @@ def test_rollup_levels(spark):
     rows = spark.createDataFrame([("r", "c", "d"), ("r", "c", "e")], "a string, b string, c string")
     found = {(r["a"], r["b"], r["c"], r["level"]): r["n"] for r in analytics.drilldown_rollup(rows, ["a", "b", "c"]).collect()}
     assert found == {(None, None, None, 3): 2, ("r", None, None, 2): 2, ("r", "c", None, 1): 2, ("r", "c", "d", 0): 1, ("r", "c", "e", 0): 1}
+
+
+def test_resolve_entities_loses_no_pair_of_a_block(spark):
+    prices = [-5.0, 0.0, 0.4, 0.9, 1.0, 1.5, 1e9, 1.7e9, 2.4e9, 2.6e9, 4e9, 6.2e9, 9.9e9, 12e9, 14.2e9, 25e9, 3e10]
+    rows = [(f"{i:02}", "big house" if i % 3 else "big houses", p, 50.0 + i % 2, "x") for i, p in enumerate(prices)]
+    frame = spark.createDataFrame(rows, "id string, title string, price double, area double, place string")
+    like = lambda a, b: 1 - abs(a - b) / max(abs(a), abs(b), 1.0)
+    for threshold in (0.95, 0.85, 0.7, 1.0):
+        want = set()
+        for i, (a, s, p, m, _) in enumerate(rows):
+            for b, t, q, n, _ in rows[i + 1 :]:
+                if 0.5 * (1 - (s != t) / max(len(s), len(t))) + 0.25 * like(p, q) + 0.25 * like(m, n) >= threshold:
+                    want.add((a, b))
+        assert {(r["a"], r["b"]) for r in cleaning.resolve_entities(frame, "id", "title", "price", "area", "place", threshold).collect()} == want
