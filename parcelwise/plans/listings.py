@@ -387,6 +387,12 @@ def resolve_entities(spark, sf):
     return cleaning.resolve_entities(rows, "property_id", "title", "price", "area_sqm", "block", 0.95, 1e9).withColumn("score", half_up(F.col("score"), 6))
 
 
+def resolve_entities_all(spark, sf):
+    """Likely equal listings of all places, whatever their titles, at the operator's threshold."""
+    rows = latest(spark, sf).withColumn("block", F.concat_ws("/", "city", "district"))
+    return cleaning.resolve_entities(rows, "property_id", "title", "price", "area_sqm", "block").withColumn("score", half_up(F.col("score"), 6))
+
+
 def stream_incremental(spark, sf):
     """The listings processed as a stream in two landings: what has passed change detection after both."""
     from parcelwise.plans.streams import incremental
@@ -428,6 +434,7 @@ QUERIES = {
     "dedupe_latest": latest,
     "near_duplicate_drop": near_duplicate_drop,
     "resolve_entities": resolve_entities,
+    "resolve_entities_all": resolve_entities_all,
     "silver_features": silver,
     "gold_snapshot": gold,
     "gold_history_merge": gold_history_merge,
