@@ -6,15 +6,21 @@ each band the shingle domain is dealt by hash to (k + 1) / 2 parts, one of which
 and every part to three pieces, two of which then agree: the signatures are the hashes of all pairs of pieces. So
 two sets that are similar enough always share a signature, whatever they hold.
 
-How it runs: equal sets are one class from the start. Signatures travel as sorted runs cut by their top bits; where a
-signature has several sets, a star of candidate links goes from its least set to the others. Candidates are gathered
-by connected component, cut into blocks of bounded size, and every pair of blocks is one small task that compares its
-sets: parity bitmaps rule pairs out without error, the sets decide the rest, and only a spanning forest of true links
-leaves the task, with each set's number of links. No link between different texts is lost and no pair is listed twice.
+How it runs: equal sets are one class from the start. Signatures travel as sorted runs cut by their top bits, into as
+many ranges as the data calls for; where a signature has several sets, a star of candidate links goes from its least set
+to the others. Candidates are gathered by connected component. A signature whose pieces are nearly empty says little,
+and chains of them can tie most sets together; so a component that is larger than a block is split further, without
+losing a pair: the number of its sets that hold a shingle is counted for every shingle, and two similar sets of a
+component must share one of their rarest shingles (as many of them as two similar sets may differ in, and one more). A
+set most of whose shingles no other set has thus meets nobody. What is left of a component is cut into blocks of bounded
+size, and every pair of blocks is one small task that compares its sets: parity bitmaps rule pairs out without error,
+the sets decide the rest, and only a spanning forest of true links leaves the task, with each set's number of links. No
+link between different texts is lost and no pair is listed twice.
 
 Defined results: a text without words has no shingles and is linked with nothing; fewer words than a shingle make one
-shingle; a null id is linked with nothing and has no component; repeated rows stay; an empty table gives no rows;
-further columns are ignored. Shingles are 64-bit hashes and equal sets are told by a 64-bit hash of the set.
+shingle; a null id is linked with nothing and has no component; repeated rows stay; rows that repeat an id with another
+text are documents of their own under that id; very long texts are taken whole; an empty table gives no rows; further
+columns are ignored. Shingles are 64-bit hashes and equal sets are told by a 64-bit hash of the set.
 """
 
 from __future__ import annotations
@@ -23,16 +29,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelwise.llm.common import blocks, frozen, hashes, mixed, starts, strings, words
-from parcelwise.llm.components import components
+from parcelwise.llm.components import components, spread_join
 from parcelwise.llm.interpolation import packed, unpacked
 
 SHINGLE, PERCENT = 3, 90
 #: Sets in one block of a candidate component.
 BLOCK_SETS = 512
+#: Bytes of signatures or shingles that one range is meant to hold.
+RANGE_BYTES = 16 << 20
 #: Bits of the parity bitmaps that rule pairs out.
 PARITY_BITS = 1024
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -108,50 +116,63 @@ def signatures(values: np.ndarray, sizes: np.ndarray, percent: int = PERCENT) ->
     return np.concatenate(all_signatures), np.concatenate(all_owners)
 
 
+def _picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, key), the key telling texts of one id apart."""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("key"))
+
+
 def measured(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """(id, n_shingles, set) of every document."""
+    """(id, key, n_shingles, set) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
             values, sizes = shingle_sets(block.column("text"), n)
-            yield pa.RecordBatch.from_arrays([block.column("id"), pa.array(sizes), pa.array(set_hashes(values, sizes))], ["id", "n_shingles", "set"])
+            yield pa.RecordBatch.from_arrays([block.column("id"), block.column("key"), pa.array(sizes), pa.array(set_hashes(values, sizes))], ["id", "key", "n_shingles", "set"])
 
-    picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, "id long, n_shingles long, set long")
+    return _picked(docs, id_col, text_col).mapInArrow(run, "id long, key long, n_shingles long, set long")
 
 
-def candidate_links(docs: DataFrame, text_col: str, n: int, percent: int, bits: int) -> DataFrame:
-    """(a, b): a star for every signature that several sets share."""
+RUNS = "range int, found binary, owner binary, sets binary, extra binary"
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
-            values, sizes = shingle_sets(block.column("text"), n)
-            sets = set_hashes(values, sizes)
-            _, first = np.unique(sets, return_index=True)
-            keep = np.zeros(len(sets), bool)
-            keep[first] = True
-            values, sizes, sets = values[np.repeat(keep, sizes)], sizes[keep], sets[keep]
-            found, owner = signatures(values, sizes, percent)
-            order = np.argsort(found)
-            found, owner = found[order], owner[order]
-            cut = np.searchsorted(found >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
-            rows = []
-            for r in np.flatnonzero(np.diff(cut)).tolist():
-                part = slice(cut[r], cut[r + 1])
-                used, where = np.unique(owner[part], return_inverse=True)
-                rows.append((r, packed(np.diff(found[part], prepend=np.uint64(0))), packed(where), sets[used].tobytes()))
-            if rows:
-                columns = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["range", "found", "owner", "sets"])
+
+def runs(found: np.ndarray, owner: np.ndarray, sets: np.ndarray, bits: int, extra: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Values and the sets they belong to (positions in ``sets``) as sorted runs, one for each range of the top bits;
+    ``extra`` is a number for each set that travels along."""
+    order = np.argsort(found)
+    found, owner = found[order], owner[order]
+    cut = np.searchsorted(found >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+    extra = np.zeros(len(sets), np.int64) if extra is None else extra
+    rows = []
+    for r in np.flatnonzero(np.diff(cut)).tolist():
+        part = slice(cut[r], cut[r + 1])
+        used, where = np.unique(owner[part], return_inverse=True)
+        rows.append((r, packed(np.diff(found[part], prepend=np.uint64(0))), packed(where), sets[used].tobytes(), packed(extra[used])))
+    if rows:
+        columns = list(zip(*rows, strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), *[pa.binary()] * 4), strict=True)], ["range", "found", "owner", "sets", "extra"])
+
+
+def joined_runs(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The values of a range with their sets and extras, sorted by value and set, each pair once."""
+    found, owner, extra = [], [], []
+    for f, o, s, e in zip(*(group.column(c).to_pylist() for c in ("found", "owner", "sets", "extra")), strict=True):
+        where = unpacked(o).astype(np.int64)
+        found.append(np.cumsum(unpacked(f), dtype=np.uint64))
+        owner.append(np.frombuffer(s, np.int64)[where])
+        extra.append(unpacked(e).astype(np.int64)[where])
+    found, owner, extra = np.concatenate(found), np.concatenate(owner), np.concatenate(extra)
+    order = np.lexsort((owner, found))
+    found, owner, extra = found[order], owner[order], extra[order]
+    new = np.append(True, (found[1:] != found[:-1]) | (owner[1:] != owner[:-1]))
+    return found[new], owner[new], extra[new]
+
+
+def stars(sent: DataFrame) -> DataFrame:
+    """(a, b): of every value that several sets share, the links of its least set to the others."""
 
     def meet(group: pa.Table) -> pa.Table:
-        found, owner = [], []
-        for f, o, s in zip(*(group.column(c).to_pylist() for c in ("found", "owner", "sets")), strict=True):
-            found.append(np.cumsum(unpacked(f), dtype=np.uint64))
-            owner.append(np.frombuffer(s, np.int64)[unpacked(o).astype(np.int64)])
-        found, owner = np.concatenate(found), np.concatenate(owner)
-        order = np.lexsort((owner, found))
-        found, owner = found[order], owner[order]
+        found, owner, _ = joined_runs(group)
         new = np.append(True, found[1:] != found[:-1])
         least = owner[np.flatnonzero(new)][np.cumsum(new) - 1]
         link = owner != least
@@ -161,21 +182,105 @@ def candidate_links(docs: DataFrame, text_col: str, n: int, percent: int, bits:
         new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
         return pa.table({"a": pa.array(a[new], pa.int64()), "b": pa.array(b[new], pa.int64())})
 
-    sent = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(send, "range int, found binary, owner binary, sets binary")
     return sent.groupBy("range").applyInArrow(meet, "a long, b long")
 
 
+def candidate_links(docs: DataFrame, text_col: str, n: int, percent: int, bits: int) -> DataFrame:
+    """(a, b): a star for every signature that several sets share."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text"):
+            values, sizes = shingle_sets(block.column("text"), n)
+            sets = set_hashes(values, sizes)
+            _, first = np.unique(sets, return_index=True)
+            keep = np.zeros(len(sets), bool)
+            keep[first] = True
+            values, sizes, sets = values[np.repeat(keep, sizes)], sizes[keep], sets[keep]
+            yield from runs(*signatures(values, sizes, percent), sets, bits)
+
+    return stars(docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(send, RUNS))
+
+
+def rarest_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, n: int, percent: int, bits: int) -> DataFrame:
+    """(a, b): a star for each shingle that is among the rarest of several ``members`` (root, set, id, key) of one
+    component. Rarity is the number of members that hold a shingle, above 255 of them all alike, then its hash. Sets
+    that are similar enough have as many of their shingles in common as leave ``|set| - ceil(percent |set| / 100)`` out,
+    so their first shared shingle, in the order of rarity, is among the first of those and one more of each."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text"):
+            values, sizes = shingle_sets(block.column("text"), n)
+            sets, first = np.unique(block.column("set").to_numpy(), return_index=True)
+            at = starts(sizes)
+            picked = np.concatenate([values[at[i] : at[i + 1]] for i in first.tolist()])
+            yield from runs(picked, np.repeat(np.arange(len(first)), sizes[first]), sets, bits, sizes[first])
+
+    def shared(group: pa.Table) -> pa.Table:
+        found, owner, size = joined_runs(group)
+        new = np.append(True, found[1:] != found[:-1])
+        holders = np.diff(np.append(np.flatnonzero(new), len(found)))[np.cumsum(new) - 1]
+        more = holders > 1
+        found, owner, size, holders = found[more], owner[more], size[more], np.minimum(holders[more], 255).astype(np.uint8)
+        order = np.argsort(owner, kind="stable")
+        found, owner, size, holders = found[order], owner[order], size[order], holders[order]
+        cut = np.append(np.flatnonzero(np.append(True, owner[1:] != owner[:-1])[: len(owner)]), len(owner))
+        parts = [(owner[i], size[i], found[i:j].tobytes(), holders[i:j].tobytes()) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+        columns = list(zip(*parts, strict=True)) if parts else [[]] * 4
+        return pa.table({c: pa.array(v, t) for c, v, t in zip(("set", "size", "found", "holders"), columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)})
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # rows of the last set, which may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([*held, batch])
+            sets = table.column("set").to_numpy()
+            done = int(np.argmax(sets == sets[-1]))
+            held = table.slice(done).to_batches()
+            if done:
+                yield from _rarest(table.slice(0, done), percent, bits)
+        if held:
+            yield from _rarest(pa.Table.from_batches(held), percent, bits)
+
+    picked = members.join(_picked(docs, id_col, text_col), ["id", "key"]).select("set", "text")
+    counted = picked.mapInArrow(send, RUNS).groupBy("range").applyInArrow(shared, "set long, size long, found binary, holders binary")
+    chosen = counted.repartition("set").sortWithinPartitions("set").mapInArrow(choose, RUNS)
+    return stars(chosen)
+
+
+def _rarest(table: pa.Table, percent: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Runs of the shingles that count for each set, from all that it shares with others."""
+    found = [np.frombuffer(x, np.uint64) for x in table.column("found").to_pylist()]
+    lengths = np.array([len(x) for x in found])
+    names, owner_of_row = np.unique(table.column("set").to_numpy(), return_inverse=True)
+    owner, found = np.repeat(owner_of_row, lengths), np.concatenate(found)
+    holders = np.frombuffer(b"".join(table.column("holders").to_pylist()), np.uint8)
+    size = np.zeros(len(names), np.int64)
+    size[owner_of_row] = table.column("size").to_numpy()
+    total = np.bincount(owner, minlength=len(names))
+    alone = size - total  # shingles that no other set has come first and link with nothing
+    take = size - -(-percent * size // 100) + 1 - alone
+    order = np.lexsort((found, holders, owner))
+    owner, found = owner[order], found[order]
+    rank = np.arange(len(owner)) - starts(total)[:-1][owner]
+    pick = rank < take[owner]
+    if pick.any():
+        yield from runs(mixed(found[pick] ^ _B), owner[pick], names, bits)
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """The sets of the ``wanted`` (id, ...) documents beside their columns."""
+    """The sets of the ``wanted`` (id, key, set, ...) documents beside their columns; of rows that repeat id and text
+    in one block only the first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
+            _, first = np.unique(block.column("set").to_numpy(), return_index=True)
+            block = block.take(pa.array(first))
             values, sizes = shingle_sets(block.column("text"), n)
             at = starts(sizes)
             yield block.drop_columns(["text"]).append_column("values", pa.array([values[at[i] : at[i + 1]].tobytes() for i in range(len(sizes))], pa.binary()))
 
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    joined = wanted.join(texts, "id").drop("id")
+    joined = wanted.join(_picked(docs, id_col, text_col), ["id", "key"]).drop("id", "key")
     kept = [f"{f.name} {f.dataType.simpleString()}" for f in joined.schema if f.name != "text"]
     return joined.mapInArrow(run, ", ".join([*kept, "values binary"]))
 
@@ -246,33 +351,62 @@ def verified(members: DataFrame, percent: int) -> DataFrame:
     return dealt.groupBy("root", "i", "j").applyInArrow(compare, "a long, b long, n long")
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id, n_links): a document's set size, the least id that it is connected with by
-    links (Jaccard similarity of at least ``percent`` / 100), and how many documents it is linked with itself."""
-    spark: SparkSession = docs.sparkSession
+def bits_for(total_bytes: float, partitions: int) -> int:
+    """Bits of the ranges, so that there are two for each partition at least and each holds about RANGE_BYTES."""
+    return max(4, int(np.ceil(np.log2(max(2 * partitions, total_bytes / RANGE_BYTES)))))
+
+
+def placed_rows(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
+    """(id, key, n_shingles, set, root, component_id, n_links) of every row; the root, null without words or id, names
+    the component by its sets."""
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sizes = frozen(measured(docs, id_col, text_col, n))
-    classes = sizes.filter("n_shingles > 0 and id is not null").groupBy("set").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    bits = max(4, int(np.ceil(np.log2(2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))))
-    stars = components(candidate_links(docs, text_col, n, percent, bits))
-    counts = stars.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("blocks"))
-    members = stars.join(counts, "root").join(classes.withColumnRenamed("set", "node"), "node")
-    members = members.select("root", F.col("node").alias("set"), "copies", "blocks", F.pmod(F.xxhash64(F.lit(7), "node"), "blocks").cast("int").alias("block"), "id")
+    whole = sizes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("shingles")).first()
+    least = F.min(F.struct("id", "key"))
+    classes = sizes.filter("n_shingles > 0 and id is not null").groupBy("set").agg(least.alias("_first"), F.count(F.lit(1)).alias("copies"))
+    classes = frozen(classes.select("set", "_first.id", "_first.key", "copies"))
+    near = components(candidate_links(docs, text_col, n, percent, bits_for(whole["shingles"] * 8 * (100 - percent) / 30, partitions)))
+    members = near.withColumnRenamed("node", "set").join(classes, "set")
+    members = frozen(_with_count(members, "root", whole["n"]))
+    large = members.filter(F.col("n") > BLOCK_SETS)
+    split = components(rarest_links(docs, large, id_col, text_col, n, percent, bits_for(whole["shingles"] * 12, partitions)))
+    split = split.withColumnRenamed("node", "set").join(classes, "set")
+    members = members.filter(F.col("n") <= BLOCK_SETS).unionByName(_with_count(split, "root", whole["n"]))
+    members = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK_SETS).cast("int"))
+    members = members.select("root", "set", "copies", "blocks", F.pmod(F.xxhash64(F.lit(7), "set"), "blocks").cast("int").alias("block"), "id", "key")
     found = frozen(verified(sets_of(docs, members, id_col, text_col, n), percent))
     degrees = found.filter("b is null").groupBy(F.col("a").alias("set")).agg(F.sum("n").alias("near"))
     roots = components(found.filter("b is not null").select("a", "b")).withColumnRenamed("node", "set")
-    placed = classes.join(roots, "set", "left").join(degrees, "set", "left").withColumn("root", F.coalesce("root", "set"))
-    least = placed.groupBy("root").agg(F.min("id").alias("component_id"))
-    placed = placed.join(least, "root").select("set", "component_id", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("links"))
+    placed = frozen(classes.join(roots, "set", "left").join(degrees, "set", "left").withColumn("root", F.coalesce("root", "set")))
+    least = placed.groupBy("root").agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    placed = spread_join(placed, least, "root", whole["n"]).select("set", "root", "component_id", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).cast("long").alias("n_links"), F.col("copies").alias("n"))
     linked = (F.col("n_shingles") > 0) & F.col("id").isNotNull()
-    return (
-        sizes.withColumn("set", F.when(linked, F.col("set")))
-        .join(placed, "set", "left")
-        .select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
-    )
+    inside = spread_join(sizes.filter(linked), placed, "set", whole["n"])
+    alone = sizes.filter(~linked).withColumns({"root": F.lit(None).cast("long"), "component_id": F.col("id"), "n_links": F.lit(0).cast("long")})
+    return inside.unionByName(alone)
+
+
+def _with_count(rows: DataFrame, key: str, total: int) -> DataFrame:
+    """Rows with the number of rows ``n`` that their key has."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return spread_join(rows, counts.withColumn("k", F.col("n")), key, total, "k")
+
+
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(id, n_shingles, component_id, n_links): a document's set size, the least id that it is connected with by
+    links (Jaccard similarity of at least ``percent`` / 100), and how many documents it is linked with itself."""
+    return placed_rows(docs, id_col, text_col, n, percent).select(F.col("id").alias(id_col), "n_shingles", "component_id", "n_links")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One document of each component, the one with the least id; documents without words or id all stay."""
-    joined = jaccard_join(docs, id_col, text_col, n, percent)
-    gone = joined.filter(F.col("component_id") != F.col(id_col)).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    """One row of each component: the one with the least id, and of rows that repeat id and text any one. Documents
+    without words or id all stay."""
+    rows = frozen(placed_rows(docs, id_col, text_col, n, percent).filter("root is not null").select("root", "id", "key"))
+    first = rows.groupBy("root").agg(F.min(F.struct("id", "key")).alias("f")).select("f.id", "f.key", F.lit(True).alias("stays"))
+    texts = rows.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n")).join(first, ["id", "key"], "left")
+    marks = texts.filter("stays is null or n > 1").select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.coalesce("stays", F.lit(False)).alias("_stays"))
+    judged = docs.withColumns({"_i": F.col(id_col).cast("long"), "_k": F.xxhash64(F.col(text_col).cast("string"))})
+    judged = judged.join(marks, (F.col("_i") == F.col("_id")) & (F.col("_k") == F.col("_key")), "left").filter("_stays is null or _stays")
+    # By the same keys as the join, so the texts are shuffled once.
+    judged = judged.withColumn("_rn", F.when(F.col("_stays"), F.row_number().over(Window.partitionBy("_i", "_k").orderBy("_k"))).otherwise(1))
+    return judged.filter("_rn = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
