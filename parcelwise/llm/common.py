@@ -48,6 +48,24 @@ def frozen(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of the bit table of :func:`sifted`, 64 bits each, however many keys it is made of.
+SIEVE_ROWS = 1 << 16
+
+
+def sifted(rows: DataFrame, wanted: DataFrame, keys: dict[str, str], name: str) -> DataFrame:
+    """Rows with a flag that is true if their keys may be among those of ``wanted`` (keys: column of rows to column of
+    wanted) and false if they are not, by a bit table of at most SIEVE_ROWS rows, which is broadcast. It spares rows a
+    shuffle; with very many keys all bits are set and none is spared."""
+    hashed = lambda columns: F.xxhash64(F.lit(11), *[F.col(c) for c in columns])
+    word, bit = (lambda h: F.pmod(h, F.lit(SIEVE_ROWS))), (lambda h: F.shiftrightunsigned(h, 58).cast("int"))
+    h = hashed(keys.values())
+    table = wanted.select(word(h).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit(h)).alias("_bit"))
+    table = table.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    rows = rows.withColumn("_hash", hashed(keys))
+    rows = rows.join(F.broadcast(table), word(F.col("_hash")) == F.col("_word"), "left")
+    return rows.withColumn(name, F.coalesce(F.getbit("_bits", bit(F.col("_hash"))) == 1, F.lit(False))).drop("_hash", "_word", "_bits")
+
+
 def fold(column: str, n: int) -> Column:
     """crc32 of the id as text, modulo ``n`` (null ids: fold 0)."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % n, F.lit(0)).cast("int")

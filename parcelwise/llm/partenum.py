@@ -9,7 +9,7 @@ two sets that are similar enough always share a signature, whatever they hold.
 How it runs: equal sets are one class from the start. Signatures travel as sorted runs cut by their top bits, into as
 many ranges as the data calls for; where a signature has several sets, a star of candidate links goes from its least set
 to the others. Candidates are gathered by connected component. A signature whose pieces are nearly empty says little,
-and chains of them can tie most sets together; so a component that is larger than a block is split further, without
+and chains of them can tie most sets together; so a component of more than SPLIT_SETS sets is split further, without
 losing a pair: the number of its sets that hold a shingle is counted for every shingle, and two similar sets of a
 component must share one of their rarest shingles (as many of them as two similar sets may differ in, and one more). A
 set most of whose shingles no other set has thus meets nobody. What is left of a component is cut into blocks of bounded
@@ -32,13 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelwise.llm.common import blocks, frozen, hashes, mixed, starts, strings, words
+from parcelwise.llm.common import blocks, frozen, hashes, mixed, sifted, starts, strings, words
 from parcelwise.llm.components import components, spread_join
 from parcelwise.llm.interpolation import packed, unpacked
 
 SHINGLE, PERCENT = 3, 90
 #: Sets in one block of a candidate component.
 BLOCK_SETS = 512
+#: Sets of a candidate component that is split no further.
+SPLIT_SETS = 64
 #: Bytes of signatures or shingles that one range is meant to hold.
 RANGE_BYTES = 16 << 20
 #: Bits of the parity bitmaps that rule pairs out.
@@ -202,15 +204,15 @@ def candidate_links(docs: DataFrame, text_col: str, n: int, percent: int, bits:
 
 
 def rarest_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, n: int, percent: int, bits: int) -> DataFrame:
-    """(a, b): a star for each shingle that is among the rarest of several ``members`` (root, set, id, key) of one
-    component. Rarity is the number of members that hold a shingle, above 255 of them all alike, then its hash. Sets
+    """(a, b): a star for each shingle that is among the rarest of several ``members`` (set, id, key). Other documents
+    that the sieve lets through add links that none of them needs, and lose none. Rarity is the number of members that hold a shingle, above 255 of them all alike, then its hash. Sets
     that are similar enough have as many of their shingles in common as leave ``|set| - ceil(percent |set| / 100)`` out,
     so their first shared shingle, in the order of rarity, is among the first of those and one more of each."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
             values, sizes = shingle_sets(block.column("text"), n)
-            sets, first = np.unique(block.column("set").to_numpy(), return_index=True)
+            sets, first = np.unique(set_hashes(values, sizes), return_index=True)
             at = starts(sizes)
             picked = np.concatenate([values[at[i] : at[i + 1]] for i in first.tolist()])
             yield from runs(picked, np.repeat(np.arange(len(first)), sizes[first]), sets, bits, sizes[first])
@@ -242,7 +244,7 @@ def rarest_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str
         if held:
             yield from _rarest(pa.Table.from_batches(held), percent, bits)
 
-    picked = members.join(_picked(docs, id_col, text_col), ["id", "key"]).select("set", "text")
+    picked = sifted(_picked(docs, id_col, text_col), members, {"id": "id", "key": "key"}, "maybe").filter("maybe").select("text")
     counted = picked.mapInArrow(send, RUNS).groupBy("range").applyInArrow(shared, "set long, size long, found binary, holders binary")
     chosen = counted.repartition("set").sortWithinPartitions("set").mapInArrow(choose, RUNS)
     return stars(chosen)
@@ -280,7 +282,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: i
             at = starts(sizes)
             yield block.drop_columns(["text"]).append_column("values", pa.array([values[at[i] : at[i + 1]].tobytes() for i in range(len(sizes))], pa.binary()))
 
-    joined = wanted.join(_picked(docs, id_col, text_col), ["id", "key"]).drop("id", "key")
+    texts = sifted(_picked(docs, id_col, text_col), wanted, {"id": "id", "key": "key"}, "maybe").filter("maybe").drop("maybe")
+    joined = wanted.join(texts, ["id", "key"]).drop("id", "key")
     kept = [f"{f.name} {f.dataType.simpleString()}" for f in joined.schema if f.name != "text"]
     return joined.mapInArrow(run, ", ".join([*kept, "values binary"]))
 
@@ -368,12 +371,12 @@ def placed_rows(docs: DataFrame, id_col: str, text_col: str, n: int, percent: in
     near = components(candidate_links(docs, text_col, n, percent, bits_for(whole["shingles"] * 8 * (100 - percent) / 30, partitions)))
     members = near.withColumnRenamed("node", "set").join(classes, "set")
     members = frozen(_with_count(members, "root", whole["n"]))
-    large = members.filter(F.col("n") > BLOCK_SETS)
+    large = members.filter(F.col("n") > SPLIT_SETS)
     split = components(rarest_links(docs, large, id_col, text_col, n, percent, bits_for(whole["shingles"] * 12, partitions)))
     split = split.withColumnRenamed("node", "set").join(classes, "set")
-    members = members.filter(F.col("n") <= BLOCK_SETS).unionByName(_with_count(split, "root", whole["n"]))
+    members = members.filter(F.col("n") <= SPLIT_SETS).unionByName(_with_count(split, "root", whole["n"]))
     members = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK_SETS).cast("int"))
-    members = members.select("root", "set", "copies", "blocks", F.pmod(F.xxhash64(F.lit(7), "set"), "blocks").cast("int").alias("block"), "id", "key")
+    members = frozen(members.select("root", "set", "copies", "blocks", F.pmod(F.xxhash64(F.lit(7), "set"), "blocks").cast("int").alias("block"), "id", "key"))
     found = frozen(verified(sets_of(docs, members, id_col, text_col, n), percent))
     degrees = found.filter("b is null").groupBy(F.col("a").alias("set")).agg(F.sum("n").alias("near"))
     roots = components(found.filter("b is not null").select("a", "b")).withColumnRenamed("node", "set")
@@ -404,9 +407,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     rows = frozen(placed_rows(docs, id_col, text_col, n, percent).filter("root is not null").select("root", "id", "key"))
     first = rows.groupBy("root").agg(F.min(F.struct("id", "key")).alias("f")).select("f.id", "f.key", F.lit(True).alias("stays"))
     texts = rows.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n")).join(first, ["id", "key"], "left")
-    marks = texts.filter("stays is null or n > 1").select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.coalesce("stays", F.lit(False)).alias("_stays"))
+    marks = frozen(texts.filter("stays is null or n > 1").select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.coalesce("stays", F.lit(False)).alias("_stays")))
     judged = docs.withColumns({"_i": F.col(id_col).cast("long"), "_k": F.xxhash64(F.col(text_col).cast("string"))})
-    judged = judged.join(marks, (F.col("_i") == F.col("_id")) & (F.col("_k") == F.col("_key")), "left").filter("_stays is null or _stays")
+    judged = sifted(judged, marks, {"_i": "_id", "_k": "_key"}, "_maybe")
+    asked = judged.filter("_maybe").join(marks, (F.col("_i") == F.col("_id")) & (F.col("_k") == F.col("_key")), "left").filter("_stays is null or _stays")
     # By the same keys as the join, so the texts are shuffled once.
-    judged = judged.withColumn("_rn", F.when(F.col("_stays"), F.row_number().over(Window.partitionBy("_i", "_k").orderBy("_k"))).otherwise(1))
-    return judged.filter("_rn = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    asked = asked.withColumn("_rn", F.when(F.col("_stays"), F.row_number().over(Window.partitionBy("_i", "_k").orderBy("_k"))).otherwise(1)).filter("_rn = 1")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return judged.filter(~F.col("_maybe")).select(*columns).unionByName(asked.select(*columns))

@@ -244,6 +244,7 @@ def test_pipeline_keeps_one_of_each_group_at_five_words_and_80_percent(spark, sf
 
 def test_partenum_blocks_of_a_large_component(spark, monkeypatch):
     monkeypatch.setattr(partenum, "BLOCK_SETS", 3)
+    monkeypatch.setattr(partenum, "SPLIT_SETS", 5)
     rng = np.random.default_rng(5)
     base, rows = [f"w{i}" for i in range(150)], []
     for i in range(40):
@@ -255,6 +256,30 @@ def test_partenum_blocks_of_a_large_component(spark, monkeypatch):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in partenum.jaccard_join(frame).collect()) == jaccard(rows)
 
 
+def test_splitting_components_loses_no_link(spark, monkeypatch):
+    monkeypatch.setattr(partenum, "SPLIT_SETS", 1)
+    rng = np.random.default_rng(8)
+    common, rows = [f"c{i}" for i in range(40)], []
+    for i in range(150):  # a shared passage in all, and families whose members differ in few or many words
+        w = [f"f{i % 12}w{k}" for k in range(60)]
+        for _ in range(int(rng.integers(0, 8))):
+            w[int(rng.integers(0, 60))] = f"e{rng.integers(0, 30)}"
+        rows.append((i // 2 if i < 20 else i, " ".join(common[: int(rng.integers(0, 40))] + w)))  # ids with two texts
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for n, percent in ((5, 80), (3, 90), (1, 70)):
+        found = Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in partenum.jaccard_join(frame, n=n, percent=percent).collect())
+        want = jaccard(list(enumerate(t for _, t in rows)), n, percent)
+        assert sorted((a[1], a[3]) for a in found.elements()) == sorted((a[1], a[3]) for a in want.elements())
+        assert len(set(a[2] for a in want)) == partenum.keep_one(frame, n=n, percent=percent).count()
+
+
+def test_repeated_rows_and_ids(spark):
+    rows = [(1, BASE)] * 3 + [(1, BASE + " end of it all"), (2, BASE), (None, BASE), (None, BASE), (3, ""), (3, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"]) for r in partenum.keep_one(frame).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [(1, BASE), (1, BASE + " end of it all"), (None, BASE), (None, BASE), (3, ""), (3, "")]))
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 60), st.integers(0, 10**6))
 def test_similar_sets_share_a_signature(size, less, more, seed):
