@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelwise.functions import rules
 from parcelwise.functions.columns import keyword_pattern, last_match, squeezed, timestamp_of
+from parcelwise.sources.store import literal_table
 
 REQUIRED = ("property_id", "city", "district", "price", "area_sqm", "bedrooms", "posted_at")
 #: Column, type and the smallest value allowed (exclusive, or inclusive with True).
@@ -59,19 +60,20 @@ def invalid_samples(tagged: DataFrame, order: list[str], n: int = 20) -> DataFra
 
 
 def alias_table(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
-    """(alias, standard), lower case, one row for each alias (the first standard wins)."""
+    """(alias, standard), lower case, one row for each alias (the first standard wins), of a size that Spark knows."""
     pairs, seen = [], set()
     for standard, names in aliases.items():
         for name in [standard, *names]:
             if name.lower() not in seen:
                 seen.add(name.lower())
                 pairs.append((name.lower(), standard))
-    return df.sparkSession.createDataFrame(pairs or [("", "")], "alias string, standard string")
+    return literal_table(df.sparkSession, pairs, "alias string, standard string")
 
 
 def standardize(df: DataFrame, tables: dict[str, DataFrame | dict[str, list[str]]]) -> DataFrame:
     """Columns replaced by their standard names; ``mapping_status`` is MAPPED only if all of them were found, and a
-    value that was not found keeps its text. Tables are joined, so they may grow; Spark broadcasts small ones."""
+    value that was not found keeps its text. Tables are joined, so they may grow: Spark broadcasts those it knows to be
+    small (dicts, and tables read from files) and shuffles others."""
     hits: list[Column] = []
     for column, table in tables.items():
         pairs = alias_table(df, table) if isinstance(table, dict) else table

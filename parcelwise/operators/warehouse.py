@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelwise.functions import rules
 from parcelwise.functions.columns import date_key, first_match, lookup, timestamp_of
+from parcelwise.sources.store import literal_table
 
 UNKNOWN_KEY, UNKNOWN_DATE = -1, 19000101
 PRICE_SCHEMA = "price_segment_key smallint, segment_name string, price_floor decimal(15,2), price_ceiling decimal(15,2), label string, valid_from date, valid_to date, is_current boolean"
@@ -43,11 +44,11 @@ def dim_property_type(silver: DataFrame, groups: dict[str, list[str]] = rules.TY
 
 
 def dim_price_segment(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(rules.PRICE_SEEDS, PRICE_SCHEMA)
+    return literal_table(spark, rules.PRICE_SEEDS, PRICE_SCHEMA)
 
 
 def dim_area_segment(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(rules.AREA_SEEDS, AREA_SCHEMA)
+    return literal_table(spark, rules.AREA_SEEDS, AREA_SCHEMA)
 
 
 def dim_time(spark: SparkSession, start: str = "2024-01-01", end: str = "2028-12-31") -> DataFrame:
@@ -63,8 +64,9 @@ def dim_time(spark: SparkSession, start: str = "2024-01-01", end: str = "2028-12
 
 
 def with_key(facts: DataFrame, dim: DataFrame, on: dict[str, str], key: str) -> DataFrame:
-    """The dimension's key by equality of fact and dimension columns, -1 where there is none. Spark broadcasts the
-    dimension while it is small and shuffles when it is not."""
+    """The dimension's key by equality of fact and dimension columns, -1 where there is none. Spark broadcasts a
+    dimension that it knows to be small (seeds, stored tables, :func:`parcelwise.sources.store.sized`) and shuffles
+    others."""
     side = dim.select(F.col(key).alias("_key"), *[F.col(d).alias(f"_d{i}") for i, d in enumerate(on.values())])
     match = [F.col(f) == F.col(f"_d{i}") for i, f in enumerate(on)]
     return facts.join(side, match, "left").withColumn(key, F.coalesce("_key", F.lit(UNKNOWN_KEY))).drop("_key", *[f"_d{i}" for i in range(len(on))])
@@ -78,17 +80,21 @@ def in_band(value: Column, low: Column, high: Column) -> Column:
 def range_join(facts: DataFrame, bands: DataFrame, value: str, low: str, high: str, columns: list[str], steps: int = 0) -> DataFrame:
     """Each fact with the columns of the band that holds its value, or nulls.
 
-    With few bands the comparison goes straight against them. With ``steps`` (bands are many, and closed on both
-    ends), bands are dealt to the buckets of that width that they touch and joined by bucket, so no task meets all
-    bands.
+    With few bands the comparison goes straight against them. With ``steps`` (bands are many), closed bands are dealt
+    to the buckets of that width that they touch and joined by bucket, so no task meets all bands; bands that are open
+    above (those that overlap no other are one at most) are compared straight.
     """
     side = bands.select(F.col(low).alias("_low"), F.col(high).alias("_high"), *columns)
     if not steps:
         return facts.join(side, in_band(F.col(value), F.col("_low"), F.col("_high")), "left").drop("_low", "_high")
     bucket = lambda c: F.floor(c / steps)
-    side = side.withColumn("_b", F.explode(F.sequence(bucket(F.col("_low")), bucket(F.col("_high")))))
+    closed = side.filter("_high is not null").withColumn("_b", F.explode(F.sequence(bucket(F.col("_low")), bucket(F.col("_high")))))
     facts = facts.withColumn("_f", bucket(F.col(value)))
-    return facts.join(side, (F.col("_f") == F.col("_b")) & in_band(F.col(value), F.col("_low"), F.col("_high")), "left").drop("_low", "_high", "_b", "_f")
+    facts = facts.join(closed, (F.col("_f") == F.col("_b")) & in_band(F.col(value), F.col("_low"), F.col("_high")), "left").drop("_low", "_b", "_f")
+    # A band that is open above takes what no closed band holds.
+    open_ = side.filter("_high is null").select(F.col("_low").alias("_from"), *[F.col(c).alias(f"_{c}") for c in columns])
+    facts = facts.join(open_, F.col("_high").isNull() & (F.col(value) >= F.col("_from")), "left")
+    return facts.withColumns({c: F.when(F.col("_from").isNotNull(), F.col(f"_{c}")).otherwise(F.col(c)) for c in columns}).drop("_high", "_from", *[f"_{c}" for c in columns])
 
 
 def half_open(dim: DataFrame, low: str, high: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from parcelwise.functions.columns import half_up
 from parcelwise.operators import analytics, changes, cleaning, market, warehouse
 from parcelwise.sources import readers
-from parcelwise.sources.store import as_strings, merge_upsert
+from parcelwise.sources.store import as_strings, merge_upsert, sized, written
 
 AS_OF = "2002-01-01 00:00:00"
 #: Stand-ins in the language of the tables for the rules of :mod:`parcelwise.functions.rules`.
@@ -37,7 +37,7 @@ def _as_of() -> Column:
 def raw(spark: SparkSession, sf: str) -> DataFrame:
     """Listings as text, with dirt. Small tables are joined without hints: Spark broadcasts them while they are small."""
     k = F.col("l_orderkey")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    cents = F.floor(F.col("l_extendedprice") * 100 + F.lit(0.5))  # rounding a double goes through decimals, once for each use
     rows = _t(spark, sf, "lineitem").join(_t(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.join(_t(spark, sf, "orders"), k == F.col("o_orderkey")).join(_t(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     rows = rows.join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -46,7 +46,7 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
         F.when(k % 7 == 1, F.concat(F.lit("  "), F.lower("n_name"), F.lit(" "))).otherwise(F.col("n_name")).alias("city"),
         F.when(k % 97 == 0, "").otherwise(F.col("c_mktsegment")).alias("district"), F.col("r_name").alias("region"),
         F.when(k % 89 == 0, "n/a").when(k % 83 == 0, (cents * -1500).cast("string")).otherwise((cents * 1500).cast("string")).alias("price"),
-        F.round(F.col("l_quantity") * 4).cast("long").cast("string").alias("area_sqm"), (F.col("l_linenumber") - 1).cast("string").alias("bedrooms"),
+        F.floor(F.col("l_quantity") * 4 + F.lit(0.5)).cast("string").alias("area_sqm"), (F.col("l_linenumber") - 1).cast("string").alias("bedrooms"),
         F.date_format("l_shipdate", "yyyy-MM-dd'T00:00:00Z'").alias("posted_at"), k.alias("orderkey"),
     )
 
@@ -147,8 +147,8 @@ PROPERTY_SURE = rf"CASE WHEN regexp_matches({BOTH}, 'ring|promo rod') THEN 0.90
 
 
 def star_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    rows = labelled(spark, sf).persist()  # stands for the Silver table, which dimensions, facts and joins all read
-    location, kinds = warehouse.dim_location(rows, REGIONS), warehouse.dim_property_type(rows, GROUPS)
+    rows = written(labelled(spark, sf))  # the Silver table, which dimensions, facts and joins all read
+    location, kinds = sized(warehouse.dim_location(rows, REGIONS)), sized(warehouse.dim_property_type(rows, GROUPS))
     fact = warehouse.fact_listing(rows, location, kinds, warehouse.dim_price_segment(spark), warehouse.dim_area_segment(spark), _as_of())
     return rows, location, kinds, fact
 
@@ -194,7 +194,7 @@ def dq_samples(spark, sf):
 
 def _cdc(spark, sf):
     text = F.col("price").cast("decimal(18,2)").cast("string")
-    rows = latest(spark, sf).withColumn("price_text", text)
+    rows = written(latest(spark, sf)).withColumn("price_text", text)
     state = changes.detect_changes(rows.filter("orderkey % 13 != 0"), spark.createDataFrame([], "property_id string, fingerprint string"), "property_id", CDC_FIELDS, "posted_at").select("property_id", "fingerprint")
     second = rows.withColumn("price_text", F.when(F.col("orderkey") % 10 == 0, (F.col("price") + 1).cast("decimal(18,2)").cast("string")).otherwise(text))
     return changes.detect_changes(second, state, "property_id", CDC_FIELDS, "posted_at"), state
@@ -212,7 +212,7 @@ marked AS (SELECT property_id, posted_at, md5(concat_ws('|', property_id, title,
 
 def cdc_next_state(spark, sf):
     marked, state = _cdc(spark, sf)
-    return changes.next_state(marked, state, "property_id", "posted_at")
+    return changes.next_state(marked, state, "property_id")
 
 
 def cdc_in_batch_sequence(spark, sf):
@@ -243,7 +243,7 @@ def unknown_worklist(spark, sf):
 
 
 def near_duplicate_drop(spark, sf):
-    docs = _t(spark, sf, "documents").select("doc_id", F.substring("text", 1, 80).alias("title"), F.col("n_chars").alias("price"))
+    docs = _t(spark, sf, "documents").select("doc_id", F.col("text").alias("title"), F.col("n_chars").alias("price"))
     return cleaning.drop_near_duplicates(docs, "title", "price", "doc_id").select("doc_id", "price")
 
 
@@ -292,8 +292,9 @@ def fact_listing(spark, sf):
 
 
 def fact_market_snapshot(spark, sf):
-    places = warehouse.dim_location(latest(spark, sf), REGIONS)
-    facts = warehouse.fact_market_snapshot(gold(spark, sf), places)
+    rows = written(silver(spark, sf))
+    places = sized(warehouse.dim_location(rows, REGIONS))
+    facts = warehouse.fact_market_snapshot(market.to_gold(rows, _as_of(), half_up, accuracy=1_000_000), places)
     return facts.select("location_key", "snapshot_time_key", "listing_count", "avg_price", "median_price", "max_price", "avg_listing_age_days", "luxury_listing_ratio")
 
 
@@ -493,7 +494,7 @@ SELECT CASE WHEN t OR s THEN 'Widgets' WHEN sure >= 0.7 THEN split_part(title, '
 CASE WHEN sure >= 0.7 THEN split_part(title, ' ', -1) ELSE 'UNKNOWN' END AS listing_type, {_COUNT} FROM x GROUP BY ALL""",
     "unknown_worklist": f"WITH {LATEST} SELECT title, {_COUNT} FROM latest WHERE {LISTING} = 'UNKNOWN' GROUP BY title ORDER BY n DESC, title LIMIT 10",
     "dedupe_latest": f"WITH {LATEST} SELECT * FROM latest",
-    "near_duplicate_drop": "SELECT doc_id, n_chars AS price FROM (SELECT doc_id, n_chars, row_number() OVER (PARTITION BY substr(text, 1, 50), n_chars ORDER BY doc_id, substr(text, 1, 80)) AS rn FROM documents) WHERE rn = 1",
+    "near_duplicate_drop": "SELECT doc_id, n_chars AS price FROM (SELECT doc_id, n_chars, row_number() OVER (PARTITION BY substr(text, 1, 50), n_chars ORDER BY doc_id, text) AS rn FROM documents) WHERE rn = 1",
     "resolve_entities": f"""WITH {LATEST}, t AS (SELECT DISTINCT property_id AS k, lower(title) AS t, price AS p, area_sqm AS s, city || '/' || title AS g, CAST(floor(price / 1e9) AS BIGINT) AS b FROM latest WHERE district = 'Building'),
 x AS (SELECT l.k AS a, r.k AS b, CAST(0.5 AS DOUBLE) * (1 - CAST(levenshtein(l.t, r.t) AS DOUBLE) / greatest(length(l.t), length(r.t), 1)) + CAST(0.25 AS DOUBLE) * (1 - abs(l.p - r.p) / greatest(abs(l.p), abs(r.p), 1.0)) + CAST(0.25 AS DOUBLE) * (1 - abs(l.s - r.s) / greatest(abs(l.s), abs(r.s), 1.0)) AS score
 FROM t l JOIN t r ON l.g = r.g AND abs(l.b - r.b) <= 1 AND l.k < r.k) SELECT a, b, {_r('score', 6)} AS score FROM x WHERE score >= CAST(0.95 AS DOUBLE)""",
@@ -538,4 +539,5 @@ SELECT property_id, {_r("coalesce(a, 0.0::DOUBLE)", 2)} AS district_avg_price FR
     "layer_inventory": f"""WITH {GOLD} SELECT 'raw' AS layer, count(*) AS n_rows, 11 AS n_columns, 'OK' AS status FROM raw UNION ALL SELECT 'invalid', count(*), 12, 'OK' FROM tagged WHERE dq_reason IS NOT NULL UNION ALL SELECT 'silver', count(*), 18, 'OK' FROM silver
 UNION ALL SELECT 'gold', count(*), 14, 'OK' FROM gold UNION ALL SELECT 'none', 0, 11, 'EMPTY'""",
     "eval_metrics": EVAL_SQL,
+    "stream_incremental": f"WITH {LATEST} SELECT 0 AS landing, 'NEW' AS status, {_COUNT} FROM latest HAVING count(*) > 0 UNION ALL SELECT 1, 'UPDATED', count(*) FROM latest WHERE orderkey % 10 = 0 HAVING count(*) > 0",
 }

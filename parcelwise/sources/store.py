@@ -6,13 +6,53 @@ that reads it, a failed write leaves the old state, and earlier generations can
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table of rows given in the program. Spark knows its size (it does not for rows of a Python list), so
+    joins with it are planned as broadcasts."""
+    kinds = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in kinds]
+    arrow = to_arrow_schema(kinds)
+    return spark.createDataFrame(pa.table([pa.array(list(c), f.type) for c, f in zip(columns, arrow, strict=True)], names=kinds.names), kinds)
+
+
+def sized(dim: DataFrame, most: int = 100_000) -> DataFrame:
+    """A dimension of at most ``most`` rows as a table whose size Spark knows; a larger one as it is, to be shuffled.
+    This runs the dimension once, and never brings more than ``most`` + 1 rows to the driver."""
+    rows = dim.limit(most + 1).toArrow()
+    return dim if rows.num_rows > most else dim.sparkSession.createDataFrame(rows, dim.schema)
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``). Where the session names
+    none, a local temporary folder serves a local master; a cluster has to name one."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        top = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", top)
+    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a table in the scratch folder, for a result that several plans branch from."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], keep: list[str] = (), null_safe: bool = False) -> DataFrame:
     """Rows of the target that the source does not match, and all rows of the source; matched rows keep the target's
     values of the columns ``keep`` (a surrogate key, a creation time). Columns may be missing on either side. Null
@@ -79,31 +119,38 @@ class TableStore:
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/{name}/g={g}")
         return g
 
-    def append_bronze(self, name: str, df: DataFrame, ingest_date: str) -> int:
-        """All columns as text, in a partition for the day."""
-        return self.append(name, as_strings(df).withColumn("ingest_date", F.lit(ingest_date)), ["ingest_date"])
+    def replace_batch(self, name: str, df: DataFrame, batch: dict[str, str]) -> int:
+        """Rows of one batch, in a partition that the columns ``batch`` name; writing the batch again replaces it."""
+        df = df.withColumns({c: F.lit(v) for c, v in batch.items()})
+        if not self.exists(name):
+            return self.overwrite(name, df, list(batch))
+        g = self.generation(name)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*batch).parquet(f"{self.root}/{name}/g={g}")
+        return g
+
+    def append_bronze(self, name: str, df: DataFrame, ingest_date: str, batch_id: str) -> int:
+        """All columns as text, in a partition for the day and the batch, so that a replay adds nothing."""
+        return self.replace_batch(name, as_strings(df), {"ingest_date": ingest_date, "batch_id": batch_id})
 
     def upsert(self, name: str, source: DataFrame, keys: list[str], keep: list[str] = (), null_safe: bool = False) -> int:
+        """The table with the source's rows merged in, as a new generation. The source is evaluated once."""
+        source = written(source)
         if repeated_keys(source, keys).limit(1).count():
             raise ValueError(f"several source rows have the same {keys}")
         target = self.read_or_none(name)
         return self.overwrite(name, source if target is None else merge_upsert(target, source, keys, keep, null_safe))
 
     def upsert_partitions(self, name: str, source: DataFrame, keys: list[str], partition: str) -> int:
-        """An upsert that rewrites only the partitions that the source has rows in: a snapshot of the same day
-        replaces its places, a new day is added."""
+        """An upsert within partitions, as a new generation: a snapshot of the same day replaces its places, a new day
+        is added. Only partitions that the source has rows in are joined with it; the others are copied."""
+        source = written(source)
         if not self.exists(name):
             return self.overwrite(name, source, [partition])
         target = self.read(name)
-        touched = target.join(source.select(partition).distinct(), partition, "left_semi")
-        merged = merge_upsert(touched.withColumn(partition, F.col(partition).cast(source.schema[partition].dataType)), source, [*keys, partition])
-        g = self.generation(name)
-        # The merged rows are written aside first: the partitions that they replace are the ones they are read from.
-        aside = f"{self.root}/{name}/_aside"
-        merged.write.mode("overwrite").parquet(aside)
-        again = self.spark.read.schema(merged.schema).parquet(aside)
-        again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(f"{self.root}/{name}/g={g}")
-        return g
+        target = target.withColumn(partition, F.col(partition).cast(source.schema[partition].dataType))
+        days = source.select(partition).distinct()
+        merged = merge_upsert(target.join(days, partition, "left_semi"), source, [*keys, partition])
+        return self.overwrite(name, target.join(days, partition, "left_anti").unionByName(merged, allowMissingColumns=True), [partition])
 
 
 def as_strings(df: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ def spark():
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")  # what is longer is never compiled to machine code
         .config("spark.local.dir", tempfile.mkdtemp(prefix="spark-tests-", dir="/tmp"))
         .getOrCreate()
     )

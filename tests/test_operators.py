@@ -11,6 +11,8 @@ from parcelwise.operators import analytics, changes, cleaning, market, warehouse
 from parcelwise.sources import readers, store
 from parcelwise.streaming.incremental import process_batch
 
+CITIES = {"Hồ Chí Minh": ["HCM", "SG", "Sài Gòn", "HCMC"]}
+DISTRICTS = {"Quận 1": ["Q1"], "Quận 3": ["Q3"], "Quận Bình Thạnh": ["Bình Thạnh"]}
 LISTING = "property_id string, city string, district string, price string, area_sqm string, bedrooms string, posted_at string"
 AT = "2024-01-01T00:00:00Z"
 
@@ -49,7 +51,7 @@ def test_changes_over_three_days_and_within_a_batch(spark):
     for rows in ([("1", "a", 5000, 50, 1), ("2", "b", 3000, 80, 1)],) * 2 + ([("1", "a", 4500, 50, 1), ("2", "b", 3000, 80, 1), ("3", "c", 1000, 120, 1)],):
         marked = changes.detect_changes(spark.createDataFrame(rows, schema), state, "property_id", fields, "seq")
         passed.append(sorted(r["property_id"] for r in changes.changed(marked).collect()))
-        state = changes.next_state(marked, state, "property_id", "seq")
+        state = changes.next_state(marked, state, "property_id")
     assert passed == [["1", "2"], [], ["1", "3"]]
     empty = spark.createDataFrame([], "property_id string, fingerprint string")
     batch = spark.createDataFrame([("1", "a", 1, 1, 1), ("1", "b", 1, 1, 2), ("1", "a", 1, 1, 3), ("2", "a", 1, 1, 1), ("2", "a", 1, 1, 2), (" ", "a", 1, 1, 1)], schema)
@@ -57,6 +59,16 @@ def test_changes_over_three_days_and_within_a_batch(spark):
     assert sorted((r["property_id"], r["seq"], r["status"]) for r in marked.collect()) == [("1", 1, "NEW"), ("1", 2, "UPDATED"), ("1", 3, "UPDATED"), ("2", 1, "NEW"), ("2", 2, "UNCHANGED")]
 
 
+def test_tied_sequences_leave_the_state_of_the_last_compared_row(spark):
+    schema, empty = "property_id string, title string, price int, area_sqm int, seq int", spark.createDataFrame([], "property_id string, fingerprint string")
+    fields = ["property_id", "title", "price", "area_sqm"]
+    rows = [(str(i), t, p, 1, 1) for i in range(6) for t in "ab" for p in (1, 2)]
+    state = changes.next_state(changes.detect_changes(spark.createDataFrame(rows, schema), empty, "property_id", fields, "seq"), empty, "property_id")
+    assert state.count() == 6
+    last = spark.createDataFrame([(str(i), "b", 2, 1, 2) for i in range(6)], schema)
+    assert {r["status"] for r in changes.detect_changes(last, state, "property_id", fields, "seq").collect()} == {"UNCHANGED"}
+
+
 def test_fingerprint_keeps_fields_apart(spark):
     rows = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, ""), ("", None)], "x string, y string")
     assert len({r["h"] for r in rows.select(fingerprint([F.col("x"), F.col("y")], "sha256").alias("h")).collect()}) == 4
@@ -67,7 +79,7 @@ def test_standardise_classify_and_quarantine(spark):
         [("1", "Ban can ho gia re", "Mua ban", "HCM", "Q1"), ("2", "Biet thu cao cap", "Dat nong nghiep", "Sài Gòn", "Bình Thạnh"), ("3", "Kiot doi dien", "Kiot Thuong Mai", " SG ", "Q3"), ("4", "Bán nhà đất mặt bằng", "Khác", "HCM", "Xã Lạ")],
         "property_id string, title string, source_category string, city string, district string",
     )
-    clean = lambda extra: lambda d: cleaning.standardize(d, {"city": rules.CITY_ALIASES, "district": rules.DISTRICT_ALIASES | extra})
+    clean = lambda extra: lambda d: cleaning.standardize(d, {"city": CITIES, "district": DISTRICTS | extra})
     mapped, left = cleaning.reprocess_quarantine(rows, None, clean({}))
     assert {(r["property_id"], r["city"], r["district"]) for r in mapped.collect()} == {("1", "Hồ Chí Minh", "Quận 1"), ("2", "Hồ Chí Minh", "Quận Bình Thạnh"), ("3", "Hồ Chí Minh", "Quận 3")}
     assert [(r["property_id"], r["district"]) for r in left.collect()] == [("4", "Xã Lạ")]
@@ -127,7 +139,7 @@ def test_batch_is_repeatable_and_survives_a_crash(spark, tmp_path):
     tables = store.TableStore(spark, str(tmp_path))
     rows = [("1", "t", "HCM", "Q1", "5e9", "50", "2", AT), ("2", "t", "HCM", "Lạ", "5e9", "50", "2", AT), ("3", "t", "HCM", "Q1", "x", "50", "2", AT)]
     batch = spark.createDataFrame(rows, "property_id string, title string, city string, district string, price string, area_sqm string, bedrooms string, posted_at string")
-    clean = lambda d: cleaning.standardize(d, {"city": rules.CITY_ALIASES, "district": rules.DISTRICT_ALIASES})
+    clean = lambda d: cleaning.standardize(d, {"city": CITIES, "district": DISTRICTS})
     now = F.lit("2024-01-11 00:00:00").cast("timestamp")
     real, state = tables.overwrite, {}
 
@@ -145,6 +157,31 @@ def test_batch_is_repeatable_and_survives_a_crash(spark, tmp_path):
     assert [r["property_id"] for r in tables.read("silver").collect()] == ["1"]
     assert tables.read("gold").first()["listing_count"] == 1
     assert tables.read("cdc_state").count() == 3
+    assert tables.read("bronze").count() == 3 and tables.read("quarantine").count() == 1
+    state["failed"] = False  # the next batch crashes before the state, and is repeated
+    more = spark.createDataFrame([("4", "t", "HCM", "Q1", "7e9", "50", "2", AT), ("5", "t", "HCM", "Lạ", "5e9", "50", "2", AT)], batch.schema)
+
+    def once(name, df, partition_by=()):
+        if name == "cdc_state" and not state["failed"]:
+            state["failed"] = True
+            raise RuntimeError("crash")
+        return real(name, df, partition_by)
+
+    tables.overwrite = once
+    with pytest.raises(RuntimeError):
+        process_batch(more, tables, clean, now, "2024-01-11", "1")
+    process_batch(more, tables, clean, now, "2024-01-11", "1")
+    assert (tables.read("bronze").count(), tables.read("quarantine").count(), tables.read("silver").count(), tables.read("quality").count()) == (5, 2, 2, 2)
+    assert tables.read("gold").first()["listing_count"] == 2 and tables.read("gold", 0).first()["listing_count"] == 1
+
+
+def test_open_bands_with_steps_and_literal_tables(spark):
+    bands = store.literal_table(spark, [("low", 0.0, 10.0), ("mid", 10.0, 30.0), ("high", 30.0, None)], "name string, a double, b double")
+    values = spark.createDataFrame([(-1.0,), (0.0,), (9.9,), (10.0,), (29.0,), (30.0,), (1e6,), (None,)], "v double")
+    for steps in (0, 7):
+        found = warehouse.range_join(values, bands, "v", "a", "b", ["name"], steps=steps)
+        assert [r["name"] for r in found.collect()] == [None, "low", "low", "mid", "mid", "high", "high", None]
+    assert store.sized(values, 3) is values and store.sized(values, 8).count() == 8
 
 
 def test_dimensions_keep_their_keys(spark):
