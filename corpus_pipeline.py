@@ -1,7 +1,13 @@
 """From raw documents to training token ids: five stages, each over all that the one before kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and reread as the next
-stage's input. All but the last return the columns of ``documents``.
+stage's input. All but the last return the columns of ``documents``, with further ones that the table has (whatever
+their names) unchanged.
+
+Defined results: null and empty texts are judged by the classifier as empty texts, hold no lines, shingles or benchmark
+words, and are encoded as no ids; a null id keeps its row. Rows that repeat id and text count as copies, of which one
+stays; rows that repeat an id with another text are documents of their own. Very long texts are worked on whole. An empty
+table gives no rows. ``n_chars`` is counted again for texts that lose lines, if the table has it.
 """
 
 from __future__ import annotations
@@ -15,16 +21,18 @@ from parcelwise.llm.common import frozen
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    judged = quality.judge_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return judged.filter("keep").select(*docs.columns)
+    judged = quality.judge_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), prefix="__quality_")
+    return judged.filter("__quality_keep").select(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines of recurring templates; one that has only such lines goes."""
-    kept = templates.drop_recurring_lines(docs)
-    changed = F.col("n_dropped") > 0
+    kept = templates.drop_recurring_lines(docs, prefix="__lines_")
+    changed = F.col("__lines_n_dropped") > 0
     kept = kept.filter(~changed | (F.trim("text") != ""))
-    return kept.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return kept.select(*docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,16 +7,16 @@ does not depend on how many rows its partition has, and all per-word work is don
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelwise.sources.store import scratch
+
 #: Bytes of text that a block holds at most; a single longer text is a block of its own.
 BLOCK_BYTES = 16 << 20
 
@@ -29,21 +29,9 @@ ALNUM = bytes.maketrans(
 )
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Only where the session names none, as in tests on one machine, a local temporary folder stands in.
-    """
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        top = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", top)
-    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def frozen(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage ends here and survives lost executors."""
-    path = shared_folder(df.sparkSession)
+    path = scratch(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -9,13 +9,16 @@ How many vectors are enough is measured when the index is fitted: the smallest s
 queries find ``RECALL`` of their true neighbours in the sample. Vectors without structure need a large share, and
 clustered ones a small one. The fit uses a bounded sample (``SAMPLE`` vectors); every vector is indexed.
 
-How it runs: entries are dealt by their first centroid, in salted blocks of bounded size; a query goes once to each
-row of cells it visits, with the set of cells there. Each task multiplies a block of queries with a block of entries
-and keeps the nearest of each query. Only cell counts (K x K numbers) and the sample reach the driver.
+How it runs: the vectors that take part are written once with a key for each row. Entries are dealt by their first
+centroid, in salted blocks of bounded size; a query goes once to each row of cells it visits, with the set of cells
+there. Each task multiplies a block of queries with a block of entries and keeps the nearest of each query; these are
+merged by query and row of cells first, and by query then. K grows with the square root of the number of vectors up to
+``MOST_CENTROIDS``; only cell counts (K x K numbers) and the sample reach the driver.
 
 Defined results: vectors that are null, zero, hold null or non-finite components, or are not as long as most take no
-part, as do rows without id; candidates with the query's own id are left out; equal scores go by the smaller id; a
-query with fewer candidates gets all; an empty table gives no rows; further columns are ignored.
+part, as do rows without id. Every row is a vector of its own: rows that repeat an id, or id and vector, are all
+candidates, a query leaves out its own row alone, and each query row has its own list under its id. Equal scores go by
+the smaller id; a query with fewer candidates gets all; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,9 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CENTROIDS, SAMPLE, RECALL = 32, 8192, 0.96
+from parcelwise.llm.common import frozen
+
+#: Cells hold about PER_CELL vectors, with LEAST_CENTROIDS to MOST_CENTROIDS centroids for each half.
+PER_CELL, LEAST_CENTROIDS, MOST_CENTROIDS = 50, 16, 256
+SAMPLE, RECALL = 8192, 0.96
 #: Entries and queries in one task.
-ENTRIES, QUERIES = 8192, 2048
+ENTRIES, QUERIES = 8192, 16_384
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -96,7 +103,12 @@ class Index:
         return out
 
 
-def fit_index(sample: np.ndarray, top: int, centroids: int = CENTROIDS, recall: float = RECALL, probes: int = 96) -> Index:
+def centroids_for(n: int) -> int:
+    """Centroids of each half for ``n`` vectors."""
+    return int(min(MOST_CENTROIDS, max(LEAST_CENTROIDS, round((n / PER_CELL) ** 0.5))))
+
+
+def fit_index(sample: np.ndarray, top: int, centroids: int = LEAST_CENTROIDS, recall: float = RECALL, probes: int = 96) -> Index:
     """Codebooks, and the share of vectors that probes from the sample have to look at."""
     half = sample.shape[1] // 2
     index = Index(kmeans(sample[:, :half], centroids), kmeans(sample[:, half:], centroids))
@@ -120,11 +132,11 @@ def _stack(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def best_of(queries: np.ndarray, query_ids: np.ndarray, entries: np.ndarray, entry_ids: np.ndarray, open_: np.ndarray, top: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def best_of(queries: np.ndarray, query_rows: np.ndarray, entries: np.ndarray, entry_rows: np.ndarray, entry_ids: np.ndarray, open_: np.ndarray, top: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query position, ids, exact scores) of each query's nearest among the entries that ``open_`` lets it see."""
     rough = queries @ entries.T
     rough[~open_] = -np.inf
-    rough[query_ids[:, None] == entry_ids[None, :]] = -np.inf
+    rough[query_rows[:, None] == entry_rows[None, :]] = -np.inf
     cut = np.partition(rough, -top, axis=1)[:, -top] if rough.shape[1] > top else np.full(len(rough), -np.inf)
     for k in range(len(queries)):
         seen = np.flatnonzero((rough[k] > -np.inf) & (rough[k] >= cut[k] - 1e-9 * (1 + abs(cut[k]))) if np.isfinite(cut[k]) else rough[k] > -np.inf)
@@ -134,23 +146,23 @@ def best_of(queries: np.ndarray, query_ids: np.ndarray, entries: np.ndarray, ent
             yield k, entry_ids[seen][order], exact[order]
 
 
-def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", top: int = 20, centroids: int = CENTROIDS, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
+def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", top: int = 20, centroids: int | None = None, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
     """(query_id, rank, id, score): the nearest found of every row that ``queries`` (a condition on ``id``) picks."""
     spark = vectors.sparkSession
-    rows = usable(vectors, id_col, vector_col)
+    rows = frozen(usable(vectors, id_col, vector_col).withColumn("row", F.monotonically_increasing_id()).select("row", "id", "v"))
     schema = "query_id long, rank int, vec_id long, score double"
-    taken = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toArrow()
+    taken = rows.orderBy(F.xxhash64("id"), "id", "row").limit(sample).select("v").toArrow()
     if not taken.num_rows:
         return spark.createDataFrame([], schema).withColumnRenamed("vec_id", id_col)
-    index = spark.sparkContext.broadcast(fit_index(_stack(taken.column("v")), top, centroids, recall))
+    index = spark.sparkContext.broadcast(fit_index(_stack(taken.column("v")), top, centroids or centroids_for(rows.count()), recall))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 i, j = index.value.cells(_stack(batch.column("v")))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32))], ["id", "v", "i", "j"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32))], ["row", "id", "v", "i", "j"])
 
-    placed = rows.mapInArrow(place, "id long, v array<double>, i int, j int")
+    placed = rows.mapInArrow(place, "row long, id long, v array<double>, i int, j int")
     counted = placed.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n")).collect()  # at most centroids x centroids rows
     counts = np.zeros((len(index.value.first), len(index.value.second)), np.int64)
     for r in counted:
@@ -164,40 +176,43 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, vs, where = [], [], []
+            at, where = [], []
             x = _stack(batch.column("v")) if batch.num_rows else []
             for k, q in enumerate(x):
                 seen: dict[int, list[int]] = {}
                 for i, j in index.value.visit(q, counts, enough):
                     if counts[i, j]:
                         seen.setdefault(i, []).append(j)
-                ids += [k] * len(seen)
+                at += [k] * len(seen)
                 where += seen.items()
-            if ids:
-                pick = pa.array(ids)
+            if at:
+                pick = pa.array(at)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pick), batch.column("v").take(pick), pa.array([i for i, _ in where], pa.int32()), pa.array([j for _, j in where], pa.list_(pa.int32())), pa.array([blocks_of_row[i] for i, _ in where], pa.int32())],
-                    ["id", "v", "i", "cells", "blocks"],
+                    [*[batch.column(c).take(pick) for c in ("row", "id", "v")], pa.array([i for i, _ in where], pa.int32()), pa.array([j for _, j in where], pa.list_(pa.int32())), pa.array([blocks_of_row[i] for i, _ in where], pa.int32())],
+                    ["row", "id", "v", "i", "cells", "blocks"],
                 )
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         if left.num_rows and right.num_rows:
-            q_ids, e_ids = left.column("id").to_numpy(), right.column("id").to_numpy()
+            q_rows, e_rows, e_ids, i = (t.column(c).to_numpy() for t, c in ((left, "row"), (right, "row"), (right, "id"), (left, "i")))
+            q_ids = left.column("id").to_numpy()
             q, e, j = _stack(left.column("v")), _stack(right.column("v")), right.column("j").to_numpy()
             mask = np.zeros((len(q), counts.shape[1]), bool)
             for k, cells in enumerate(left.column("cells").to_pylist()):
                 mask[k, cells] = True
             for a in range(0, len(q), 512):
                 part = slice(a, a + 512)
-                for k, ids, scores in best_of(q[part], q_ids[part], e, e_ids, mask[part][:, j], top):
-                    out.append((int(q_ids[a + k]), [{"s": -s, "id": i} for s, i in zip(scores.tolist(), ids.tolist(), strict=True)]))
-        return pa.table({"query_id": pa.array([o[0] for o in out], pa.int64()), "near": pa.array([o[1] for o in out], pa.list_(pa.struct([("s", pa.float64()), ("id", pa.int64())])))})
+                for k, ids, scores in best_of(q[part], q_rows[part], e, e_rows, e_ids, mask[part][:, j], top):
+                    out.append((int(q_rows[a + k]), int(q_ids[a + k]), int(i[a + k]), [{"s": -s, "id": x} for s, x in zip(scores.tolist(), ids.tolist(), strict=True)]))
+        near = pa.list_(pa.struct([("s", pa.float64()), ("id", pa.int64())]))
+        return pa.table({c: pa.array([o[k] for o in out], t) for k, (c, t) in enumerate((("row", pa.int64()), ("query_id", pa.int64()), ("i", pa.int32()), ("near", near)))})
 
     block_count = F.element_at(F.array(*[F.lit(b) for b in blocks_of_row]), F.col("i") + 1)
-    entries = placed.withColumn("e", F.pmod(F.xxhash64("id"), block_count).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    visits = asked.mapInArrow(visit, "id long, v array<double>, i int, cells array<int>, blocks int")
-    visits = visits.withColumn("q", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).withColumn("e", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = visits.groupBy("i", "e", "q").cogroup(entries.groupBy("i", "e", "q")).applyInArrow(compare, "query_id long, near array<struct<s:double,id:bigint>>")
-    nearest_all = met.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, top).alias("near"))
-    return nearest_all.select("query_id", F.posexplode("near").alias("at", "x")).select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.id").alias(id_col), (-F.col("x.s")).alias("score"))
+    entries = placed.withColumn("e", F.pmod(F.xxhash64("row"), block_count).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    visits = asked.mapInArrow(visit, "row long, id long, v array<double>, i int, cells array<int>, blocks int")
+    visits = visits.withColumn("q", F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int")).withColumn("e", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = visits.groupBy("i", "e", "q").cogroup(entries.groupBy("i", "e", "q")).applyInArrow(compare, "row long, query_id long, i int, near array<struct<s:double,id:bigint>>")
+    nearest_of = F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, top).alias("near")
+    merged = met.groupBy("row", "query_id", "i").agg(nearest_of).groupBy("row", "query_id").agg(nearest_of)
+    return merged.select("query_id", F.posexplode("near").alias("at", "x")).select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.id").alias(id_col), (-F.col("x.s")).alias("score"))

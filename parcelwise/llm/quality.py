@@ -3,7 +3,8 @@
 A document's own evidence is a logistic regression on the shape of its text, fitted on labelled rows. What its site
 says comes on top: the share of good documents of its host is shrunk towards the global share, and that of its path
 towards its host's, each with as many pseudo-documents as the spread between hosts (or between the paths of a host)
-calls for, estimated by moments. A site with few documents thus says little, and one with many speaks for itself. The
+calls for, estimated by moments. A site with few documents thus says little, and one with many speaks for itself. A
+document is left out of the sums of its own host and path: what it says itself comes in once, as its likelihood. The
 posterior odds are the path's odds times the document's likelihood ratio; below ``KEEP`` a document is rejected.
 
 The regression is fitted on at most ``SAMPLE`` labelled rows, by the order of a hash of their ids; only their features
@@ -13,7 +14,9 @@ share or that of its host.
 
 Defined results: a null or empty text has the features of an empty text; repeated rows count each time; null hosts and
 paths are a group of their own; without labels of both classes the evidence is constant and every document is kept
-unless bad labels alone are known; an empty table gives no rows.
+unless bad labels alone are known; very long texts are measured whole; an empty table gives no rows. The columns added
+have names of their own (:func:`judge_documents`, ``prefix``); columns of the documents that have those names already are
+replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelwise.llm.common import blocks, starts, strings, words
+from parcelwise.llm.common import blocks, frozen, starts, strings, words
 from parcelwise.llm.linear import fit
 
 SAMPLE, KEEP = 20_000, 0.5
@@ -80,7 +83,8 @@ def with_evidence(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
             yield pa.RecordBatch.from_arrays([block.column("label"), pa.array(features(block.column("text")).tolist(), pa.list_(pa.float64()))], ["label", "x"])
 
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
-    texts = texts.join(F.broadcast(known), "_id").select(F.col("_label").alias("label"), "text")  # bounded by ``sample``
+    texts = texts.join(F.broadcast(known), "_id")  # bounded by ``sample``
+    texts = texts.groupBy("_id", "_label").agg(F.min("text").alias("text")).select(F.col("_label").alias("label"), "text")  # one row for each id
     rows = sorted(tuple(r["x"]) + (r["label"],) for r in texts.mapInArrow(measure, "label int, x array<double>").collect())
     matrix = np.array(rows, np.float64) if rows else np.zeros((0, 2))
     model = fit(matrix[:, :-1], matrix[:, -1])
@@ -121,28 +125,33 @@ def pseudo_documents(groups: DataFrame, mean: str, n: str, expected: str) -> flo
     return MOST_PSEUDO if excess <= 0 else float(min(MOST_PSEUDO, max(LEAST_PSEUDO, 1 / excess - 1)))
 
 
-def site_shares(judged: DataFrame, host: Column, path: Column) -> tuple[DataFrame, float]:
-    """(host, path, host_share, path_share) of every path, shrunk, and the global share of good documents."""
+def site_shares(judged: DataFrame, host: Column, path: Column) -> tuple[DataFrame, float, float, float]:
+    """(host, path, good, n, host_good, host_n) of every path: sums of the shares of good documents and counts; with the
+    global share, and how many pseudo-documents a host's and a path's prior is worth."""
     paths = judged.select(host.alias("_host"), path.alias("_path"), _share(F.col("_evidence")).alias("p"))
-    paths = paths.groupBy("_host", "_path").agg(F.sum("p").alias("good"), F.count(F.lit(1)).alias("n")).cache()
-    total = paths.agg(F.sum("good").alias("good"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("paths")).first()
+    paths = frozen(paths.groupBy("_host", "_path").agg(F.sum("p").alias("_good"), F.count(F.lit(1)).alias("_n")))
+    total = paths.agg(F.sum("_good").alias("good"), F.sum("_n").alias("n"), F.count(F.lit(1)).alias("paths")).first()
     everywhere = min(1 - 1e-4, max(1e-4, ((total["good"] or 0.0) + 0.5) / ((total["n"] or 0) + 1)))
-    hosts = paths.groupBy("_host").agg(F.sum("good").alias("host_good"), F.sum("n").alias("host_n"))
-    hosts = hosts.withColumn("mean", F.col("host_good") / F.col("host_n")).withColumn("expected", F.lit(everywhere))
-    pseudo = pseudo_documents(hosts, "mean", "host_n", "expected")
-    hosts = hosts.withColumn("host_share", _bounded((F.col("host_good") + pseudo * everywhere) / (F.col("host_n") + pseudo))).select("_host", "host_share")
+    hosts = paths.groupBy("_host").agg(F.sum("_good").alias("_host_good"), F.sum("_n").alias("_host_n"))
+    means = hosts.withColumns({"mean": F.col("_host_good") / F.col("_host_n"), "expected": F.lit(everywhere)})
+    of_host = pseudo_documents(means, "mean", "_host_n", "expected")
     joined = paths.join(hosts, paths["_host"].eqNullSafe(hosts["_host"])).drop(hosts["_host"])
-    joined = joined.withColumn("mean", F.col("good") / F.col("n"))
-    pseudo = pseudo_documents(joined, "mean", "n", "host_share")
-    shares = joined.withColumn("path_share", _bounded((F.col("good") + pseudo * F.col("host_share")) / (F.col("n") + pseudo))).select("_host", "_path", "host_share", "path_share")
-    return (F.broadcast(shares) if total["paths"] <= BROADCAST_PATHS else shares), everywhere
+    share = _bounded((F.col("_host_good") + of_host * everywhere) / (F.col("_host_n") + of_host))
+    of_path = pseudo_documents(joined.withColumns({"mean": F.col("_good") / F.col("_n"), "expected": share}), "mean", "_n", "expected")
+    return (F.broadcast(joined) if total["paths"] <= BROADCAST_PATHS else joined), everywhere, of_host, of_path
 
 
-def judge_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", host_col: str = "source", path_col: str = "lang", keep: float = KEEP) -> DataFrame:
-    """The documents with all their columns and ``evidence``, ``host_share``, ``path_share``, ``quality_score``, ``keep``."""
-    docs = docs.drop("evidence", "host_share", "path_share", "quality_score", "keep", "_evidence", "_host", "_path")
+def judge_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", host_col: str = "source", path_col: str = "lang", keep: float = KEEP, prefix: str = "") -> DataFrame:
+    """The documents with all their columns and, each after ``prefix``, ``evidence``, ``host_share``, ``path_share``,
+    ``quality_score`` and ``keep``."""
+    docs = docs.drop(*[prefix + c for c in ("evidence", "host_share", "path_share", "quality_score", "keep")], "_evidence", "_host", "_path", "_good", "_n", "_host_good", "_host_n")
     judged = with_evidence(docs, labels, id_col, text_col, label_col)
-    shares, everywhere = site_shares(judged, F.col(host_col), F.col(path_col))
-    joined = judged.join(shares, judged[host_col].eqNullSafe(shares["_host"]) & judged[path_col].eqNullSafe(shares["_path"]), "left").drop("_host", "_path")
-    score = _share(_logit(F.col("path_share")) + F.col("_evidence") - _logit(F.lit(everywhere)))
-    return joined.withColumn("quality_score", score).withColumn("keep", F.col("quality_score") >= keep).withColumnRenamed("_evidence", "evidence")
+    shares, everywhere, of_host, of_path = site_shares(judged, F.col(host_col), F.col(path_col))
+    joined = judged.join(shares, judged[host_col].eqNullSafe(shares["_host"]) & judged[path_col].eqNullSafe(shares["_path"]), "left")
+    own = _share(F.col("_evidence"))
+    host_share = _bounded((F.col("_host_good") - own + of_host * everywhere) / (F.col("_host_n") - 1 + of_host))
+    path_share = _bounded((F.col("_good") - own + of_path * F.col(f"{prefix}host_share")) / (F.col("_n") - 1 + of_path))
+    score = _share(_logit(F.col(f"{prefix}path_share")) + F.col("_evidence") - _logit(F.lit(everywhere)))
+    joined = joined.withColumn(f"{prefix}host_share", host_share).withColumn(f"{prefix}path_share", path_share).withColumn(f"{prefix}quality_score", score)
+    joined = joined.withColumn(f"{prefix}keep", F.col(f"{prefix}quality_score") >= keep).withColumn(f"{prefix}evidence", F.col("_evidence"))
+    return joined.drop("_evidence", "_host", "_path", "_good", "_n", "_host_good", "_host_n")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelwise.llm import bpe, decontaminate, interpolation, lengths, multiindex, partenum, quality, templates, tokenfile, toxicity
-from parcelwise.llm.common import shared_folder
+from parcelwise.sources.store import scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +47,7 @@ def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back."""
-    path = shared_folder(spark)
+    path = scratch(spark)
     tokenfile.write_token_files(_table(spark, sf_dir, "documents"), path)
     return tokenfile.read_token_files(spark, path)
 
@@ -91,5 +91,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_templates": op10_line_templates,
 }
 
-#: None of these can be stated in SQL: the tests hold them against brute force.
-ORACLE_SQL: dict[str, str] = {}
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Where SQL has no counterpart (fitted models, BPE, files, a greedy parse, approximate search) the tests hold the query
+#: against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op4_suffix_decontamination": rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT item, least(10, len(w)) AS k, array_to_string(w[p : p + least(10, len(w)) - 1], ' ') AS gram FROM (SELECT item, w, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS p FROM i WHERE len(w) > 0)),
+item_of AS (SELECT DISTINCT item, k, gram FROM win),
+places AS (SELECT r, w, k, unnest(generate_series(1, len(w) - k + 1)) AS p FROM d, (SELECT DISTINCT k FROM win) WHERE len(w) >= k),
+found AS (SELECT r, p, x.k, item FROM (SELECT r, p, k, array_to_string(w[p : p + k - 1], ' ') AS gram FROM places) x JOIN item_of USING (k, gram)),
+hit AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT DISTINCT r, unnest(generate_series(p, p + k - 1)) AS q FROM found) GROUP BY r),
+items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)""",
+    "op9_partenum_join": rf"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOW}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[p : p + 2], ' ') AS x FROM (SELECT r, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+same AS (SELECT a.r AS a, b.r AS b, count(*) AS k FROM s a JOIN s b USING (x) WHERE a.r <> b.r GROUP BY ALL),
+link AS (SELECT a, b FROM same JOIN n x ON a = x.r JOIN n y ON b = y.r JOIN d p ON a = p.r JOIN d q ON b = q.r WHERE 100 * k >= 90 * (x.n + y.n - k) AND p.doc_id IS NOT NULL AND q.doc_id IS NOT NULL),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least_id AS (SELECT a, min(doc_id) AS id FROM reach JOIN d ON b = r GROUP BY a), degree AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, least(doc_id, least_id.id) AS component_id, coalesce(degree.n, 0) AS n_links FROM d LEFT JOIN n USING (r) LEFT JOIN least_id ON least_id.a = r LEFT JOIN degree ON degree.a = r""",
+}

@@ -12,8 +12,10 @@ in salted parts of bounded size first, then over the templates of those parts. S
 into does not land in one task. Which lines go is joined back to the documents by id.
 
 Defined results: null and empty texts stay; blank lines are never dropped; a null id keeps its text and is not counted;
-rows that repeat an id count as one document and lose the same lines; an empty table gives no rows; all columns stay, but for
-earlier ones named ``n_lines``, ``n_dropped``, ``_leaves``, ``_masked`` and ``_gone_id``.
+rows that repeat an id count as one document and lose the same lines; of equally many tokens in common the earlier template
+wins, and lines come by their number of documents, then their text; very long texts and lines are taken whole; an empty
+table gives no rows; all columns stay, but for earlier ones with the names of those added (``prefix`` and ``n_lines``,
+``n_dropped``) and ``_leaves``, ``_masked``, ``_gone_id``.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelwise.llm.common import blocks, frozen, starts
+from parcelwise.llm.components import spread_join
 
 DEPTH, SIMILAR, MIN_DOCS = 3, 0.7, 3
 #: Different masked lines in one salted part of a leaf.
@@ -136,8 +139,8 @@ def templates_of(lines: DataFrame, similar: float = SIMILAR, part_lines: int = P
         )
 
     out = "leaf long, member long, template string, n_docs long"
-    parts = lines.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / part_lines).cast("int").alias("parts"))
-    salted = lines.withColumnRenamed("masked", "member").join(parts, "leaf").withColumn("salt", F.pmod(F.xxhash64("member"), "parts"))
+    parts = lines.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / part_lines).cast("int").alias("parts"), F.count(F.lit(1)).alias("n"))
+    salted = spread_join(lines.withColumnRenamed("masked", "member"), parts, "leaf", lines.count()).withColumn("salt", F.pmod(F.xxhash64("member"), "parts"))
     first = frozen(salted.groupBy("leaf", "salt").applyInArrow(parse, out))
     named = first.withColumn("name", F.xxhash64("template"))
     second = named.groupBy("leaf", F.col("name").alias("member")).agg(F.first("template").alias("line"), F.sum("n_docs").alias("n_docs"))
@@ -164,9 +167,10 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return placed.join(often, ["template", "salt"]).filter(F.col("id") != F.col("keeper")).select("id", "leaf", "masked")
 
 
-def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, similar: float = SIMILAR, min_docs: int = MIN_DOCS) -> DataFrame:
-    """The documents without recurring lines, with all their columns and with ``n_lines`` and ``n_dropped``."""
-    docs = docs.drop("n_lines", "n_dropped", "_leaves", "_masked", "_gone_id")
+def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, similar: float = SIMILAR, min_docs: int = MIN_DOCS, prefix: str = "") -> DataFrame:
+    """The documents without recurring lines, with all their columns and, after ``prefix``, ``n_lines`` and ``n_dropped``."""
+    added = [f"{prefix}n_lines", f"{prefix}n_dropped"]
+    docs = docs.drop(*added, "_leaves", "_masked", "_gone_id")
     gone = recurring_lines(docs, id_col, text_col, depth, similar, min_docs)
     gone = gone.groupBy("id").agg(F.collect_list("leaf").alias("_leaves"), F.collect_list("masked").alias("_masked"))
     joined = docs.join(gone.withColumnRenamed("id", "_gone_id"), docs[id_col] == F.col("_gone_id"), "left").drop("_gone_id")
@@ -189,8 +193,8 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
                 text_list[i] = b"\n".join(x for x, k_ in zip(lines[k], keep, strict=True) if k_).decode()
             columns = block.columns[: len(docs_columns)]
             columns[where] = pa.array(text_list, texts.type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(dropped, pa.int64())], [*docs_columns, "n_lines", "n_dropped"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(dropped, pa.int64())], [*docs_columns, *added])
 
     docs_columns = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(c, T.LongType()) for c in added]])
     return joined.mapInArrow(run, schema)

@@ -6,8 +6,9 @@ than ordinary ones, and the ordinary one as many bytes of ordinary text. Every w
 difference of the two lengths shows what only toxic text explains. How a text's differences are distributed gives its
 score, by a logistic regression on labelled texts that the dictionaries have not seen; its threshold is 0.7.
 
-The dictionaries and the regression are fitted on a bounded sample of labelled rows: at most ``SAMPLE`` of each class,
-in the order of a hash of their ids, none longer than ``SAMPLE_BYTES``. All documents are scored, whole, where they
+The dictionaries and the regression are fitted on a bounded sample of labelled rows: at most ``SAMPLE`` toxic and twice
+as many ordinary ones, in the order of a hash of their ids, together ``CLASS_BYTES`` of each class at most; the shared
+part is trained on at most ``PIECES`` pieces of the ordinary ones. All documents are scored, whole, where they
 are scanned. Near copies in the sample (a tenth of their five-word runs known) train nothing.
 
 Defined results: a null or empty text has one empty window; repeated rows stay; null ids count to fold 0; without
@@ -24,14 +25,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelwise.llm.common import SPACED, blocks, fold, starts, strings, translated
 from parcelwise.llm.linear import Logistic, fit, sigmoid
 
 FOLDS, TEST_FOLD, THRESHOLD = 3, 1, 0.7
-SAMPLE, SAMPLE_BYTES = 3000, 100_000
+SAMPLE, CLASS_BYTES, PIECES = 3000, 64 << 20, 20_000
 #: Bytes of a window, of the shared part and of each separate part of the dictionaries.
 WINDOW, SHARED, SEPARATE = 64, 32_768, 1536
 #: Segments that train the toxic part, and bytes in the runs whose frequency tells toxic words.
@@ -81,7 +82,7 @@ def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, byte
     telling = {g for g, n in often[0].items() if n >= least and (n + 0.5) / (len(toxic) + 1) > TIMES * (often[1][g] + 0.5) / (len(ordinary) + 1)}
     only = [b" " + b" ".join(w for w in map(_word, t.split()) if not telling.isdisjoint(_grams(w))) for t in toxic]
     pieces = [t[i : i + 256] for t in ordinary for i in range(0, len(t), 256)]
-    pieces = sorted(pieces, key=zlib.crc32)[:20_000]
+    pieces = sorted(pieces, key=zlib.crc32)[:PIECES]
     shared = trained(pieces, SHARED, 64, 8)
     separate = trained([x for x in only if len(x) >= 9], SEPARATE, SEGMENT, 6)
     filler = (shared[-len(separate) :] if separate else b"").rjust(len(separate), b" ")
@@ -160,16 +161,20 @@ def fit_model(rows: list[tuple[int, str, int]]) -> Model:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, each: int = SAMPLE) -> list[tuple[int, str, int]]:
-    """At most ``each`` labelled texts of either class outside the test fold, by the order of a hash of their ids."""
+    """At most ``each`` toxic and twice as many ordinary labelled texts outside the test fold, by the order of a hash of
+    their ids, one text (the least) for each id; those go that would bring the texts of their class above CLASS_BYTES."""
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & (fold(id_col, FOLDS) != TEST_FOLD))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_label"))
     picked = None
     for label, n in ((1, each), (0, 2 * each)):
         one = known.filter(F.col("_label") == label).orderBy(F.xxhash64("_id"), "_id").limit(n)
         picked = one if picked is None else picked.unionByName(one)
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).filter(F.octet_length("_text") <= SAMPLE_BYTES)
-    found = texts.join(F.broadcast(picked), "_id").collect()  # the sample's bound is the bound of this broadcast
-    return sorted({(r["_id"], r["_text"], r["_label"]) for r in found})
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    texts = texts.join(F.broadcast(picked), "_id")  # the sample's bound is the bound of this broadcast
+    texts = texts.groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
+    sofar = F.sum(F.octet_length("_text")).over(Window.partitionBy("_label").orderBy(F.octet_length("_text"), "_id"))
+    found = texts.withColumn("_bytes", sofar).filter(F.coalesce("_bytes", F.lit(0)) <= CLASS_BYTES).collect()
+    return sorted((r["_id"], r["_text"] or "", r["_label"]) for r in found)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:

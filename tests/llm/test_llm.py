@@ -350,9 +350,9 @@ def test_quality(spark, sf, docs, empty):
 
 def test_sparse_sites_shrink_to_the_prior(spark):
     rows = [("big", "p", -5.0)] * 300 + [("small", "p", -5.0)] + [("good", str(k % 3), 5.0) for k in range(600)]
-    shares, everywhere = quality.site_shares(spark.createDataFrame(rows, "h string, p string, _evidence double"), F.col("h"), F.col("p"))
-    found = {r["_host"]: r for r in shares.collect()}
-    assert found["big"]["host_share"] < 0.1 < found["small"]["host_share"] < everywhere < found["good"]["host_share"]
+    shares, everywhere, of_host, _ = quality.site_shares(spark.createDataFrame(rows, "h string, p string, _evidence double"), F.col("h"), F.col("p"))
+    found = {r["_host"]: (r["_host_good"] + of_host * everywhere) / (r["_host_n"] + of_host) for r in shares.collect()}
+    assert found["big"] < 0.1 < found["small"] < everywhere < found["good"]
 
 
 def test_toxicity(spark, docs, empty):
