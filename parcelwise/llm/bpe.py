@@ -29,6 +29,9 @@ from parcelwise.llm.tokenize import cuts, encode_each, encode_pieces, load, voca
 #: The rolling hash spans 2**WINDOW_BITS bytes; a chunk ends where its lowest CHUNK_BITS bits are zero.
 WINDOW_BITS, CHUNK_BITS = 4, 9
 
+#: Bytes of text in one block.
+BLOCK = 8 << 20
+
 
 def chunk_ends(data: np.ndarray, offsets: np.ndarray, bits: int = CHUNK_BITS) -> np.ndarray:
     """Starts of all chunks and the end of the last. Chunks never span two texts nor part a character.
@@ -162,7 +165,7 @@ def encode_and_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     path = vocabulary_path(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK):
             ids, counts = encode_with_chunks(path, block.column("text"))
             at = starts(counts)
             each = [ids[at[i] : at[i + 1]] for i in range(len(counts))]

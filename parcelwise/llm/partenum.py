@@ -41,6 +41,8 @@ SHINGLE, PERCENT = 3, 90
 BLOCK_SETS = 512
 #: Sets of a candidate component that is split no further.
 SPLIT_SETS = 64
+#: Bytes of text in one block.
+BLOCK = 8 << 20
 #: Bytes of signatures or shingles that one range is meant to hold.
 RANGE_BYTES = 16 << 20
 #: Bits of the parity bitmaps that rule pairs out.
@@ -128,7 +130,7 @@ def measured(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """(id, key, n_shingles, set) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK):
             values, sizes = shingle_sets(block.column("text"), n)
             yield pa.RecordBatch.from_arrays([block.column("id"), block.column("key"), pa.array(sizes), pa.array(set_hashes(values, sizes))], ["id", "key", "n_shingles", "set"])
 
@@ -191,7 +193,7 @@ def candidate_links(docs: DataFrame, text_col: str, n: int, percent: int, bits:
     """(a, b): a star for every signature that several sets share."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK):
             values, sizes = shingle_sets(block.column("text"), n)
             sets = set_hashes(values, sizes)
             _, first = np.unique(sets, return_index=True)
@@ -210,7 +212,7 @@ def rarest_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str
     so their first shared shingle, in the order of rarity, is among the first of those and one more of each."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK):
             values, sizes = shingle_sets(block.column("text"), n)
             sets, first = np.unique(set_hashes(values, sizes), return_index=True)
             at = starts(sizes)
@@ -275,7 +277,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: i
     in one block only the first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK):
             _, first = np.unique(block.column("set").to_numpy(), return_index=True)
             block = block.take(pa.array(first))
             values, sizes = shingle_sets(block.column("text"), n)
