@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelwise.functions import rules
-from parcelwise.functions.columns import keyword_pattern, last_match, squeezed, timestamp_of
+from parcelwise.functions.columns import Rounder, keyword_pattern, last_match, squeezed, timestamp_of
 from parcelwise.sources.store import literal_table
 
 REQUIRED = ("property_id", "city", "district", "price", "area_sqm", "bedrooms", "posted_at")
@@ -90,6 +90,18 @@ def standardize(df: DataFrame, tables: dict[str, DataFrame | dict[str, list[str]
     return df
 
 
+def clean_records(df: DataFrame, tables: dict[str, DataFrame | dict[str, list[str]]], keywords: dict[str, list[str]] | None = rules.TYPE_KEYWORDS, unknown: str = rules.UNKNOWN_TYPE, other: str = rules.OTHER_SOURCE, rounder: Rounder = F.round) -> DataFrame:
+    """Raw valid rows as clean ones: places standardised (``mapping_status``), price and area as numbers of two decimals,
+    bedrooms as a whole number that is no less than 0 (and 0 if there is none), a property type from keywords, and the
+    latest row of each listing. A model's label for the rest comes after it (:func:`route_by_confidence`)."""
+    df = standardize(df, tables)
+    number = lambda c: rounder(F.col(c).try_cast("double"), 2)
+    df = df.withColumns({"price": number("price"), "area_sqm": number("area_sqm"), "bedrooms": F.greatest(F.lit(0), F.col("bedrooms").try_cast("int"))})
+    if keywords is not None:
+        df = classify_by_keywords(df, keywords, unknown, other)
+    return dedupe_latest(df)
+
+
 def reprocess_quarantine(new: DataFrame, quarantine: DataFrame | None, clean: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(mapped rows that go on, unmapped rows that are the next quarantine) of new and quarantined rows together."""
     both = new if quarantine is None else new.unionByName(quarantine, allowMissingColumns=True)

@@ -132,6 +132,11 @@ def scd2_apply(dim: DataFrame, new: DataFrame, natural: str, tracked: list[str],
     return closed.unionByName(added, allowMissingColumns=True)
 
 
+def stable_key(*columns: str) -> Column:
+    """A key from the natural key alone: 60 bits of its digest, the same on every run and in every engine."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns]).cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def fact_listing(silver: DataFrame, location: DataFrame, property_type: DataFrame, price: DataFrame, area: DataFrame, now: Column) -> DataFrame:
     """One row for each listing, with the keys of all its dimensions. The row's own key is a hash of its natural key:
     it needs no numbering of all facts and is the same on every run."""
@@ -142,7 +147,7 @@ def fact_listing(silver: DataFrame, location: DataFrame, property_type: DataFram
     facts = with_key(facts, area, {"area_segment": "segment_name"}, "area_segment_key")
     money = lambda c, t: F.col(c).try_cast(t)
     return facts.select(
-        F.xxhash64("property_id").alias("listing_key"), "property_id", *[F.col(c).cast("int") for c in ("location_key", "property_type_key", "price_segment_key", "area_segment_key", "posted_time_key", "ingested_time_key")],
+        stable_key("property_id").alias("listing_key"), "property_id", *[F.col(c).cast("int") for c in ("location_key", "property_type_key", "price_segment_key", "area_segment_key", "posted_time_key", "ingested_time_key")],
         "title", money("price", "decimal(15,2)").alias("price_vnd"), money("price_billion_vnd", "decimal(8,3)").alias("price_billion_vnd"), money("area_sqm", "decimal(8,2)").alias("area_sqm"),
         money("price_per_sqm", "decimal(15,2)").alias("price_per_sqm"), money("bedrooms", "smallint").alias("bedrooms"), F.col("listing_age_days").cast("int"), now.alias("created_at"), now.alias("updated_at"),
     )
@@ -154,4 +159,4 @@ def fact_market_snapshot(gold: DataFrame, location: DataFrame) -> DataFrame:
     facts = with_key(gold, location, {"city": "city", "district": "district"}, "location_key")
     facts = facts.withColumn("snapshot_time_key", F.coalesce(date_key(at), F.lit(UNKNOWN_DATE)))
     kinds = {"avg_price": "decimal(15,2)", "median_price": "decimal(15,2)", "p90_price": "decimal(15,2)", "avg_area_sqm": "decimal(8,2)", "avg_price_per_sqm": "decimal(15,2)", "p90_price_per_sqm": "decimal(15,2)", "max_price": "decimal(15,2)", "min_price": "decimal(15,2)", "avg_listing_age_days": "decimal(6,2)", "luxury_listing_ratio": "decimal(5,4)"}
-    return facts.select(F.xxhash64("location_key", "snapshot_time_key").alias("snapshot_key"), F.col("location_key").cast("int"), F.col("snapshot_time_key").cast("int"), F.col("listing_count").cast("int"), *[F.col(c).try_cast(t).alias(c) for c, t in kinds.items()], at.alias("snapshot_at"))
+    return facts.select(stable_key("location_key", "snapshot_time_key").alias("snapshot_key"), F.col("location_key").cast("int"), F.col("snapshot_time_key").cast("int"), F.col("listing_count").cast("int"), *[F.col(c).try_cast(t).alias(c) for c, t in kinds.items()], at.alias("snapshot_at"))

@@ -159,7 +159,7 @@ KINDS = """kinds AS (SELECT row_number() OVER (ORDER BY property_type) AS proper
   CASE WHEN regexp_matches(lower(property_type), 'promo|economy') THEN 'Commercial' WHEN regexp_matches(lower(property_type), 'ring|rod') THEN 'Land' WHEN regexp_matches(lower(property_type), 'widget|goods') THEN 'Residential' ELSE 'Unknown' END AS property_type_group, mapping_source
   FROM (SELECT property_type, mapping_source, row_number() OVER (PARTITION BY property_type ORDER BY n DESC, mapping_source) AS rn FROM (SELECT property_type, mapping_source, count(*) AS n FROM classified GROUP BY ALL)) WHERE rn = 1)"""
 FACT = SILVER + ",\n" + CLASSIFIED.removeprefix(LATEST + ",\n") + ",\n" + LOCATION + ",\n" + KINDS + f""",
-fact AS (SELECT s.property_id, location_key, property_type_key, CASE price_segment WHEN 'affordable' THEN 1 WHEN 'mid' THEN 2 WHEN 'upper_mid' THEN 3 ELSE 4 END AS price_segment_key,
+fact AS (SELECT CAST('0x' || md5(s.property_id)[1:15] AS BIGINT) AS listing_key, CAST(s.price_billion_vnd AS DECIMAL(8,3)) AS price_billion_vnd, CAST(s.price_per_sqm AS DECIMAL(15,2)) AS price_per_sqm, TIMESTAMP '2002-01-01' AS created_at, TIMESTAMP '2002-01-01' AS updated_at, s.property_id, location_key, property_type_key, CASE price_segment WHEN 'affordable' THEN 1 WHEN 'mid' THEN 2 WHEN 'upper_mid' THEN 3 ELSE 4 END AS price_segment_key,
   CASE area_segment WHEN 'compact' THEN 1 WHEN 'standard' THEN 2 WHEN 'spacious' THEN 3 ELSE 4 END AS area_segment_key, CAST(strftime(CAST(posted_date AS DATE), '%Y%m%d') AS INTEGER) AS posted_time_key, 20020101 AS ingested_time_key,
   s.title, CAST(s.price AS DECIMAL(15,2)) AS price_vnd, CAST(s.area_sqm AS DECIMAL(8,2)) AS area_sqm, s.bedrooms, listing_age_days, region_code, s.city, s.district, c.property_type, {LISTING.replace("source_category", "s.source_category").replace("title", "s.title")} AS listing_type
   FROM silver s JOIN classified c USING (property_id) JOIN location l ON l.city = s.city AND l.district = s.district JOIN kinds ON property_type_name = c.property_type)"""
@@ -288,14 +288,14 @@ def dim_area_segment(spark, sf):
 
 
 def fact_listing(spark, sf):
-    return star_tables(spark, sf)[3].select("property_id", "location_key", "property_type_key", "price_segment_key", "area_segment_key", "posted_time_key", "ingested_time_key", "title", "price_vnd", "area_sqm", "bedrooms", "listing_age_days")
+    return star_tables(spark, sf)[3]
 
 
 def fact_market_snapshot(spark, sf):
     rows = written(silver(spark, sf))
     places = sized(warehouse.dim_location(rows, REGIONS))
     facts = warehouse.fact_market_snapshot(market.to_gold(rows, _as_of(), half_up, accuracy=1_000_000), places)
-    return facts.select("location_key", "snapshot_time_key", "listing_count", "avg_price", "median_price", "max_price", "avg_listing_age_days", "luxury_listing_ratio")
+    return facts
 
 
 def range_join_bands(spark, sf):
@@ -341,7 +341,7 @@ def outliers_iqr(spark, sf):
 
 def _weak(spark, sf, tiers, names, unknown):
     rows = market.weak_label(latest(spark, sf), tiers, *names, unknown)
-    return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(names[0]).agg(F.count(F.lit(1)).alias("n"), half_up(F.sum(F.col(names[1]).cast("decimal(4,2)")).cast("double") / F.count(F.lit(1)), 6).alias("mean_confidence"))
 
 
 def features(spark, sf):
@@ -401,6 +401,20 @@ def stream_incremental(spark, sf):
     return incremental(spark, sf)
 
 
+def incremental_layers(spark, sf):
+    """Two batches of raw ads through all layers, one of them repeated."""
+    from parcelwise.plans.streams import layers
+
+    return layers(spark, sf)
+
+
+def clean_records(spark, sf):
+    """Valid listings cleaned in one call: places, rounded numbers, clamped bedrooms, types by keywords, latest rows."""
+    rows = tagged(spark, sf).filter("dq_reason is null").drop("dq_reason").withColumn("bedrooms", F.when(F.col("orderkey") % 5 == 0, "-2").when(F.col("orderkey") % 7 == 0, "x").otherwise(F.col("bedrooms")))
+    places = readers.rules_table(_cities(spark, sf).withColumns({"kind": F.lit("city"), "is_current": F.lit(True)}), "city")
+    return cleaning.clean_records(rows, {"city": places, "district": SEGMENTS | {"Machinery": ["MACHINERY"]}}, KEYWORDS, "Unknown", "SMALL", half_up)
+
+
 FEATURE_SQL = f"""SELECT property_id, {_r("ln(1 + price)", 6)} AS log_price, length(title) AS title_length, {_r("price / area_sqm", 2)} AS price_per_sqm, {_r("CASE WHEN bedrooms > 0 THEN price / bedrooms ELSE 0.0::DOUBLE END", 2)} AS price_per_bedroom,
   {_r("CASE WHEN bedrooms > 0 THEN area_sqm / bedrooms ELSE 0.0::DOUBLE END", 2)} AS area_per_bedroom, CAST(price BETWEEN 1 AND 500000000 AS INTEGER) AS price_hint_rent, CAST(regexp_matches(title, '\\bcold\\b') AS INTEGER) AS has_cold, CAST(regexp_matches(title, 'ring') AS INTEGER) AS has_ring, 0 AS is_missing_bedroom, 0 AS is_missing_price FROM latest"""
 TRAINING_SQL = f"""WITH {LATEST},
@@ -413,6 +427,9 @@ EVAL_SQL = f"""WITH {LATEST}, p AS (SELECT {LISTING} AS label, CASE WHEN orderke
 a AS (SELECT label, count(*) AS support, count(*) FILTER (label = guess) AS hits FROM p GROUP BY label), g AS (SELECT guess, count(*) AS guesses FROM p GROUP BY guess),
 f AS (SELECT a.*, coalesce(guesses, 0) AS guesses, coalesce(CAST(2.0 AS DOUBLE) * hits / nullif(support + coalesce(guesses, 0), 0), 0) AS f1 FROM a LEFT JOIN g ON label = guess)
 SELECT label, support, {_r("coalesce(CAST(hits AS DOUBLE) / nullif(guesses, 0), 0)", 6)} AS precision, {_r("(CAST(hits AS DOUBLE) / support)", 6)} AS recall, {_r("f1", 6)} AS f1, {_r("(CAST(sum(hits) OVER () AS DOUBLE) / sum(support) OVER ())", 6)} AS accuracy, {_r("(sum(f1 * support) OVER () / sum(support) OVER ())", 6)} AS weighted_f1 FROM f"""
+CLASSIFIED_CLEAN = f"""WITH {CLEAN}, x AS (SELECT property_id, title, source_category, city, district, region, {_r("price", 2)} AS price, {_r("area_sqm", 2)} AS area_sqm, CASE WHEN orderkey % 5 = 0 OR orderkey % 7 = 0 THEN 0 ELSE bedrooms END AS bedrooms, posted_at, orderkey, 'MAPPED' AS mapping_status,
+  coalesce({_keywords("title")}, {_keywords("source_category")}, CASE WHEN source_category NOT IN ('SMALL', '') THEN source_category END, 'Unknown') AS property_type, CASE WHEN {_keywords("title")} IS NOT NULL THEN 'Regex (Title)' WHEN {_keywords("source_category")} IS NOT NULL THEN 'Regex (Category)' ELSE 'Chờ ML dự đoán' END AS mapping_source FROM clean)
+SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY property_id ORDER BY {ORDER}) AS rn FROM x) WHERE rn = 1"""
 HISTORY = lambda source, day: f"SELECT city, district, count(*) AS listing_count, {_r('(sum(price) / count(*))', 2)} AS avg_price, '{day}' AS snapshot_date FROM {source} GROUP BY city, district"
 
 QUERIES = {
@@ -468,6 +485,8 @@ QUERIES = {
     "eval_metrics": eval_metrics,
     "train_compare": train_compare,
     "stream_incremental": stream_incremental,
+    "incremental_layers": incremental_layers,
+    "clean_records": clean_records,
 }
 
 _COUNT = "count(*) AS n"
@@ -515,8 +534,9 @@ UNION ALL SELECT 5, 'luxury', CAST(q AS DECIMAL(15,2)), DATE '2026-01-01', NULL,
 SELECT area_segment_key, segment_name, CAST(area_floor AS DECIMAL(8,2)) AS area_floor, CAST(area_ceiling AS DECIMAL(8,2)) AS area_ceiling, {_COUNT} FROM seed JOIN silver ON segment_name = area_segment GROUP BY ALL""",
     "dim_time": f"""WITH {DAYS} SELECT CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS time_key, full_date, isodow(full_date) AS day_of_week, ['Thứ Hai', 'Thứ Ba', 'Thứ Tư', 'Thứ Năm', 'Thứ Sáu', 'Thứ Bảy', 'Chủ Nhật'][isodow(full_date)] AS day_name, day(full_date) AS day_of_month,
 week(full_date) AS week_of_year, month(full_date) AS month, 'Tháng ' || CAST(month(full_date) AS VARCHAR) AS month_name, quarter(full_date) AS quarter, year(full_date) AS year, isodow(full_date) >= 6 AS is_weekend FROM days""",
-    "fact_listing": f"WITH {FACT} SELECT property_id, location_key, property_type_key, price_segment_key, area_segment_key, posted_time_key, ingested_time_key, title, price_vnd, area_sqm, bedrooms, listing_age_days FROM fact",
-    "fact_market_snapshot": f"""WITH {GOLD}, {CLASSIFIED.removeprefix(LATEST + "," + chr(10))}, {LOCATION} SELECT location_key, 20020101 AS snapshot_time_key, listing_count, CAST(avg_price AS DECIMAL(15,2)) AS avg_price, CAST(median_price AS DECIMAL(15,2)) AS median_price, CAST(max_price AS DECIMAL(15,2)) AS max_price, CAST(avg_listing_age_days AS DECIMAL(6,2)) AS avg_listing_age_days, CAST(luxury_listing_ratio AS DECIMAL(5,4)) AS luxury_listing_ratio FROM gold JOIN location USING (city, district)""",
+    "fact_listing": f"WITH {FACT} SELECT listing_key, property_id, location_key, property_type_key, price_segment_key, area_segment_key, posted_time_key, ingested_time_key, title, price_vnd, price_billion_vnd, area_sqm, price_per_sqm, CAST(bedrooms AS SMALLINT) AS bedrooms, listing_age_days, created_at, updated_at FROM fact",
+    "fact_market_snapshot": f"""WITH {GOLD}, {CLASSIFIED.removeprefix(LATEST + "," + chr(10))}, {LOCATION} SELECT CAST('0x' || md5(CAST(location_key AS VARCHAR) || '|20020101')[1:15] AS BIGINT) AS snapshot_key, location_key, 20020101 AS snapshot_time_key, listing_count, TIMESTAMP '2002-01-01' AS snapshot_at,
+  CAST(avg_price AS DECIMAL(15,2)) AS avg_price, CAST(median_price AS DECIMAL(15,2)) AS median_price, CAST(p90_price AS DECIMAL(15,2)) AS p90_price, CAST(avg_area_sqm AS DECIMAL(8,2)) AS avg_area_sqm, CAST(avg_price_per_sqm AS DECIMAL(15,2)) AS avg_price_per_sqm, CAST(p90_price_per_sqm AS DECIMAL(15,2)) AS p90_price_per_sqm, CAST(max_price AS DECIMAL(15,2)) AS max_price, CAST(min_price AS DECIMAL(15,2)) AS min_price, CAST(avg_listing_age_days AS DECIMAL(6,2)) AS avg_listing_age_days, CAST(luxury_listing_ratio AS DECIMAL(5,4)) AS luxury_listing_ratio FROM gold JOIN location USING (city, district)""",
     "range_join_bands": f"WITH {SILVER} SELECT price_segment AS segment_name, {_COUNT}, min(price) AS lowest, max(price) AS highest FROM silver GROUP BY price_segment",
     "range_join_buckets": "WITH b AS (SELECT DISTINCT floor(c_acctbal / 10) * 10 AS low FROM customer WHERE c_acctbal >= 0), v AS (SELECT l_extendedprice / 10 AS v FROM lineitem) SELECT low AS band, count(*) AS n FROM v LEFT JOIN b ON v >= low AND v < low + 10 GROUP BY low",
     "scd2_point_in_time": f"""WITH {LATEST}, x AS (SELECT CASE WHEN posted_at < '1998' THEN price ELSE price / 2 END AS p, CAST(posted_at[1:4] AS INTEGER) AS year FROM latest)
@@ -529,8 +549,8 @@ SELECT m.year, m.quarter, m.month, m.n, m.n - a.n AS mom, m.n - b.n AS yoy FROM
     "role_playing_dates": f"WITH {LATEST} SELECT CAST(posted_at[1:4] AS INTEGER) AS posted_year, CAST(posted_at[6:7] AS INTEGER) AS posted_month, (SELECT CASE WHEN max(l_shipdate) >= DATE '2002-01-01' THEN 2002 END FROM lineitem) AS ingested_year, (SELECT CASE WHEN max(l_shipdate) >= DATE '2002-01-01' THEN 1 END FROM lineitem) AS ingested_month, {_COUNT} FROM latest GROUP BY ALL",
     "outliers_iqr": f"""WITH {LATEST}, x AS (SELECT city, CASE WHEN orderkey % 31 = 0 THEN price * 50 ELSE price END AS price FROM latest), f AS (SELECT city, count(*) AS k, quantile_cont(price, 0.75) + 3 * (quantile_cont(price, 0.75) - quantile_cont(price, 0.25)) AS f FROM x WHERE price > 0 GROUP BY city)
 SELECT x.city, {_COUNT}, max(price) AS highest FROM x JOIN f USING (city) WHERE k < 10 OR price <= f GROUP BY x.city""",
-    "weak_label_listing": f"WITH {LATEST} SELECT {LISTING} AS listing_type, CAST({SURE} AS DOUBLE) AS listing_confidence, {_COUNT} FROM latest GROUP BY ALL",
-    "weak_label_property": f"WITH {LATEST} SELECT {PROPERTY} AS property_type, CAST({PROPERTY_SURE} AS DOUBLE) AS property_confidence, {_COUNT} FROM latest GROUP BY ALL",
+    "weak_label_listing": f"WITH {LATEST}, x AS (SELECT {LISTING} AS listing_type, CAST({SURE} AS DECIMAL(4,2)) AS c FROM latest) SELECT listing_type, {_COUNT}, {_r('(CAST(sum(c) AS DOUBLE) / count(*))', 6)} AS mean_confidence FROM x GROUP BY listing_type",
+    "weak_label_property": f"WITH {LATEST}, x AS (SELECT {PROPERTY} AS property_type, CAST({PROPERTY_SURE} AS DECIMAL(4,2)) AS c FROM latest) SELECT property_type, {_COUNT}, {_r('(CAST(sum(c) AS DOUBLE) / count(*))', 6)} AS mean_confidence FROM x GROUP BY property_type",
     "features": f"WITH {LATEST} {FEATURE_SQL}",
     "target_mean_feature": f"""WITH {LATEST}, m AS (SELECT district, sum(price) / count(*) AS a FROM latest WHERE orderkey % 5 <> 0 AND district <> 'Household' GROUP BY district)
 SELECT property_id, {_r("coalesce(a, 0.0::DOUBLE)", 2)} AS district_avg_price FROM latest LEFT JOIN m USING (district) WHERE orderkey % 5 = 0""",
@@ -539,5 +559,10 @@ SELECT property_id, {_r("coalesce(a, 0.0::DOUBLE)", 2)} AS district_avg_price FR
     "layer_inventory": f"""WITH {GOLD} SELECT 'raw' AS layer, count(*) AS n_rows, 11 AS n_columns, 'OK' AS status FROM raw UNION ALL SELECT 'invalid', count(*), 12, 'OK' FROM tagged WHERE dq_reason IS NOT NULL UNION ALL SELECT 'silver', count(*), 18, 'OK' FROM silver
 UNION ALL SELECT 'gold', count(*), 14, 'OK' FROM gold UNION ALL SELECT 'none', 0, 11, 'EMPTY'""",
     "eval_metrics": EVAL_SQL,
+    "incremental_layers": f"""WITH {LATEST}, v AS (SELECT *, district <> 'Household' AND district <> 'Machinery' AS fits, orderkey % 89 <> 1 AS fine FROM latest),
+t AS (SELECT CAST(sum(CAST(price + CASE WHEN orderkey % 10 = 0 THEN 1500 ELSE 0 END AS DECIMAL(18,2))) FILTER (fits AND fine) AS DECIMAL(30,2)) AS total, count(*) AS n, count(*) FILTER (orderkey % 2 = 0) AS even, count(*) FILTER (fits AND fine) AS silver, count(*) FILTER (NOT fits AND fine) + count(*) FILTER (NOT fits AND fine AND orderkey % 10 = 0) AS quarantine,
+  0 AS invalid, count(DISTINCT (city, district)) FILTER (fits AND fine) AS gold FROM v)
+SELECT unnest(['bronze', 'invalid', 'quarantine', 'silver', 'gold', 'cdc_state']) AS layer, unnest([n + even, invalid, quarantine, silver, gold, n]) AS n, total FROM t""",
+    "clean_records": CLASSIFIED_CLEAN,
     "stream_incremental": f"WITH {LATEST} SELECT 0 AS landing, 'NEW' AS status, {_COUNT} FROM latest HAVING count(*) > 0 UNION ALL SELECT 1, 'UPDATED', count(*) FROM latest WHERE orderkey % 10 = 0 HAVING count(*) > 0",
 }

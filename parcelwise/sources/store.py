@@ -97,6 +97,14 @@ class TableStore:
             raise ValueError(f"there is no table {name}")
         return self.spark.read.parquet(f"{self.root}/{name}/g={g}")
 
+    def register(self, name: str) -> None:
+        """The table's current generation under its name in Spark SQL."""
+        self.read(name).createOrReplaceTempView(name)
+
+    def upsert_fact(self, name: str, fact: DataFrame, key: str) -> int:
+        """Facts merged on their stable key; a fact that is there already keeps when it was created."""
+        return self.upsert(name, fact, [key], keep=["created_at"] if "created_at" in fact.columns else [])
+
     def read_or_none(self, name: str) -> DataFrame | None:
         return self.read(name) if self.exists(name) else None
 

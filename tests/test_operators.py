@@ -216,3 +216,55 @@ def test_resolve_entities_loses_no_pair_of_a_block(spark):
                 if 0.5 * (1 - (s != t) / max(len(s), len(t))) + 0.25 * like(p, q) + 0.25 * like(m, n) >= threshold:
                     want.add((a, b))
         assert {(r["a"], r["b"]) for r in cleaning.resolve_entities(frame, "id", "title", "price", "area", "place", threshold).collect()} == want
+
+
+def test_clean_records_clamps_rounds_and_keeps_the_latest(spark):
+    rows = spark.createDataFrame(
+        [("1", "Bán nhà phố", "HCM", "Q1", "5.005", "10.126", "-3", AT), ("1", "Bán đất", " sg ", "Q1", "7", "1", None, "2024-02-01T00:00:00Z"), ("2", "abc", "HCM", "Lạ", "x", "1", "4", AT)],
+        "property_id string, title string, city string, district string, price string, area_sqm string, bedrooms string, posted_at string",
+    )
+    found = {r["property_id"]: r for r in cleaning.clean_records(rows, {"city": CITIES, "district": DISTRICTS}).collect()}
+    assert (found["1"]["city"], found["1"]["price"], found["1"]["bedrooms"], found["1"]["mapping_status"], found["1"]["property_type"]) == ("Hồ Chí Minh", 7.0, 0, "MAPPED", "Đất nền/Đất dự án")
+    assert (found["2"]["price"], found["2"]["bedrooms"], found["2"]["mapping_status"]) == (None, 4, "UNMAPPED")
+    one = cleaning.clean_records(rows.filter("posted_at < '2024-02'"), {"city": CITIES, "district": DISTRICTS}).filter("property_id = '1'").first()
+    assert (one["price"], one["area_sqm"], one["bedrooms"]) == (5.01, 10.13, 0)
+    table = spark.createDataFrame([("HCM", "A", "city", True), ("hcm", "B", "city", False), ("Q1", "C", "district", True)], "alias string, standard string, kind string, is_current boolean")
+    assert [tuple(r) for r in readers.rules_table(table, "city").collect()] == [("hcm", "A")]
+
+
+def test_training_files_of_several_formats_snapshots_and_exports(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"subject": "x", "price": 1}, {"subject": "y"}]), encoding="utf-8")
+    (tmp_path / "b.csv").write_text("subject,price\nz,3\n", encoding="utf-8")
+    spark.createDataFrame([("w", "4")], "subject string, price string").write.parquet(str(tmp_path / "c.parquet"))
+    found = readers.read_training(spark, [str(tmp_path / n) for n in ("a.json", "b.csv", "c.parquet")], {"subject": "title", "price": "cost"})
+    assert sorted((r["title"], r["cost"]) for r in found.select("title", "cost").collect()) == sorted([("x", "1"), ("y", None), ("z", "3"), ("w", "4")], key=str)
+    store.export_csv(found, str(tmp_path / "out"))
+    assert spark.read.csv(str(tmp_path / "out"), header=True).count() == 4
+    path = store.write_snapshot(found, str(tmp_path / "raw"), "20240101")
+    assert spark.read.json(path).count() == 4 and readers.snapshots(spark, path).filter("length >= 0").count() >= 1
+
+
+def test_facts_keep_their_creation_and_tables_answer_sql(spark, tmp_path):
+    tables = store.TableStore(spark, str(tmp_path))
+    day = lambda n, d: spark.createDataFrame([(1, n, d)], "listing_key long, price int, created_at string")
+    tables.upsert_fact("fact", day(5, "d1"), "listing_key")
+    tables.upsert_fact("fact", day(7, "d2"), "listing_key")
+    tables.register("fact")
+    assert [tuple(r) for r in spark.sql("select * from fact").collect()] == [(1, 7, "d1")]
+
+
+def test_models_are_compared_saved_loaded_and_used(spark, tmp_path):
+    from parcelwise.operators import models
+
+    rows = [(str(i), "bán nhà đẹp" if i % 2 else "cho thuê phòng", "Nhà" if i % 3 else "Phòng", f"C{i % 3}", f"D{i % 4}", float(i % 7 + 1), 50.0, i % 4, "BAN" if i % 2 else "THUE") for i in range(120)]
+    frame = spark.createDataFrame(rows, "property_id string, title string, source_category string, city string, district string, price double, area_sqm double, bedrooms int, label string")
+    frame = market.build_features(frame)
+    model, scores, means = models.train_and_compare(frame, "label", trees=5)
+    assert {r["model"] for r in scores.collect()} == {"logistic", "forest", "soft_vote"} and scores.agg(F.max("accuracy")).first()[0] > 0.9
+    vote = models.SoftVote([model, model]) if not isinstance(model, models.SoftVote) else model
+    for one, n in ((model, 1), (vote, 2)):
+        models.save_model(one, str(tmp_path / str(n)))
+        out = models.predict(models.load_model(str(tmp_path / str(n)), n), frame, means)
+        assert out.filter("label_ml = label").count() > 110 and out.filter("confidence_ml between 0.3 and 1").count() == 120
+        routed = cleaning.route_by_confidence(out.withColumns({"property_type": F.lit(rules.UNKNOWN_TYPE), "mapping_source": F.lit("x")}), "label_ml", "confidence_ml")
+        assert routed.filter("property_type = label").count() > 90
