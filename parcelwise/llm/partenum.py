@@ -357,7 +357,7 @@ def verified(members: DataFrame, percent: int) -> DataFrame:
 
 
 def bits_for(total_bytes: float, partitions: int) -> int:
-    """Bits of the ranges, so that there are two for each partition at least and each holds about RANGE_BYTES."""
+    """Bits of the ranges, so that there are two for each of ``partitions`` at least and each holds about RANGE_BYTES."""
     return max(4, int(np.ceil(np.log2(max(2 * partitions, total_bytes / RANGE_BYTES)))))
 
 
@@ -374,7 +374,8 @@ def placed_rows(docs: DataFrame, id_col: str, text_col: str, n: int, percent: in
     members = near.withColumnRenamed("node", "set").join(classes, "set")
     members = frozen(_with_count(members, "root", whole["n"]))
     large = members.filter(F.col("n") > SPLIT_SETS)
-    split = components(rarest_links(docs, large, id_col, text_col, n, percent, bits_for(whole["shingles"] * 12, partitions)))
+    # A set has a row in each range here, so there are no more ranges than their bytes call for.
+    split = components(rarest_links(docs, large, id_col, text_col, n, percent, bits_for(whole["shingles"] * 12, 8)))
     split = split.withColumnRenamed("node", "set").join(classes, "set")
     members = members.filter(F.col("n") <= SPLIT_SETS).unionByName(_with_count(split, "root", whole["n"]))
     members = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK_SETS).cast("int"))
