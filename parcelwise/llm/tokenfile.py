@@ -36,6 +36,10 @@ FRAME_IDS = 1 << 18
 _INDEX = np.dtype([("known", "u1"), ("id", "<i8"), ("n", "<u4"), ("frame", "<u4")])
 
 
+#: Bytes of ids that one file is meant to hold.
+FILE_BYTES = 128 << 20
+
+
 class Writer:
     """Collects documents, compresses a frame as soon as it is full, and gives the file at the end."""
 
@@ -128,29 +132,37 @@ class Reader:
         return out
 
 
-def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = "byte_bpe_50k.json", end_id: int = 0) -> None:
-    """Encodes all documents, ``end_id`` after each, into files under ``path`` in ascending order of the id."""
+def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = "byte_bpe_50k.json", end_id: int = 0, file_bytes: int = FILE_BYTES) -> None:
+    """Encodes all documents, ``end_id`` after each, into files under ``path`` in ascending order of the id (and of a
+    hash of the text, so that rows of one id may go to several files). A file holds about ``file_bytes`` of ids."""
     vocabulary = vocabulary_path(vocabulary)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer = Writer()
+        writer, size = Writer(), 0
         for block in blocks(batches, "text"):
             ids, counts = encode_texts(vocabulary, block.column("text"))
             at = starts(counts)
             for i, doc_id in enumerate(block.column("id").to_pylist()):
+                if size >= file_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([writer.finish()], pa.binary())], ["file"])
+                    writer, size = Writer(), 0
                 writer.add(doc_id, np.append(ids[at[i] : at[i + 1]], np.uint32(end_id)))
+                size += 4 * int(counts[i] + 1)
         if writer.index:
             yield pa.RecordBatch.from_arrays([pa.array([writer.finish()], pa.binary())], ["file"])
 
     dealt = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    dealt = dealt.repartitionByRange(F.col("id")).sortWithinPartitions("id", "text")
-    dealt.mapInArrow(pack, "file binary").select(F.col("file").cast("string").alias("value")).write.text(path)
+    dealt = dealt.withColumn("tie", F.xxhash64("text"))
+    dealt = dealt.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").drop("tie")
+    files = dealt.mapInArrow(pack, "file binary").select(F.col("file").cast("string").alias("value"))
+    files.write.option("maxRecordsPerFile", 1).text(path)
 
 
 def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of every document in the files, from the ids as they were read.
 
-    ``start`` counts the ids of all documents before it, over all files in the order of their names.
+    ``start`` counts the ids of all documents before it, over all files in the order of the two numbers in their names
+    (the task's, and the file's within the task).
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +181,8 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") ->
 
     files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
     rows = files.mapInArrow(read, "name string, id long, at long, n_tokens long, ids_crc32 long")
-    before = Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1)
+    number = lambda pattern: F.regexp_extract("name", pattern, 1).cast("long")
+    before = Window.orderBy(number(r"^part-(\d+)"), number(r"-c(\d+)\."), "name").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy("name").agg(F.sum("n_tokens").alias("file_tokens"))
     totals = totals.select("name", F.coalesce(F.sum("file_tokens").over(before), F.lit(0)).alias("base"))
     return rows.join(totals, "name").select(F.col("id").alias(id_col), (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")

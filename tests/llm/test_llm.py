@@ -104,6 +104,12 @@ def test_token_files(spark, docs, empty, tmp_path):
         want.append((i, start, len(e) + 1, zlib.crc32(np.array([*e, 0], "<u4").tobytes())))
         start += len(e) + 1
     assert sorted(map(tuple, tokenfile.read_token_files(spark, str(tmp_path / "a")).collect()), key=lambda r: r[1]) == want
+    hot = spark.createDataFrame([(5, f"text {i}") for i in range(40)] + [(1, BASE), (9, None)], "doc_id long, text string")
+    tokenfile.write_token_files(hot, str(tmp_path / "c"), file_bytes=32)
+    assert len(list((tmp_path / "c").glob("part-*"))) > 10
+    got = sorted(map(tuple, tokenfile.read_token_files(spark, str(tmp_path / "c")).collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == [1] + [5] * 40 + [9] and all(a[1] + a[2] == b[1] for a, b in zip([(0, 0, 0)] + got, got, strict=False))
+    assert sorted(r[3] for r in got) == sorted(zlib.crc32(np.array([*e, 0], "<u4").tobytes()) for e in encoded(BYTE, [r["text"] for r in hot.collect()]))
     tokenfile.write_token_files(empty, str(tmp_path / "b"))
     assert tokenfile.read_token_files(spark, str(tmp_path / "b")).count() == 0
 
