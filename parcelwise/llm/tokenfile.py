@@ -139,7 +139,7 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, size = Writer(), 0
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", 8 << 20):
             ids, counts = encode_texts(vocabulary, block.column("text"))
             at = starts(counts)
             for i, doc_id in enumerate(block.column("id").to_pylist()):
