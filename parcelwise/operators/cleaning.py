@@ -149,19 +149,12 @@ def drop_near_duplicates(df: DataFrame, title: str = "title", price: str = "pric
     return df.withColumn("_rn", F.row_number().over(same)).filter("_rn = 1").drop("_rn")
 
 
-def resolve_entities(df: DataFrame, key: str, title: str, price: str, area: str, block: str, threshold: float = 0.85, price_step: float | None = None) -> DataFrame:
+def resolve_entities(df: DataFrame, key: str, title: str, price: str, area: str, block: str, threshold: float = 0.85) -> DataFrame:
     """(a, b, score) of likely equal listings: pairs within a block that lie in the same or the next price step, by
-    the mean of title, price and area likeness. The price step keeps blocks from being compared in full.
-
-    Steps are logarithmic and as wide as two prices can be apart in a pair that still reaches the threshold, so none is
-    lost; an absolute ``price_step`` loses those that are further apart."""
+    the mean of title, price and area likeness. The price step keeps blocks from being compared in full: steps are
+    logarithmic and as wide as two prices can be apart in a pair that still reaches the threshold, so no pair is lost."""
     least = 1 - 4 * (1 - threshold)  # price likeness of a pair whose title and area are equal
-    if price_step is not None:
-        step = F.floor(F.col(price) / price_step)
-    elif least > 0:
-        step = F.floor(F.log(F.greatest(F.abs(F.col(price)), F.lit(1.0))) / max(1e-6, -math.log(least) * (1 + 1e-9)))
-    else:
-        step = F.lit(0).cast("long")
+    step = F.floor(F.log(F.greatest(F.abs(F.col(price)), F.lit(1.0))) / max(1e-6, -math.log(least) * (1 + 1e-9))) if least > 0 else F.lit(0).cast("long")
     t = df.select(F.col(key).alias("k"), F.lower(title).alias("t"), F.col(price).alias("p"), F.col(area).alias("s"), F.col(block).alias("g"), step.alias("b"))
     t = t.filter("k is not null and t is not null and p is not null and s is not null").distinct()
     left = t.select(*[F.col(c).alias(f"l{c}") for c in t.columns], F.explode(F.array(F.col("b") - 1, F.col("b"), F.col("b") + 1)).alias("jb"))

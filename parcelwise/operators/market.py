@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelwise.functions import rules
@@ -52,11 +52,38 @@ def touched_gold(silver_all: DataFrame, batch: DataFrame, as_of: Column, keys: t
     return to_gold(silver_all.join(places, match, "left_semi"), as_of, keys=keys, **how)
 
 
+def exact_quantiles(df: DataFrame, value: str, shares: list[float], group: str | None = None) -> DataFrame:
+    """(group, n, q): interpolated quantiles of the values that are not null, exact, for each group (or for all rows).
+
+    Equal values are counted first. Those counts are added up in steps of one percent of the value, which say in which
+    steps the wanted ranks lie, and only the values of these steps are ranked, each step by itself: no task sees all
+    values of a group. A group without values has no row; NaN counts as null.
+    """
+    kept = df.select((F.lit(0) if group is None else F.col(group)).alias("_g"), F.col(value).cast("double").alias("_v"))
+    values = kept.filter("_v is not null and not isnan(_v)").groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    size = F.floor((F.log2(F.abs("_v")) + 1100) * 64)  # grows with the value's size, from the smallest double on
+    values = values.withColumn("_b", F.when(F.col("_v") == 0, 0).when(F.col("_v") > 0, size).otherwise(-size))
+    steps, whole = Window.partitionBy("_g").orderBy("_b"), Window.partitionBy("_g")
+    counts = values.groupBy("_g", "_b").agg(F.sum("_c").alias("_c"))
+    counts = counts.select("_g", "_b", (F.sum("_c").over(steps) - F.col("_c")).alias("_from"), "_c", F.sum("_c").over(whole).alias("_n"))
+    places = [F.lit(s) * (F.col("_n") - 1) for s in shares]
+    ranks = [f(p) for p in places for f in (F.floor, F.ceil)]
+    inside = lambda r: (F.col("_from") <= r) & (r < F.col("_from") + F.col("_c"))
+    wanted = counts.filter(F.exists(F.array(*ranks), inside)).select(F.col("_g").alias("_wg"), F.col("_b").alias("_wb"), F.col("_from").alias("_before"), "_n")
+    found = values.join(wanted, F.col("_g").eqNullSafe(F.col("_wg")) & (F.col("_b") == F.col("_wb")))
+    ranked = Window.partitionBy("_g", "_b").orderBy("_v")
+    found = found.withColumn("_from", F.col("_before") + F.sum("_c").over(ranked) - F.col("_c"))
+    edges = found.groupBy("_g", "_n").agg(*[F.max(F.when(inside(r), F.col("_v"))).alias(f"_r{i}") for i, r in enumerate(ranks)])
+    between = lambda i, p: (F.ceil(p) - p) * F.col(f"_r{2 * i}") + (p - F.floor(p)) * F.col(f"_r{2 * i + 1}")
+    q = [F.when(F.col(f"_r{2 * i}") == F.col(f"_r{2 * i + 1}"), F.col(f"_r{2 * i}")).otherwise(between(i, p)) for i, p in enumerate(places)]
+    out = edges.select(F.col("_g").alias(group or "_g"), F.col("_n").alias("n"), F.array(*q).alias("q"))
+    return out if group else out.drop("_g")
+
+
 def remove_outliers(df: DataFrame, group: str, value: str, k: float = 3.0, least: int = 10) -> DataFrame:
     """Rows above the upper fence Q3 + k IQR of their group go. The fence comes from positive values; groups with
     fewer than ``least`` of them, and rows that are null or zero, stay."""
-    positive = F.when(F.col(value) > 0, F.col(value))
-    fences = df.groupBy(group).agg(F.percentile(positive, F.array(F.lit(0.25), F.lit(0.75))).alias("q"), F.count(positive).alias("n"))
+    fences = exact_quantiles(df.filter(F.col(value) > 0), value, [0.25, 0.75], group)
     fences = fences.select(F.col(group).alias("_g"), F.when(F.col("n") >= least, F.col("q")[1] + k * (F.col("q")[1] - F.col("q")[0])).alias("_fence"))
     kept = F.col("_fence").isNull() | (F.col(value) <= F.col("_fence")) | F.col(value).isNull() | (F.col(value) == 0)
     return df.join(fences, df[group].eqNullSafe(fences["_g"]), "left").filter(kept).drop("_g", "_fence")

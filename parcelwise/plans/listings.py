@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from parcelwise.functions.columns import half_up
 from parcelwise.operators import analytics, changes, cleaning, market, warehouse
 from parcelwise.sources import readers
-from parcelwise.sources.store import as_strings, merge_upsert, sized, written
+from parcelwise.sources.store import as_strings, merge_upsert, scratch, sized, written
 
 AS_OF = "2002-01-01 00:00:00"
 #: Stand-ins in the language of the tables for the rules of :mod:`parcelwise.functions.rules`.
@@ -267,7 +267,7 @@ def gold_history_merge(spark, sf):
 
 def touched_gold(spark, sf):
     rows = silver(spark, sf)
-    return market.touched_gold(rows, rows.filter("orderkey % 1000 = 3"), _as_of(), rounder=half_up, accuracy=1_000_000)
+    return market.touched_gold(rows, rows.filter("posted_date >= '2001-11-01'"), _as_of(), rounder=half_up, accuracy=1_000_000)
 
 
 def bronze_strings(spark, sf):
@@ -277,7 +277,7 @@ def bronze_strings(spark, sf):
 def dim_price_segment_scd2(spark, sf):
     """Luxury begins at the highest price quartile of the data from a given day on; the other bands stay."""
     seeds = warehouse.dim_price_segment(spark)
-    floor = latest(spark, sf).agg(F.percentile("price", 0.75).alias("q"))
+    floor = sized(market.exact_quantiles(latest(spark, sf), "price", [0.75]).select(F.col("q")[0].alias("q")))
     new = seeds.crossJoin(F.broadcast(floor)).select("segment_name", F.when(F.col("segment_name") == "luxury", F.floor("q")).otherwise(F.col("price_floor")).cast("decimal(15,2)").alias("price_floor"), "price_ceiling", "label")  # one row
     return warehouse.scd2_apply(seeds, new, "segment_name", ["price_floor", "price_ceiling"], F.lit("2026-01-01").cast("date"), "price_segment_key").select("price_segment_key", "segment_name", "price_floor", "valid_from", "valid_to", "is_current")
 
@@ -352,7 +352,7 @@ def features(spark, sf):
 def target_mean_feature(spark, sf):
     rows = latest(spark, sf)
     means = market.group_means(rows.filter("orderkey % 5 != 0 and district != 'Household'"), "district", "price")
-    return market.with_group_mean(rows.filter("orderkey % 5 = 0"), means, "district").select("property_id", half_up(F.col("district_avg_price"), 2).alias("district_avg_price"))
+    return market.with_group_mean(rows, means, "district").select("property_id", half_up(F.col("district_avg_price"), 2).alias("district_avg_price"))
 
 
 def training_set(spark, sf):
@@ -380,20 +380,30 @@ def train_compare(spark, sf):
     from parcelwise.operators import models
 
     rows = market.weak_label(latest(spark, sf), LISTING_TIERS, "listing_type", "listing_confidence", ("UNKNOWN", 0.30))
-    return models.train_and_compare(market.build_features(rows, market.rules.TITLE_FLAGS), "listing_type", trees=10)[1]
+    return models.train_and_compare(market.build_features(rows, market.rules.TITLE_FLAGS), "listing_type", trees=10, folds=0)[1]
 
 
 def resolve_entities(spark, sf):
-    rows = latest(spark, sf).filter("district = 'Building'").withColumn("block", F.concat_ws("/", "city", "title"))
-    return cleaning.resolve_entities(rows, "property_id", "title", "price", "area_sqm", "block", 0.95, 1e9).withColumn("score", half_up(F.col("score"), 6))
-
-
-def resolve_entities_all(spark, sf):
     """Likely equal listings of all places, whatever their titles, at the operator's threshold."""
     rows = latest(spark, sf).withColumn("block", F.concat_ws("/", "city", "district"))
     return cleaning.resolve_entities(rows, "property_id", "title", "price", "area_sqm", "block").withColumn("score", half_up(F.col("score"), 6))
 
 
+def classify_with_model(spark, sf):
+    """Keywords first; a model trained on what they find, saved and loaded again, labels the rest where it is sure."""
+    from parcelwise.operators import models
+
+    rows = cleaning.classify_by_keywords(latest(spark, sf), {"Widgets": ["widget"], "Rings": ["ring"], "Bolts": ["bolt"]}, unknown="Unknown", other="SMALL")
+    open_ = F.col("mapping_source") == market.rules.FROM_MODEL_LATER
+    rows = written(market.build_features(rows.withColumn("property_type", F.when(open_, "Unknown").otherwise(F.col("property_type"))), market.rules.TITLE_FLAGS))
+    model, _, means = models.train_and_compare(rows.filter("property_type != 'Unknown'"), "property_type", trees=10, folds=0)
+    path = scratch(spark)
+    models.save_model(model, path)
+    model = models.load_model(path, len(model.models) if isinstance(model, models.SoftVote) else 1)
+    routed = cleaning.route_by_confidence(models.predict(model, rows, sized(means)), "label_ml", "confidence_ml", 0.7, "Unknown")
+    return routed.groupBy("property_type", "mapping_source").agg(F.count(F.lit(1)).alias("n"))
+
+
 def stream_incremental(spark, sf):
     """The listings processed as a stream in two landings: what has passed change detection after both."""
     from parcelwise.plans.streams import incremental
@@ -448,11 +458,11 @@ QUERIES = {
     "classify_keywords": lambda s, d: classified(s, d).groupBy("title", "source_category", "property_type", "mapping_source").agg(F.count(F.lit(1)).alias("n")),
     "classify_source_mix": lambda s, d: analytics.share_of_total(classified(s, d), "mapping_source"),
     "classify_hybrid": classify_hybrid,
+    "classify_with_model": classify_with_model,
     "unknown_worklist": unknown_worklist,
     "dedupe_latest": latest,
     "near_duplicate_drop": near_duplicate_drop,
     "resolve_entities": resolve_entities,
-    "resolve_entities_all": resolve_entities_all,
     "silver_features": silver,
     "gold_snapshot": gold,
     "gold_history_merge": gold_history_merge,
@@ -514,14 +524,14 @@ CASE WHEN sure >= 0.7 THEN split_part(title, ' ', -1) ELSE 'UNKNOWN' END AS list
     "unknown_worklist": f"WITH {LATEST} SELECT title, {_COUNT} FROM latest WHERE {LISTING} = 'UNKNOWN' GROUP BY title ORDER BY n DESC, title LIMIT 10",
     "dedupe_latest": f"WITH {LATEST} SELECT * FROM latest",
     "near_duplicate_drop": "SELECT doc_id, n_chars AS price FROM (SELECT doc_id, n_chars, row_number() OVER (PARTITION BY substr(text, 1, 50), n_chars ORDER BY doc_id, text) AS rn FROM documents) WHERE rn = 1",
-    "resolve_entities": f"""WITH {LATEST}, t AS (SELECT DISTINCT property_id AS k, lower(title) AS t, price AS p, area_sqm AS s, city || '/' || title AS g, CAST(floor(price / 1e9) AS BIGINT) AS b FROM latest WHERE district = 'Building'),
+    "resolve_entities": f"""WITH {LATEST}, t AS (SELECT DISTINCT property_id AS k, lower(title) AS t, price AS p, area_sqm AS s, city || '/' || district AS g FROM latest),
 x AS (SELECT l.k AS a, r.k AS b, CAST(0.5 AS DOUBLE) * (1 - CAST(levenshtein(l.t, r.t) AS DOUBLE) / greatest(length(l.t), length(r.t), 1)) + CAST(0.25 AS DOUBLE) * (1 - abs(l.p - r.p) / greatest(abs(l.p), abs(r.p), 1.0)) + CAST(0.25 AS DOUBLE) * (1 - abs(l.s - r.s) / greatest(abs(l.s), abs(r.s), 1.0)) AS score
-FROM t l JOIN t r ON l.g = r.g AND abs(l.b - r.b) <= 1 AND l.k < r.k) SELECT a, b, {_r('score', 6)} AS score FROM x WHERE score >= CAST(0.95 AS DOUBLE)""",
+FROM t l JOIN t r ON l.g = r.g AND l.k < r.k) SELECT a, b, {_r('score', 6)} AS score FROM x WHERE score >= CAST(0.85 AS DOUBLE)""",
     "silver_features": f"WITH {SILVER} SELECT * FROM silver",
     "gold_snapshot": f"WITH {GOLD} SELECT * FROM gold",
     "gold_history_merge": f"""WITH {SILVER}, again AS ({HISTORY("(SELECT * FROM silver WHERE orderkey % 2 = 0 AND district = 'Building')", "2002-01-01")}), history AS ({HISTORY("silver", "2001-12-31")} UNION ALL {HISTORY("silver", "2002-01-01")})
 SELECT * FROM history h WHERE NOT EXISTS (SELECT 1 FROM again a WHERE a.city = h.city AND a.district = h.district AND a.snapshot_date = h.snapshot_date) UNION ALL SELECT * FROM again""",
-    "gold_touched": f"WITH {SILVER}, x AS (SELECT * FROM silver s WHERE (city, district) IN (SELECT (city, district) FROM silver WHERE orderkey % 1000 = 3)) " + GOLD_OF("x"),
+    "gold_touched": f"WITH {SILVER}, x AS (SELECT * FROM silver s WHERE (city, district) IN (SELECT (city, district) FROM silver WHERE posted_date >= '2001-11-01')) " + GOLD_OF("x"),
     "silver_upsert": f"WITH {LATEST} SELECT property_id, CASE WHEN orderkey % 13 = 0 THEN 'changed' ELSE title END AS title, CASE WHEN orderkey % 5 = 0 THEN price + 1 ELSE price END AS price, orderkey FROM latest WHERE orderkey % 13 <> 0 OR orderkey % 5 = 0",
     "bronze_strings": f"WITH {LATEST} SELECT property_id, title, city, CAST(bedrooms AS VARCHAR) AS bedrooms, CAST(orderkey AS VARCHAR) AS orderkey, posted_at, '2002-01-01' AS ingest_date FROM latest",
     "dim_location": f"WITH {CLASSIFIED}, {LOCATION} SELECT * FROM location",
@@ -553,7 +563,7 @@ SELECT x.city, {_COUNT}, max(price) AS highest FROM x JOIN f USING (city) WHERE
     "weak_label_property": f"WITH {LATEST}, x AS (SELECT {PROPERTY} AS property_type, CAST({PROPERTY_SURE} AS DECIMAL(4,2)) AS c FROM latest) SELECT property_type, {_COUNT}, {_r('(CAST(sum(c) AS DOUBLE) / count(*))', 6)} AS mean_confidence FROM x GROUP BY property_type",
     "features": f"WITH {LATEST} {FEATURE_SQL}",
     "target_mean_feature": f"""WITH {LATEST}, m AS (SELECT district, sum(price) / count(*) AS a FROM latest WHERE orderkey % 5 <> 0 AND district <> 'Household' GROUP BY district)
-SELECT property_id, {_r("coalesce(a, 0.0::DOUBLE)", 2)} AS district_avg_price FROM latest LEFT JOIN m USING (district) WHERE orderkey % 5 = 0""",
+SELECT property_id, {_r("coalesce(a, 0.0::DOUBLE)", 2)} AS district_avg_price FROM latest LEFT JOIN m USING (district)""",
     "training_set": TRAINING_SQL,
     "threshold_advice": f"WITH {LATEST} SELECT {_COUNT}, " + ", ".join(f"{_r(f'(quantile_disc(price, {q}) / CAST(1e9 AS DOUBLE))', 1)} AS q{int(q * 100)}" for q in (0.25, 0.5, 0.75, 0.95)) + " FROM latest",
     "layer_inventory": f"""WITH {GOLD} SELECT 'raw' AS layer, count(*) AS n_rows, 11 AS n_columns, 'OK' AS status FROM raw UNION ALL SELECT 'invalid', count(*), 12, 'OK' FROM tagged WHERE dq_reason IS NOT NULL UNION ALL SELECT 'silver', count(*), 18, 'OK' FROM silver

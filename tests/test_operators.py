@@ -259,8 +259,9 @@ def test_models_are_compared_saved_loaded_and_used(spark, tmp_path):
     rows = [(str(i), "bán nhà đẹp" if i % 2 else "cho thuê phòng", "Nhà" if i % 3 else "Phòng", f"C{i % 3}", f"D{i % 4}", float(i % 7 + 1), 50.0, i % 4, "BAN" if i % 2 else "THUE") for i in range(120)]
     frame = spark.createDataFrame(rows, "property_id string, title string, source_category string, city string, district string, price double, area_sqm double, bedrooms int, label string")
     frame = market.build_features(frame)
-    model, scores, means = models.train_and_compare(frame, "label", trees=5)
+    model, scores, means = models.train_and_compare(frame, "label", trees=5, folds=2)
     assert {r["model"] for r in scores.collect()} == {"logistic", "forest", "soft_vote"} and scores.agg(F.max("accuracy")).first()[0] > 0.9
+    assert all((r["cv_accuracy"] is None) == (r["model"] == "soft_vote") and (r["cv_accuracy"] or 1) > 0.9 for r in scores.collect())
     vote = models.SoftVote([model, model]) if not isinstance(model, models.SoftVote) else model
     for one, n in ((model, 1), (vote, 2)):
         models.save_model(one, str(tmp_path / str(n)))
@@ -268,3 +269,19 @@ def test_models_are_compared_saved_loaded_and_used(spark, tmp_path):
         assert out.filter("label_ml = label").count() > 110 and out.filter("confidence_ml between 0.3 and 1").count() == 120
         routed = cleaning.route_by_confidence(out.withColumns({"property_type": F.lit(rules.UNKNOWN_TYPE), "mapping_source": F.lit("x")}), "label_ml", "confidence_ml")
         assert routed.filter("property_type = label").count() > 90
+
+
+def test_exact_quantiles_equal_the_sorted_values(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    rows = [(g, float(v)) for g, n in (("a", 900), ("b", 1), ("c", 2), (None, 50)) for v in np.concatenate([rng.normal(0, 1e9, n), np.repeat(7.25, n // 3)])]
+    rows += [("a", None), ("a", float("nan")), ("a", 0.0), ("a", -0.0), ("empty", None), ("a", 5e-324), ("a", 1e308)]
+    frame, shares = spark.createDataFrame(rows, "g string, v double"), [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    found = {r["g"]: (r["n"], r["q"]) for r in market.exact_quantiles(frame, "v", shares, "g").collect()}
+    assert set(found) == {"a", "b", "c", None}
+    for g, (n, q) in found.items():
+        own = np.array([v for h, v in rows if h == g and v is not None and v == v])
+        assert n == len(own) and np.allclose(q, np.quantile(own, shares), rtol=1e-12)
+    assert market.exact_quantiles(frame.filter("false"), "v", shares, "g").count() == 0
+    assert market.exact_quantiles(frame, "v", [0.5]).first()["n"] == len([1 for _, v in rows if v is not None and v == v])
