@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from parcelwise.functions.columns import half_up
 from parcelwise.operators import analytics, changes, cleaning, market, warehouse
 from parcelwise.sources import readers
-from parcelwise.sources.store import as_strings, merge_upsert, scratch, sized, written
+from parcelwise.sources.store import as_strings, merge_upsert, scratch, sized, spread, written
 
 AS_OF = "2002-01-01 00:00:00"
 #: Stand-ins in the language of the tables for the rules of :mod:`parcelwise.functions.rules`.
@@ -38,7 +38,8 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
     """Listings as text, with dirt. Small tables are joined without hints: Spark broadcasts them while they are small."""
     k = F.col("l_orderkey")
     cents = F.floor(F.col("l_extendedprice") * 100 + F.lit(0.5))  # rounding a double goes through decimals, once for each use
-    rows = _t(spark, sf, "lineitem").join(_t(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    items = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_shipdate")
+    rows = spread(items, "l_orderkey", "l_linenumber").join(_t(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.join(_t(spark, sf, "orders"), k == F.col("o_orderkey")).join(_t(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     rows = rows.join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return rows.select(

@@ -34,6 +34,14 @@ def sized(dim: DataFrame, most: int = 100_000) -> DataFrame:
     return dim if rows.num_rows > most else dim.sparkSession.createDataFrame(rows, dim.schema)
 
 
+def spread(table: DataFrame, *keys: str) -> DataFrame:
+    """A table whose files give fewer splits than the session has cores, dealt over all cores by ``keys``: a small file is
+    often one row group, which one task would read and carry through all joins with small tables up to the next
+    shuffle. Tables of more splits stay as they are, so only small ones are shuffled for it."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, *keys) if table.rdd.getNumPartitions() < cores else table
+
+
 def scratch(spark: SparkSession) -> str:
     """A new path in the folder that driver and executors share (``spark.checkpoint.dir``). Where the session names
     none, a local temporary folder serves a local master; a cluster has to name one."""
