@@ -6,12 +6,16 @@ side in the array, so one search gives all places of a window, and the neighbour
 verbatim match. Suffixes of training text that cannot hold even the shortest window (their first words are not all
 benchmark words) are left out of the array, which loses no match. Nothing is shuffled.
 
-The benchmark is broadcast in groups of bounded size (``GROUP_BYTES``); with more than one group the hits of the
-passes are merged by document.
+Every document also gets its longest verbatim match: an occurrence of a window that no earlier word extends is compared
+with the benchmark suffix it begins, word by word.
+
+The benchmark is broadcast in groups of bounded size (``GROUP_BYTES``), which are built one at a time; with more than one
+group the hits of the passes are merged by document.
 
 Defined results: null or empty texts have no words and no hits; an item without words matches nothing; equal items
-each count; a null item id reads as an empty string; repeated documents stay; an empty benchmark or table gives no
-hits or no rows; further columns are ignored.
+each count; a null item id reads as an empty string; repeated documents stay; very long texts are searched whole; of
+equally long matches the first in the text counts, then the least item id (for a benchmark suffix: the place of the least
+id, null ids last, then the first word); an empty benchmark or table gives no hits or no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from pyspark.sql import functions as F
 from parcelwise.llm.common import ALNUM, blocks, starts, strings, translated
 
 WINDOW = 10
+MATCH = pa.struct([("words", pa.int64()), ("word", pa.int64()), ("item", pa.string())])
 #: Bytes of benchmark text that one broadcast may hold.
 GROUP_BYTES = 32 << 20
 
@@ -44,6 +49,7 @@ class Benchmark:
     """The items of one group: their words as codes from 1, and their distinct windows."""
 
     def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
+        items = sorted(items)
         flat, counts = word_array(strings(pa.array([t for _, t in items], pa.large_string())))
         coded = flat.dictionary_encode()
         self.ids = [i for i, _ in items]
@@ -52,9 +58,14 @@ class Benchmark:
         self.item_at = starts(counts)
         self.window = window
         known: dict[bytes, int] = {}
-        at, length, owners = [], [], []
+        at, length, owners, texts = [], [], [], set()
+        #: The window at each word, -1 where none begins or an equal earlier item has it.
+        self.window_of = np.full(len(self.codes), -1, np.int64)
         for item, n in enumerate(counts.tolist()):
             w = min(window, n)
+            whole = self.codes[self.item_at[item] : self.item_at[item + 1]].tobytes()
+            new = whole not in texts
+            texts.add(whole)
             for p in range(self.item_at[item], self.item_at[item] + n - w + 1 if n else 0):
                 k = known.setdefault(self.codes[p : p + w].tobytes(), len(known))
                 if k == len(at):
@@ -62,6 +73,8 @@ class Benchmark:
                     length.append(w)
                     owners.append(set())
                 owners[k].add(item)
+                if new:
+                    self.window_of[p] = k
         self.at, self.length = np.array(at, np.int64), np.array(length, np.int64)
         self.owner_n = np.array([len(o) for o in owners], np.int64)
         self.owners = np.array([i for o in owners for i in sorted(o)], np.int64)
@@ -150,11 +163,29 @@ def shard(texts: pa.Array, bench: Benchmark) -> tuple[SuffixArray, np.ndarray, n
     return SuffixArray(text, bench.shortest, bench.deepest, len(bench.vocabulary)), at, counts
 
 
-def hits(texts: pa.Array, bench: Benchmark) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of each text, a mark for every word that is hit with text starts, and the (text, item) pairs."""
+def longest_of(suffixes: SuffixArray, bench: Benchmark, low: np.ndarray, high: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """(text, words, first word, item) of the longest match of each text that has one; low and high bound the places of
+    every window."""
+    item = np.repeat(np.arange(len(bench.ids)), np.diff(bench.item_at))
+    suffix = np.flatnonzero(bench.window_of >= 0)
+    begin = low[bench.window_of[suffix]]
+    n = high[bench.window_of[suffix]] - begin
+    suffix, place = np.repeat(suffix, n), np.arange(n.sum()) + np.repeat(begin - starts(n)[:-1], n)
+    extended = (suffix > bench.item_at[item[suffix]]) & (suffixes.text[suffixes.order[place] - 1] == bench.codes[suffix - 1])
+    suffix, place = suffix[~extended], place[~extended]
+    length = suffixes.common(place, bench.codes, suffix, bench.item_at[item[suffix] + 1] - suffix)
+    text = np.searchsorted(at, suffixes.order[place], side="right") - 1
+    found = np.stack([text, length, suffixes.order[place] - at[text], item[suffix]], axis=1)
+    found = found[np.lexsort((found[:, 3], found[:, 2], -length, text))]
+    return found[np.append(True, found[1:, 0] != found[:-1, 0])] if len(found) else found
+
+
+def hits(texts: pa.Array, bench: Benchmark, with_longest: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each text, a mark for every word that is hit with text starts, the (text, item) pairs, and, if asked
+    for, the longest matches."""
     suffixes, at, counts = shard(texts, bench)
     edges = np.zeros(at[-1] + bench.window + 1, np.int64)
-    pairs = np.zeros((0, 2), np.int64)
+    pairs, longest = np.zeros((0, 2), np.int64), np.zeros((0, 4), np.int64)
     if len(bench.at) and len(suffixes.order):
         low = suffixes.bound(bench.codes, bench.at, bench.length, False)
         high = suffixes.bound(bench.codes, bench.at, bench.length, True)
@@ -170,28 +201,32 @@ def hits(texts: pa.Array, bench: Benchmark) -> tuple[np.ndarray, np.ndarray, np.
         owner_at = starts(bench.owner_n)
         item = bench.owners[np.arange(bench.owner_n[window].sum()) + np.repeat(owner_at[window] - starts(bench.owner_n[window])[:-1], bench.owner_n[window])]
         pairs = np.stack([np.repeat(doc, bench.owner_n[window]), item], axis=1)
-    return counts, np.cumsum(edges)[: at[-1]] > 0, at, pairs
+        if with_longest:
+            longest = longest_of(suffixes, bench, low, high, at)
+    return counts, np.cumsum(edges)[: at[-1]] > 0, at, pairs, longest
 
 
-def _groups(benchmark: DataFrame, item_col: str, text_col: str, window: int, limit: int) -> list[Benchmark]:
+def _groups(benchmark: DataFrame, item_col: str, text_col: str, window: int, limit: int) -> tuple[int, Iterator[Benchmark]]:
+    """How many groups the items make, and each of them when it is asked for."""
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    items = items.distinct()
     total = items.agg(F.sum(F.octet_length("text") + F.octet_length("item") + 16).alias("n")).first()["n"] or 0
     n = max(1, -(-total // limit))
-    if n == 1:
-        return [Benchmark([(r["item"], r["text"]) for r in items.collect()], window)]
     part = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [Benchmark([(r["item"], r["text"]) for r in items.filter(part == k).collect()], window) for k in range(n)]
+    own = [items if n == 1 else items.filter(part == k) for k in range(n)]
+    return n, (Benchmark([(r["item"], r["text"]) for r in group.collect()], window) for group in own)
 
 
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
     window: int = WINDOW, group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
-    """(id, n_words, spans, items) of every document: hit word ranges [start, end) and the items found, sorted."""
+    """(id, n_words, spans, items, longest) of every document: hit word ranges [start, end), the items found, sorted, and
+    the longest verbatim match (words, word where it starts, item), null without one."""
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = picked.schema["id"].dataType.simpleString()
-    groups = _groups(benchmark, item_col, item_text_col, window, group_bytes)
-    many = len(groups) > 1
+    n_groups, groups = _groups(benchmark, item_col, item_text_col, window, group_bytes)
+    many = n_groups > 1
     if many:
         picked = picked.groupBy("id", "text").agg(F.count(F.lit(1)).alias("copies"))
     else:
@@ -203,29 +238,33 @@ def find_contamination(
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             bench = shared.value
             for block in blocks(batches, "text"):
-                counts, hit, at, pairs = hits(block.column("text"), bench)
-                spans, items = [[] for _ in counts], [set() for _ in counts]
+                counts, hit, at, pairs, longest = hits(block.column("text"), bench, True)
+                spans, items, match = [[] for _ in counts], [set() for _ in counts], [None] * len(counts)
                 step = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
                 for begin, end in zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist(), strict=True):
                     d = int(np.searchsorted(at, begin, side="right")) - 1
                     spans[d].append({"start": begin - int(at[d]), "end": end - int(at[d])})
                 for d, i in pairs.tolist():
                     items[d].add(bench.ids[i])
+                for d, n, word, i in longest.tolist():
+                    match[d] = {"words": n, "word": word, "item": bench.ids[i]}
                 yield pa.RecordBatch.from_arrays(
-                    [block.column("id"), block.column("copies"), pa.array(strings(block.column("text")) if many else [None] * len(counts), pa.string()), pa.array(counts), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                    ["id", "copies", "text", "n_words", "spans", "items"],
+                    [block.column("id"), block.column("copies"), pa.array(strings(block.column("text")) if many else [None] * len(counts), pa.string()), pa.array(counts), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(match, MATCH)],
+                    ["id", "copies", "text", "n_words", "spans", "items", "longest"],
                 )
 
-        passes.append(picked.mapInArrow(search, f"id {kind}, copies long, text string, n_words long, spans array<struct<start:bigint,end:bigint>>, items array<string>"))
+        passes.append(picked.mapInArrow(search, f"id {kind}, copies long, text string, n_words long, spans array<struct<start:bigint,end:bigint>>, items array<string>, longest struct<words:bigint,word:bigint,item:string>"))
     if not many:
-        return passes[0].select(F.col("id").alias(id_col), "n_words", "spans", "items")
+        return passes[0].select(F.col("id").alias(id_col), "n_words", "spans", "items", "longest")
     found = passes[0]
     for other in passes[1:]:
         found = found.unionByName(other)
     found = found.groupBy("id", F.xxhash64("text").alias("t"), "n_words", "copies").agg(
-        F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
-    )
-    return found.select(F.col("id").alias(id_col), "n_words", merged_spans("spans").alias("spans"), "items", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")
+        F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.min(F.when(F.col("longest").isNotNull(), F.struct((-F.col("longest.words")).alias("less"), F.col("longest.word"), F.col("longest.item")))).alias("m"),
+    )
+    longest = F.when(F.col("m").isNotNull(), F.struct((-F.col("m.less")).alias("words"), F.col("m.word"), F.col("m.item")))
+    return found.select(F.col("id").alias(id_col), "n_words", merged_spans("spans").alias("spans"), "items", longest.alias("longest"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")
 
 
 def merged_spans(column: str):
@@ -242,14 +281,14 @@ def merged_spans(column: str):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """The documents that hold no window of any item, with all their columns and in one pass over them."""
-    groups = _groups(benchmark, item_col, item_text_col, window, group_bytes)
+    _, groups = _groups(benchmark, item_col, item_text_col, window, group_bytes)
     kept = docs
     for group in groups:
         shared = docs.sparkSession.sparkContext.broadcast(group)
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for block in blocks(batches, text_col):
-                _, hit, at, _ = hits(block.column(text_col), shared.value)
+                _, hit, at, _, _ = hits(block.column(text_col), shared.value)
                 seen = starts(hit)
                 yield block.filter(pa.array(seen[at[1:]] == seen[at[:-1]]))
 
@@ -262,9 +301,9 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
 
     ``length`` is the longest verbatim match over all shards, and (id, word) one place of it: the smallest.
     """
-    picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = None
-    for group in _groups(benchmark, item_col, item_text_col, window, group_bytes):
+    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    kind, found = picked.schema["id"].dataType.simpleString(), None
+    for group in _groups(benchmark, item_col, item_text_col, window, group_bytes)[1]:
         shared = docs.sparkSession.sparkContext.broadcast(group)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -286,12 +325,12 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
                 rows = []
                 for k, a, b in zip(some.tolist(), low.tolist(), high.tolist(), strict=True):
                     d = np.searchsorted(doc_at, suffixes.order[a:b], side="right") - 1
-                    places = [(ids[x] if ids[x] is not None else -1, int(p - doc_at[x])) for x, p in zip(d.tolist(), suffixes.order[a:b].tolist(), strict=True)]
-                    rows.append((bench.ids[item[k]], int(k - bench.item_at[item[k]]), int(best[k]), *min(places)))
+                    none, first, word = min((ids[x] is None, 0 if ids[x] is None else ids[x], int(p - doc_at[x])) for x, p in zip(d.tolist(), suffixes.order[a:b].tolist(), strict=True))
+                    rows.append((bench.ids[item[k]], int(k - bench.item_at[item[k]]), int(best[k]), None if none else first, word))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["item", "item_word", "length", "id", "word"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.int64(), block.schema.field("id").type, pa.int64()), strict=True)], ["item", "item_word", "length", "id", "word"])
 
-        one = picked.mapInArrow(search, "item string, item_word long, length long, id long, word long")
+        one = picked.mapInArrow(search, f"item string, item_word long, length long, id {kind}, word long")
         found = one if found is None else found.unionByName(one)
-    best = F.max_by(F.struct("length", "id", "word"), F.struct(F.col("length"), -F.col("id"), -F.col("word")))
+    best = F.min_by(F.struct("length", "id", "word"), F.struct(-F.col("length"), F.col("id").isNull(), "id", "word"))
     return found.groupBy("item", "item_word").agg(best.alias("b")).select(F.col("item").alias(item_col), "item_word", "b.length", F.col("b.id").alias(id_col), "b.word")

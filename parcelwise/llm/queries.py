@@ -32,7 +32,8 @@ def op3_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark windows in every document: how many of its words they cover, and of which items they are."""
+    """Benchmark windows in every document: how many of its words they cover, of which items they are, and the longest
+    verbatim match with an item: its words, the word where it starts, and the item."""
     found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda done, x: done + x["end"] - x["start"])
     return found.select(
@@ -42,6 +43,9 @@ def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
+        F.coalesce("longest.words", F.lit(0)).alias("longest_words"),
+        F.col("longest.word").alias("longest_at"),
+        F.col("longest.item").alias("longest_item"),
     )
 
 
@@ -97,15 +101,19 @@ _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijk
 #: against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op4_suffix_decontamination": rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-win AS (SELECT item, least(10, len(w)) AS k, array_to_string(w[p : p + least(10, len(w)) - 1], ' ') AS gram FROM (SELECT item, w, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS p FROM i WHERE len(w) > 0)),
+i AS (SELECT row_number() OVER () AS b, coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT b, item, p AS q, least(10, len(w)) AS k, array_to_string(w[p : p + least(10, len(w)) - 1], ' ') AS gram FROM (SELECT b, item, w, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS p FROM i WHERE len(w) > 0)),
 item_of AS (SELECT DISTINCT item, k, gram FROM win),
 places AS (SELECT r, w, k, unnest(generate_series(1, len(w) - k + 1)) AS p FROM d, (SELECT DISTINCT k FROM win) WHERE len(w) >= k),
-found AS (SELECT r, p, x.k, item FROM (SELECT r, p, k, array_to_string(w[p : p + k - 1], ' ') AS gram FROM places) x JOIN item_of USING (k, gram)),
+x AS (SELECT r, p, k, array_to_string(w[p : p + k - 1], ' ') AS gram FROM places), found AS (SELECT r, p, x.k, item FROM x JOIN item_of USING (k, gram)),
+step AS (SELECT r, b, item, x.k, p, p - q AS diagonal, p - row_number() OVER (PARTITION BY r, b, p - q ORDER BY p) AS run FROM x JOIN win USING (k, gram)),
+match AS (SELECT r, item, count(*) + k - 1 AS n, min(p) - 1 AS start FROM step GROUP BY r, b, item, k, diagonal, run),
+longest AS (SELECT r, item, n, start FROM match QUALIFY row_number() OVER (PARTITION BY r ORDER BY n DESC, start, item) = 1),
 hit AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT DISTINCT r, unnest(generate_series(p, p + k - 1)) AS q FROM found) GROUP BY r),
 items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
-FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)""",
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated,
+coalesce(longest.n, 0) AS longest_words, longest.start AS longest_at, longest.item AS longest_item
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r) LEFT JOIN longest USING (r)""",
     "op9_partenum_join": rf"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOW}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT r, array_to_string(w[p : p + 2], ' ') AS x FROM (SELECT r, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS p FROM d WHERE len(w) > 0)),
 n AS (SELECT r, count(*) AS n FROM s GROUP BY r),

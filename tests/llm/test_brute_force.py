@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from parcelwise.llm import multiindex, quality, queries, templates, toxicity
+from parcelwise.llm import decontaminate, multiindex, quality, queries, templates, toxicity
 from parcelwise.llm.common import SPACED
 
 TABLES = "documents embeddings benchmark labels".split()
@@ -28,6 +28,43 @@ def test_query_equals_sql(spark, sf, name):
     assert Counter(tuple(r[c] for c in oracle.columns) for r in found.collect()) == Counter(oracle.fetchall())
 
 
+@pytest.mark.parametrize("group_bytes", [1 << 20, 60])
+def test_longest_match_of_each_document(spark, group_bytes):
+    """Items that share windows, repeat, or are shorter than a window; ties; null ids and texts; one or several groups."""
+    rng = np.random.default_rng(7)
+    text = lambda n: " ".join(rng.choice(["a", "b", "c"], n))
+    items = [(f"i{k}", text(int(rng.integers(3, 14)))) for k in range(12)] + [("h9", "a b"), ("z", None), (None, "c c c c b")]
+    items += [("i0x", items[0][1]), ("a0", items[1][1]), items[2], items[2]]
+    docs = [(k, text(int(rng.integers(0, 40)))) for k in range(40)] + [(None, items[3][1]), (40, None), (41, ""), (42, f"x {items[4][1]} y {items[4][1]}")]
+    docs += [docs[5], docs[5]]
+    frame = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, longest int, item string").repartition(3)
+    bench = spark.createDataFrame([(i, t, 2) for i, t in items], "item_id string, text string, word int")
+    found = decontaminate.find_contamination(frame, bench, window=5, group_bytes=group_bytes)
+    got = Counter((r["doc_id"], r["n_words"], None if r["longest"] is None else (r["longest"]["words"], r["longest"]["word"], r["longest"]["item"])) for r in found.collect())
+    want = Counter()
+    for i, t in docs:
+        w, best = (t or "").split(), None
+        for item, u in items:
+            v = (u or "").split()
+            for p in range(len(w)):
+                for q in range(len(v)):
+                    n = 0
+                    while p + n < len(w) and q + n < len(v) and w[p + n] == v[q + n]:
+                        n += 1
+                    if n >= min(5, len(v)) and (best is None or (-n, p, item or "") < best):
+                        best = (-n, p, item or "")
+        want[i, len(w), best and (-best[0], *best[1:])] += 1
+    assert got == want
+
+
+def test_places_of_longest_matches_keep_null_ids(spark):
+    words = " ".join(f"w{k}" for k in range(12))
+    frame = spark.createDataFrame([(None, f"x {words}"), (-1, f"y y {words} z"), (None, f"{words} q r")], "doc_id long, text string").repartition(1)
+    bench = spark.createDataFrame([("i", words), ("j", f"{words} q")], "item_id string, text string")
+    found = {(r["item_id"], r["item_word"]): (r["length"], r["doc_id"], r["word"]) for r in decontaminate.longest_matches(frame, bench).collect()}
+    assert found[("i", 0)] == (12, -1, 2) and found[("j", 0)] == (13, None, 0)
+
+
 def test_every_vector_row_is_its_own(spark):
     """Repeated queries and candidates, ties, and columns with the operator's own names."""
     rng = np.random.default_rng(3)
