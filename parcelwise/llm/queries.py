@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe, decontaminate, interpolation, lengths, multiindex, partenum, quality, templates, tokenfile, toxicity
+from parcelwise.llm import bpe, decontaminate, interpolation, lengths, manifest, multiindex, packing, partenum, quality, ranked, templates, tokenfile, toxicity
 from parcelwise.sources.store import scratch
 
 
@@ -82,6 +82,21 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document proved against the manifest, half of them with texts that lost their newlines."""
+    return manifest.prove_documents(_table(spark, sf_dir, "documents"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_deleted_interpolation": op2_deleted_interpolation,
@@ -93,10 +108,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_inverted_multi_index": op8_inverted_multi_index,
     "op9_partenum_join": op9_partenum_join,
     "op10_line_templates": op10_line_templates,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _field(x: str) -> str:
+    return f"coalesce(CAST(octet_length(encode(CAST({x} AS VARCHAR))) AS VARCHAR) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_TERMS = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+#: The id's digits one by one, each with eight steps of the bitwise CRC.
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), [CAST(ord(x) AS UBIGINT) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]), lambda c, b:
+  list_reduce(list_prepend(xor(c, b), CAST(range(8) AS UBIGINT[])), lambda y, i: xor(y >> 1, CASE WHEN y % 2 = 1 THEN CAST(3988292384 AS UBIGINT) ELSE CAST(0 AS UBIGINT) END))), CAST(4294967295 AS UBIGINT))"""
+
 #: Where SQL has no counterpart (fitted models, BPE, files, a greedy parse, approximate search) the tests hold the query
 #: against brute force.
 ORACLE_SQL: dict[str, str] = {
@@ -122,4 +155,23 @@ link AS (SELECT a, b FROM same JOIN n x ON a = x.r JOIN n y ON b = y.r JOIN d p
 reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
 least_id AS (SELECT a, min(doc_id) AS id FROM reach JOIN d ON b = r GROUP BY a), degree AS (SELECT a, count(*) AS n FROM link GROUP BY a)
 SELECT doc_id, coalesce(n.n, 0) AS n_shingles, least(doc_id, least_id.id) AS component_id, coalesce(degree.n, 0) AS n_links FROM d LEFT JOIN n USING (r) LEFT JOIN least_id ON least_id.a = r LEFT JOIN degree ON degree.a = r""",
+    "op11_ranked_search": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents), i AS (SELECT row_number() OVER () AS b, item_id, {_TERMS} AS w FROM benchmark),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d), t AS (SELECT r, x, count(*) AS tf FROM (SELECT r, unnest(w) AS x FROM d) GROUP BY ALL),
+k AS (SELECT x, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight FROM t, s GROUP BY x, docs), q AS (SELECT b, x, count(*) AS n FROM (SELECT b, unnest(w) AS x FROM i) GROUP BY ALL),
+m AS (SELECT r, 25 + (75 * len(w) * docs) // terms AS m FROM d, s WHERE len(w) > 0),
+score AS (SELECT b, r, CAST(sum(n * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score FROM q JOIN k USING (x) JOIN t USING (x) JOIN m USING (r) GROUP BY b, r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT b, r, score, doc_id, row_number() OVER (PARTITION BY b ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM score JOIN d USING (r) WHERE score > 0) JOIN i USING (b) WHERE rank <= 10""",
+    "op12_merkle_manifest": f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, source, {_leaf('text')} AS leaf, CASE WHEN {_CRC} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} END AS claim FROM documents),
+p AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM d),
+node(tree, level, idx, digest) AS (SELECT tree, 0, pos, leaf FROM p UNION ALL SELECT tree, level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)) FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS w FROM node) WHERE w > 1 GROUP BY tree, level, idx // 3),
+sub AS (SELECT tree, max(level) AS height, arg_max(digest, level) AS digest FROM node GROUP BY tree),
+top(level, idx, digest) AS (SELECT 0, tree, digest FROM sub UNION ALL SELECT level + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)) FROM (SELECT *, count(*) OVER () AS w FROM top) WHERE w > 1 GROUP BY level, idx // 3),
+run AS (SELECT tree, level, idx // 3 AS g, list(digest ORDER BY idx) AS ds FROM node GROUP BY ALL UNION ALL SELECT -1, level, idx // 3, list(digest ORDER BY idx) FROM top GROUP BY ALL),
+own AS (SELECT r, run.level AS k, pos // CAST(pow(3, run.level) AS BIGINT) % 3 AS o, ds FROM p JOIN sub USING (tree) JOIN run ON run.tree = p.tree AND run.level < height AND run.g = pos // CAST(pow(3, run.level + 1) AS BIGINT)
+ UNION ALL SELECT r, height + run.level, p.tree // CAST(pow(3, run.level) AS BIGINT) % 3, ds FROM p JOIN sub USING (tree) JOIN run ON run.tree = -1 AND run.level < (SELECT max(level) FROM top) AND run.g = p.tree // CAST(pow(3, run.level + 1) AS BIGINT)),
+path AS (SELECT r, k, array_to_string(ds[1:o], '') AS b, array_to_string(ds[o + 2:], '') AS a FROM own),
+proof AS (SELECT r, string_agg(b || a, '' ORDER BY k) AS s FROM path GROUP BY r),
+fold(r, k, h) AS (SELECT r, 0, coalesce(claim, leaf) FROM d UNION ALL SELECT fold.r, fold.k + 1, sha256(b || h || a) FROM fold JOIN path ON path.r = fold.r AND path.k = fold.k),
+done AS (SELECT r, arg_max(h, k) AS h FROM fold GROUP BY r), root AS (SELECT arg_max(digest, level) AS root FROM top)
+SELECT doc_id, leaf, sub.digest AS subroot, root, sha256(coalesce(s, '')) AS proof_sha256, h AS folded_root, h = root AS verified FROM p JOIN sub USING (tree) JOIN done USING (r) LEFT JOIN proof USING (r), root""",
 }
