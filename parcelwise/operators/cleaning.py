@@ -59,6 +59,16 @@ def invalid_samples(tagged: DataFrame, order: list[str], n: int = 20) -> DataFra
     return tagged.filter("dq_reason is not null").orderBy(*order).limit(n)
 
 
+def quality_report(tagged: DataFrame, order: list[str], dropped: DataFrame | None = None, n: int = 20) -> DataFrame:
+    """One row to be published: the metrics, ``reasons`` (how many rows each rule caught) and ``samples``, the first ``n`` invalid
+    rows in the given order; with ``dropped`` also its counts of records that did not come this far."""
+    few = [c for c in dict.fromkeys([*order, "title", "price", "area_sqm"]) if c in tagged.columns]
+    reasons = reason_counts(tagged).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("dq_reason", "n")))).alias("reasons"))
+    samples = invalid_samples(tagged.select(*few, "dq_reason"), few, n).agg(F.sort_array(F.collect_list(F.struct(*few, "dq_reason"))).alias("samples"))
+    report = quality_metrics(tagged).crossJoin(F.broadcast(reasons)).crossJoin(F.broadcast(samples))  # one row each
+    return report if dropped is None else report.crossJoin(F.broadcast(dropped))
+
+
 def alias_table(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
     """(alias, standard), lower case, one row for each alias (the first standard wins), of a size that Spark knows."""
     pairs, seen = [], set()
@@ -137,10 +147,25 @@ def listing_type(df: DataFrame, label: str, confidence: str, threshold: float =
 
 
 def dedupe_latest(df: DataFrame, key: str = "property_id", order: Column | None = None) -> DataFrame:
-    """The latest row of each key; ties go by all columns, so the result does not depend on how rows arrive."""
+    """The latest row of each key; ties go by all columns, so the result does not depend on how rows arrive. It is an
+    aggregate, whose partial results leave one row of a key in each task before anything is shuffled."""
     latest = timestamp_of(F.col("posted_at")) if order is None else order
-    ties = [F.col(c).asc_nulls_last() for c in df.columns]
-    return df.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(latest.desc_nulls_last(), *ties))).filter("_rn = 1").drop("_rn")
+    return _first_of(df, key, [latest.isNull(), -F.unix_micros(latest)] if order is None else [order.isNull(), -order])
+
+
+def newest_version(df: DataFrame, key: str, versions: list[str], posted: str = "posted_at") -> DataFrame:
+    """The row of each key with the highest numbers in ``versions`` (in this order, null lowest), then the latest time, then
+    by all columns."""
+    time = timestamp_of(F.col(posted))
+    ranked = [x for v in versions for x in (F.col(v).isNull(), -F.col(v))]
+    return _first_of(df, key, [*ranked, time.isNull(), -F.unix_micros(time)])
+
+
+def _first_of(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    ties = [x for c in df.columns for x in (F.col(c).isNull(), F.col(c))]
+    named = [x.alias(f"o{i}") for i, x in enumerate([*order, *ties])]
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return df.groupBy(F.col(key).alias("_key")).agg(F.min_by(row, F.struct(*named)).alias("_row")).select("_row.*")
 
 
 def drop_near_duplicates(df: DataFrame, title: str = "title", price: str = "price", order: str = "property_id", prefix: int = 50) -> DataFrame:
@@ -149,19 +174,80 @@ def drop_near_duplicates(df: DataFrame, title: str = "title", price: str = "pric
     return df.withColumn("_rn", F.row_number().over(same)).filter("_rn = 1").drop("_rn")
 
 
+def similar_texts(texts: DataFrame, group: str, text: str, most: float) -> DataFrame:
+    """(group, a, b, d) of all pairs a < b of different texts of a group whose edit distance is at most ``most`` (below 1)
+    of the longer one's length; ``d`` is that share.
+
+    An edit spoils ``q`` runs of ``q`` letters at most, so of any k q + 1 different runs of a text, one is also in every text
+    within k edits of it: texts meet by the k q + 1 rarest of their runs (a prefix in an order by how many texts hold a run),
+    and only those that meet, and whose lengths are near enough, are compared. Texts with fewer runs than that also meet
+    every text of a near length.
+    """
+    q = 2 if most < 0.4 else 1
+    t = texts.select(F.col(group).alias("g"), F.col(text).alias("t")).distinct().withColumn("n", F.length("t"))
+    edits = F.floor(F.floor(F.col("n") / (1 - most) + 1e-9) * most + 1e-9)  # in a pair with the longest text that may be near
+    t = t.withColumn("need", edits * q + 1)
+    runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.col("n") - q + 1, F.lit(1))), lambda i: F.substring(F.col("t"), i, F.lit(q))))
+    t = t.withColumn("runs", F.when(F.col("n") >= q, runs).otherwise(F.expr("cast(array() as array<string>)")))
+    each = t.select("g", "t", "n", "need", F.explode("runs").alias("run"))
+    often = each.groupBy("run").agg(F.count(F.lit(1)).alias("often"))
+    rarest = Window.partitionBy("g", "t").orderBy("often", "run")
+    keyed = each.join(often.withColumnRenamed("run", "_run"), F.col("run") == F.col("_run")).withColumn("_r", F.row_number().over(rarest)).filter("_r <= need").select("g", "t", "n", "run")
+    pick = lambda d, side: d.select(*[F.col(c).alias(f"{side}{c}") for c in ("g", "t", "n", "run")])
+    near = (F.col("yn") - F.floor(F.greatest("xn", "yn") * most + 1e-9) <= F.col("xn")) & (F.col("xn") - F.floor(F.greatest("xn", "yn") * most + 1e-9) <= F.col("yn"))
+    met = pick(keyed, "x").join(pick(keyed, "y"), (F.col("xg") == F.col("yg")) & (F.col("xrun") == F.col("yrun")) & (F.col("xt") < F.col("yt")) & near)
+    # Texts of few runs go to all lengths that may be near.
+    few = t.filter(F.size("runs") < F.col("need")).withColumn("at", F.explode(F.sequence(F.ceil(F.col("n") * (1 - most) - 1e-9), F.floor(F.col("n") / (1 - most) + 1e-9))))
+    few = few.select(F.col("g").alias("xg"), F.col("t").alias("xt"), F.col("n").alias("xn"), "at")
+    any_ = few.join(t.select(F.col("g").alias("yg"), F.col("t").alias("yt"), F.col("n").alias("yn")), (F.col("xg") == F.col("yg")) & (F.col("at") == F.col("yn")) & (F.col("xt") != F.col("yt")))
+    pairs = met.select("xg", "xt", "yt").unionByName(any_.select("xg", F.least("xt", "yt").alias("xt"), F.greatest("xt", "yt").alias("yt"))).distinct()
+    longer = F.greatest(F.length("xt"), F.length("yt"), F.lit(1))
+    pairs = pairs.withColumn("d", F.levenshtein("xt", "yt") / longer)
+    return pairs.filter(F.col("d") <= most + 1e-9).select(F.col("xg").alias(group), F.col("xt").alias("a"), F.col("yt").alias("b"), "d")
+
+
+#: Cells that the widest possible gap of two prices spans.
+CELLS = 3
+
+
 def resolve_entities(df: DataFrame, key: str, title: str, price: str, area: str, block: str, threshold: float = 0.85) -> DataFrame:
-    """(a, b, score) of likely equal listings: pairs within a block that lie in the same or the next price step, by
-    the mean of title, price and area likeness. The price step keeps blocks from being compared in full: steps are
-    logarithmic and as wide as two prices can be apart in a pair that still reaches the threshold, so no pair is lost."""
-    least = 1 - 4 * (1 - threshold)  # price likeness of a pair whose title and area are equal
-    step = F.floor(F.log(F.greatest(F.abs(F.col(price)), F.lit(1.0))) / max(1e-6, -math.log(least) * (1 + 1e-9))) if least > 0 else F.lit(0).cast("long")
-    t = df.select(F.col(key).alias("k"), F.lower(title).alias("t"), F.col(price).alias("p"), F.col(area).alias("s"), F.col(block).alias("g"), step.alias("b"))
-    t = t.filter("k is not null and t is not null and p is not null and s is not null").distinct()
-    left = t.select(*[F.col(c).alias(f"l{c}") for c in t.columns], F.explode(F.array(F.col("b") - 1, F.col("b"), F.col("b") + 1)).alias("jb"))
-    pairs = left.join(t, (F.col("lg") == F.col("g")) & (F.col("jb") == F.col("b")) & (F.col("lk") < F.col("k")))
+    """(a, b, score) of likely equal listings of a block: half the likeness of their titles (by edit distance) and a quarter of
+    those of price and area reach the threshold. No such pair is lost. Rows in which one of the five columns is null never
+    take part.
+
+    What the threshold leaves for title, price and area together is a budget of differences. Different titles that keep within
+    it are found first, among the titles of a block (:func:`similar_texts`). Prices and areas lie in a grid of logarithmic
+    cells, and a row meets only rows of the same or a similar title in cells near enough for what the titles leave of the
+    budget. A cell that holds very many rows is split by Spark's skew join. Under a threshold of 0.75 prices and areas
+    restrict nothing any more, and at 0.5 or less titles do not either, as then all pairs of a block may reach it.
+    """
+    budget = 4 * (1 - threshold)
+    width = max(1e-6, -math.log(1 - budget) / CELLS * (1 + 1e-9)) if budget < 1 else None
+    cell = lambda c: F.floor(F.log(F.greatest(F.abs(F.col(c)), F.lit(1.0))) / width) if width else F.lit(0).cast("long")
+    t = df.select(F.col(key).alias("k"), F.lower(title).alias("t"), F.col(price).alias("p"), F.col(area).alias("s"), F.col(block).alias("g"))
+    t = t.filter("k is not null and t is not null and p is not null and s is not null and g is not null").distinct().withColumns({"pc": cell("p"), "sc": cell("s")})
+    titles = t.select("g", "t").distinct()
+    if budget < 2:
+        other = similar_texts(titles, "g", "t", budget / 2)
+    else:
+        y = titles.select(F.col("g").alias("yg"), F.col("t").alias("b"))
+        other = titles.join(y, (F.col("g") == F.col("yg")) & (F.col("t") < F.col("b"))).select("g", F.col("t").alias("a"), "b", F.lit(0.0).alias("d"))
+    gap = lambda i: 1 - math.exp(-max(0, abs(i) - 1) * width)
+    reach = range(-CELLS - 1, CELLS + 2) if width else [0]
+    moves = [(i, j, gap(i) + gap(j) if width else 0.0) for i in reach for j in reach if not width or gap(i) + gap(j) <= budget + 1e-9]
+    literal = lambda some: F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(g).alias("gap")) for i, j, g in some])
+    # Of two cells one looks for the other, and so does one of two titles.
+    same = t.withColumns({"other": F.col("t"), "move": F.explode(literal([m for m in moves if m[:2] >= (0, 0)]))})
+    near = t.join(other.select(F.col("g").alias("_g"), "a", F.col("b").alias("other"), "d"), (F.col("g") == F.col("_g")) & (F.col("t") == F.col("a")))
+    near = near.withColumn("move", F.explode(F.filter(literal(moves), lambda m: m["gap"] <= F.lit(budget + 1e-9) - 2 * F.col("d"))))
+    names = ["k", "t", "p", "s", "g", "other", "pc", "sc", "move"]
+    left = same.select(*names).unionByName(near.select(*names))
+    left = left.select(F.col("k").alias("lk"), F.col("t").alias("lt"), F.col("p").alias("lp"), F.col("s").alias("ls"), F.col("g").alias("lg"), "other", (F.col("pc") + F.col("move.i")).alias("lpc"), (F.col("sc") + F.col("move.j")).alias("lsc"), (F.col("move.i") == 0) & (F.col("move.j") == 0) & (F.col("t") == F.col("other")))
+    left = left.withColumnRenamed(left.columns[-1], "within")
+    pairs = left.join(t, (F.col("lg") == F.col("g")) & (F.col("other") == F.col("t")) & (F.col("lpc") == F.col("pc")) & (F.col("lsc") == F.col("sc")) & (F.col("lk") != F.col("k")) & (~F.col("within") | (F.col("lk") < F.col("k"))))
     title_like = 1 - F.levenshtein("lt", "t") / F.greatest(F.length("lt"), F.length("t"), F.lit(1))
     like = lambda a, b: 1 - F.abs(F.col(a) - F.col(b)) / F.greatest(F.abs(F.col(a)), F.abs(F.col(b)), F.lit(1.0))
-    scored = pairs.select(F.col("lk").alias("a"), F.col("k").alias("b"), (0.5 * title_like + 0.25 * like("lp", "p") + 0.25 * like("ls", "s")).alias("score"))
+    scored = pairs.select(F.least("lk", "k").alias("a"), F.greatest("lk", "k").alias("b"), (0.5 * title_like + 0.25 * like("lp", "p") + 0.25 * like("ls", "s")).alias("score"))
     return scored.filter(F.col("score") >= threshold)
 
 

@@ -413,12 +413,19 @@ def stream_incremental(spark, sf):
 
 
 def incremental_layers(spark, sf):
-    """Two batches of raw ads through all layers, one of them repeated."""
+    """Two batches of raw ads through all layers, the first of them replayed late."""
     from parcelwise.plans.streams import layers
 
     return layers(spark, sf)
 
 
+def stream_layers(spark, sf):
+    """Batches of raw ads as a stream through all layers, stopped in between and taken up again."""
+    from parcelwise.plans.streams import stream_layers as run
+
+    return run(spark, sf)
+
+
 def clean_records(spark, sf):
     """Valid listings cleaned in one call: places, rounded numbers, clamped bedrooms, types by keywords, latest rows."""
     rows = tagged(spark, sf).filter("dq_reason is null").drop("dq_reason").withColumn("bedrooms", F.when(F.col("orderkey") % 5 == 0, "-2").when(F.col("orderkey") % 7 == 0, "x").otherwise(F.col("bedrooms")))
@@ -443,6 +450,15 @@ CLASSIFIED_CLEAN = f"""WITH {CLEAN}, x AS (SELECT property_id, title, source_cat
 SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY property_id ORDER BY {ORDER}) AS rn FROM x) WHERE rn = 1"""
 HISTORY = lambda source, day: f"SELECT city, district, count(*) AS listing_count, {_r('(sum(price) / count(*))', 2)} AS avg_price, '{day}' AS snapshot_date FROM {source} GROUP BY city, district"
 
+#: Layers after two batches; ``fits`` says which districts the rules know in the end. The second batch has the even orders
+#: again, without those whose ads lost their id or have no price.
+LAYERS_SQL = lambda fits: f"""WITH {LATEST}, v AS (SELECT *, {"district <> 'Household' AND district <> 'Machinery'" if fits == "fits" else "true"} AS fits, orderkey % 89 <> 1 AS fine, orderkey % 2 = 0 AS even, orderkey % 38 = 0 AS lost, orderkey % 46 = 0 AS ask FROM latest),
+w AS (SELECT *, orderkey % 10 = 0 AND NOT lost AND NOT ask AND fine AS raised, even AND NOT lost AND NOT ask AS again FROM v),
+t AS (SELECT CAST(sum(CAST(price + CASE WHEN raised THEN 1500 ELSE 0 END AS DECIMAL(18,2))) FILTER (fits AND fine) AS DECIMAL(30,2)) AS total, count(*) AS n, count(*) FILTER (again) AS again, count(*) FILTER (fits AND fine) AS silver, count(*) FILTER (NOT fits AND fine) AS quarantine,
+  count(*) FILTER (NOT fine) AS invalid, count(DISTINCT (city, district)) FILTER (fits AND fine) AS gold, count(*) FILTER (raised) AS raised, count(*) FILTER (even AND lost) AS lost, count(*) FILTER (even AND NOT lost AND ask) AS ask FROM w)
+SELECT unnest(['bronze', 'invalid', 'quarantine', 'silver', 'gold', 'cdc_state', 'passed change detection', 'reported invalid', 'reported below range', 'samples', 'records without id', 'records with a bad number']) AS layer,
+  unnest([n + again, invalid, quarantine, silver, gold, n, n + raised, invalid, invalid, least(20, invalid), lost, ask]) AS n, total FROM t"""
+
 QUERIES = {
     "raw_normalize": raw_normalize,
     "validate_split": validate_split,
@@ -497,6 +513,7 @@ QUERIES = {
     "train_compare": train_compare,
     "stream_incremental": stream_incremental,
     "incremental_layers": incremental_layers,
+    "stream_layers": stream_layers,
     "clean_records": clean_records,
 }
 
@@ -570,10 +587,8 @@ SELECT property_id, {_r("coalesce(a, 0.0::DOUBLE)", 2)} AS district_avg_price FR
     "layer_inventory": f"""WITH {GOLD} SELECT 'raw' AS layer, count(*) AS n_rows, 11 AS n_columns, 'OK' AS status FROM raw UNION ALL SELECT 'invalid', count(*), 12, 'OK' FROM tagged WHERE dq_reason IS NOT NULL UNION ALL SELECT 'silver', count(*), 18, 'OK' FROM silver
 UNION ALL SELECT 'gold', count(*), 14, 'OK' FROM gold UNION ALL SELECT 'none', 0, 11, 'EMPTY'""",
     "eval_metrics": EVAL_SQL,
-    "incremental_layers": f"""WITH {LATEST}, v AS (SELECT *, district <> 'Household' AND district <> 'Machinery' AS fits, orderkey % 89 <> 1 AS fine FROM latest),
-t AS (SELECT CAST(sum(CAST(price + CASE WHEN orderkey % 10 = 0 THEN 1500 ELSE 0 END AS DECIMAL(18,2))) FILTER (fits AND fine) AS DECIMAL(30,2)) AS total, count(*) AS n, count(*) FILTER (orderkey % 2 = 0) AS even, count(*) FILTER (fits AND fine) AS silver, count(*) FILTER (NOT fits AND fine) + count(*) FILTER (NOT fits AND fine AND orderkey % 10 = 0) AS quarantine,
-  0 AS invalid, count(DISTINCT (city, district)) FILTER (fits AND fine) AS gold FROM v)
-SELECT unnest(['bronze', 'invalid', 'quarantine', 'silver', 'gold', 'cdc_state']) AS layer, unnest([n + even, invalid, quarantine, silver, gold, n]) AS n, total FROM t""",
+    "incremental_layers": LAYERS_SQL("fits"),
+    "stream_layers": LAYERS_SQL("true"),
     "clean_records": CLASSIFIED_CLEAN,
     "stream_incremental": f"WITH {LATEST} SELECT 0 AS landing, 'NEW' AS status, {_COUNT} FROM latest HAVING count(*) > 0 UNION ALL SELECT 1, 'UPDATED', count(*) FROM latest WHERE orderkey % 10 = 0 HAVING count(*) > 0",
 }

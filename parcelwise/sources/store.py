@@ -1,20 +1,25 @@
-"""Layer tables as Parquet generations, and upserts on them.
+"""Layer tables as Parquet generations of parts, and upserts that write only the parts they touch.
 
-A commit writes a new generation and then names it in a small pointer table, so a table may be overwritten from a plan
-that reads it, a failed write leaves the old state, and earlier generations can be read. One writer at a time.
+A table is cut into parts: one part for the whole of it, one for each batch, one for each value of a column, or hash
+buckets of its keys. A commit writes new files for some parts and then a small pointer that says for every part which
+write holds it. So a table may be overwritten from a plan that reads it, a failed write leaves the old state, earlier
+generations can be read, and what a batch does not touch is neither read nor written. One writer at a time.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
 import tempfile
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
@@ -61,16 +66,23 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], keep: list[str] = (), null_safe: bool = False) -> DataFrame:
+def _same(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool, prefix: str = "") -> list[Column]:
+    return [left[k].eqNullSafe(right[f"{prefix}{k}"]) if null_safe else left[k] == right[f"{prefix}{k}"] for k in keys]
+
+
+def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], keep: list[str] = (), null_safe: bool = False, sequence: str | None = None) -> DataFrame:
     """Rows of the target that the source does not match, and all rows of the source; matched rows keep the target's
     values of the columns ``keep`` (a surrogate key, a creation time). Columns may be missing on either side. Null
-    keys match only with ``null_safe``."""
-    old = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys], *[F.col(c).alias(f"_k_{c}") for c in keep], F.lit(True).alias("_old"))
-    match = [source[k].eqNullSafe(old[f"_t_{k}"]) if null_safe else source[k] == old[f"_t_{k}"] for k in keys]
+    keys match only with ``null_safe``. With ``sequence`` the newer row of a key wins, on whichever side it is, and the
+    source's among equals; a null sequence is the oldest."""
+    if sequence:
+        later = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.col(sequence).alias("_later"))
+        stale = F.coalesce(F.col("_later") > F.col(sequence), F.col("_later").isNotNull() & F.col(sequence).isNull())
+        source = source.join(later, [*_same(source, later, keys, null_safe, "_t_"), stale], "left_anti")
     if keep:
-        source = source.join(old, match, "left").withColumns({c: F.when(F.col("_old"), F.col(f"_k_{c}")).otherwise(F.col(c)) for c in keep}).drop(*old.columns)
-    on = [target[k].eqNullSafe(source[k]) if null_safe else target[k] == source[k] for k in keys]
-    return target.join(source, on, "left_anti").unionByName(source, allowMissingColumns=True)
+        old = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys], *[F.col(c).alias(f"_k_{c}") for c in keep], F.lit(True).alias("_old"))
+        source = source.join(old, _same(source, old, keys, null_safe, "_t_"), "left").withColumns({c: F.when(F.col("_old"), F.col(f"_k_{c}")).otherwise(F.col(c)) for c in keep}).drop(*old.columns)
+    return target.join(source, _same(target, source, keys, null_safe), "left_anti").unionByName(source, allowMissingColumns=True)
 
 
 def repeated_keys(source: DataFrame, keys: list[str]) -> DataFrame:
@@ -78,95 +90,149 @@ def repeated_keys(source: DataFrame, keys: list[str]) -> DataFrame:
     return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
+@dataclass
+class Generation:
+    """What a pointer says: the table's schema, how it is cut, and for each part the write that holds it."""
+
+    number: int = -1
+    layout: str = ""
+    schema: T.StructType | None = None
+    versions: dict[str, int] = field(default_factory=dict)
+
+
 @dataclass
 class TableStore:
-    """Tables under one folder."""
+    """Tables under one folder. ``buckets`` is how many parts a new keyed table gets; an old one keeps its own."""
 
     spark: SparkSession
     root: str
+    buckets: int = 64
+
+    # --- generations
 
-    def _pointers(self, name: str) -> DataFrame | None:
+    def _pointer_files(self, name: str) -> list[int]:
         try:
-            return self.spark.read.schema("generation int").json(f"{self.root}/{name}/_pointer")
+            files = self.spark.read.schema("layout string").json(f"{self.root}/{name}/_pointer").inputFiles()
         except AnalysisException:
-            return None
+            return []
+        return [int(x[1]) for f in files if (x := re.search(r"/generation=(\d+)/", f))]
 
     def generation(self, name: str) -> int:
-        found = self._pointers(name)
-        last = found.agg(F.max("generation").alias("g")).first()["g"] if found is not None else None
-        return -1 if last is None else last
+        return max(self._pointer_files(name), default=-1)
+
+    def state(self, name: str, generation: int | None = None) -> Generation:
+        g = self.generation(name) if generation is None else generation
+        if g < 0:
+            return Generation()
+        row = self.spark.read.schema("layout string, columns string, versions map<string,int>").json(f"{self.root}/{name}/_pointer/generation={g}").first()
+        return Generation(g, row["layout"] or "", T.StructType.fromJson(json.loads(row["columns"])), row["versions"] or {})
 
     def exists(self, name: str) -> bool:
         return self.generation(name) >= 0
 
+    def _read(self, name: str, schema: T.StructType, versions: dict[str, int]) -> DataFrame:
+        paths = [f"{self.root}/{name}/g={v}/_part={p}" for p, v in sorted(versions.items())]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
     def read(self, name: str, generation: int | None = None) -> DataFrame:
-        g = self.generation(name) if generation is None else generation
-        if g < 0:
+        found = self.state(name, generation)
+        if found.number < 0:
             raise ValueError(f"there is no table {name}")
-        return self.spark.read.parquet(f"{self.root}/{name}/g={g}")
+        return self._read(name, found.schema, found.versions)
+
+    def read_or_none(self, name: str) -> DataFrame | None:
+        return self.read(name) if self.exists(name) else None
+
+    def read_or_empty(self, name: str, schema: str) -> DataFrame:
+        return self.read(name) if self.exists(name) else self.spark.createDataFrame([], schema)
 
     def register(self, name: str) -> None:
         """The table's current generation under its name in Spark SQL."""
         self.read(name).createOrReplaceTempView(name)
 
-    def upsert_fact(self, name: str, fact: DataFrame, key: str) -> int:
-        """Facts merged on their stable key; a fact that is there already keeps when it was created."""
-        return self.upsert(name, fact, [key], keep=["created_at"] if "created_at" in fact.columns else [])
+    def _commit(self, name: str, g: int, layout: str, schema: T.StructType, versions: dict[str, int]) -> int:
+        pointer = self.spark.createDataFrame([(layout, schema.json(), versions)], "layout string, columns string, versions map<string,int>")
+        pointer.coalesce(1).write.mode("overwrite").json(f"{self.root}/{name}/_pointer/generation={g}")
+        return g
 
-    def read_or_none(self, name: str) -> DataFrame | None:
-        return self.read(name) if self.exists(name) else None
+    def _write(self, name: str, g: int, df: DataFrame, part: str) -> dict[str, int]:
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}/g={g}/_part={part}")
+        return {part: g}
 
-    def read_or_empty(self, name: str, schema: str) -> DataFrame:
-        return self.read(name) if self.exists(name) else self.spark.createDataFrame([], schema)
+    def _write_parts(self, name: str, g: int, df: DataFrame, part: Column) -> dict[str, int]:
+        """Rows with the part that each belongs to, in files of even size; which parts there are is read off the paths."""
+        path = f"{self.root}/{name}/g={g}"
+        df.withColumn("_part", part).hint("rebalance", "_part").write.mode("overwrite").partitionBy("_part").parquet(path)
+        files = self.spark.read.schema(df.schema).parquet(path).inputFiles()
+        return {x[1]: g for f in files if (x := re.search(r"/_part=([^/]+)/", f))}
 
-    def overwrite(self, name: str, df: DataFrame, partition_by: list[str] = ()) -> int:
+    # --- writes
+
+    def overwrite(self, name: str, df: DataFrame) -> int:
+        """The whole table anew, as one part."""
         g = self.generation(name) + 1
-        writer = df.write.mode("overwrite")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/{name}/g={g}")
-        self.spark.createDataFrame([(g,)], "generation int").coalesce(1).write.mode("append").json(f"{self.root}/{name}/_pointer")
-        return g
+        return self._commit(name, g, "", df.schema, self._write(name, g, df, "all"))
 
-    def append(self, name: str, df: DataFrame, partition_by: list[str] = ()) -> int:
-        """Rows added to the current generation (Parquet appends are committed file by file by Spark)."""
-        if not self.exists(name):
-            return self.overwrite(name, df, partition_by)
-        g = self.generation(name)
-        writer = df.write.mode("append")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/{name}/g={g}")
-        return g
+    def _with_part(self, name: str, df: DataFrame, part: str, layout: str) -> int:
+        old = self.state(name)
+        g = old.number + 1
+        schema = df.schema if old.schema is None else self.spark.createDataFrame([], old.schema).unionByName(self.spark.createDataFrame([], df.schema), allowMissingColumns=True).schema
+        return self._commit(name, g, layout, schema, old.versions | self._write(name, g, df, part))
+
+    def append(self, name: str, df: DataFrame) -> int:
+        """Rows added, as a part of their own."""
+        return self._with_part(name, df, f"a{self.generation(name) + 1}", "append")
 
     def replace_batch(self, name: str, df: DataFrame, batch: dict[str, str]) -> int:
-        """Rows of one batch, in a partition that the columns ``batch`` name; writing the batch again replaces it."""
-        df = df.withColumns({c: F.lit(v) for c, v in batch.items()})
-        if not self.exists(name):
-            return self.overwrite(name, df, list(batch))
-        g = self.generation(name)
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*batch).parquet(f"{self.root}/{name}/g={g}")
-        return g
+        """Rows of one batch, which the columns ``batch`` name; writing the batch again replaces it, and no other batch is
+        touched."""
+        part = hashlib.md5("|".join(f"{len(v)}:{v}" for v in batch.values()).encode()).hexdigest()
+        return self._with_part(name, df.withColumns({c: F.lit(v) for c, v in batch.items()}), f"b{part}", "batch")
 
     def append_bronze(self, name: str, df: DataFrame, ingest_date: str, batch_id: str) -> int:
-        """All columns as text, in a partition for the day and the batch, so that a replay adds nothing."""
+        """All columns as text, with the day and the batch, so that a replay adds nothing."""
         return self.replace_batch(name, as_strings(df), {"ingest_date": ingest_date, "batch_id": batch_id})
 
-    def upsert(self, name: str, source: DataFrame, keys: list[str], keep: list[str] = (), null_safe: bool = False) -> int:
-        """The table with the source's rows merged in, as a new generation. The source is evaluated once."""
+    def _keyed(self, name: str, old: Generation, keys: list[str], partition: str | None) -> tuple[str, Column]:
+        """How a table with these keys is cut, and the part of a row."""
+        if partition is not None:
+            return f"by {partition}", F.lower(F.hex(F.xxhash64(F.col(partition).cast("string"))))
+        wanted = f"hash of {', '.join(keys)} in "
+        n = int(old.layout.removeprefix(wanted)) if old.layout.startswith(wanted) else self.buckets
+        return f"{wanted}{n}", F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(n)).cast("string")
+
+    def touched(self, name: str, source: DataFrame, keys: list[str], partition: str | None = None) -> tuple[Generation, DataFrame, dict[str, int]]:
+        """(state, rows, other parts) of the table: the rows of the parts that hold the source's keys, all rows if the table is cut
+        otherwise. Nothing else of the table is read."""
+        old = self.state(name)
+        layout, part = self._keyed(name, old, keys, partition)
+        if old.layout != layout:
+            return old, self._read(name, old.schema, old.versions), {}
+        hit = {r[0] for r in source.select(part).distinct().collect()}  # a row for each part of the table at most
+        return old, self._read(name, old.schema, {p: v for p, v in old.versions.items() if p in hit}), {p: v for p, v in old.versions.items() if p not in hit}
+
+    def upsert(self, name: str, source: DataFrame, keys: list[str], keep: list[str] = (), null_safe: bool = False, sequence: str | None = None, partition: str | None = None) -> int:
+        """The source's rows merged in on their keys (:func:`merge_upsert`); only parts that hold keys of the source are read and
+        written. The source is evaluated once."""
         source = written(source)
         if repeated_keys(source, keys).limit(1).count():
             raise ValueError(f"several source rows have the same {keys}")
-        target = self.read_or_none(name)
-        return self.overwrite(name, source if target is None else merge_upsert(target, source, keys, keep, null_safe))
+        if self.exists(name):
+            old, target, others = self.touched(name, source, keys, partition)
+            rows, g = merge_upsert(target, source, keys, keep, null_safe, sequence), old.number + 1
+        else:
+            old, rows, others, g = Generation(), source, {}, 0
+        layout, part = self._keyed(name, old, keys, partition)
+        return self._commit(name, g, layout, rows.schema, others | self._write_parts(name, g, rows, part))
 
     def upsert_partitions(self, name: str, source: DataFrame, keys: list[str], partition: str) -> int:
-        """An upsert within partitions, as a new generation: a snapshot of the same day replaces its places, a new day
-        is added. Only partitions that the source has rows in are joined with it; the others are copied."""
-        source = written(source)
-        if not self.exists(name):
-            return self.overwrite(name, source, [partition])
-        target = self.read(name)
-        target = target.withColumn(partition, F.col(partition).cast(source.schema[partition].dataType))
-        days = source.select(partition).distinct()
-        merged = merge_upsert(target.join(days, partition, "left_semi"), source, [*keys, partition])
-        return self.overwrite(name, target.join(days, partition, "left_anti").unionByName(merged, allowMissingColumns=True), [partition])
+        """An upsert within the values of a column: a snapshot of the same day replaces its places, a new day is added. Days
+        that the source has no rows of keep their files."""
+        return self.upsert(name, source, [*keys, partition], partition=partition)
+
+    def upsert_fact(self, name: str, fact: DataFrame, key: str) -> int:
+        """Facts merged on their stable key; a fact that is there already keeps when it was created."""
+        return self.upsert(name, fact, [key], keep=["created_at"] if "created_at" in fact.columns else [])
 
 
 def as_strings(df: DataFrame) -> DataFrame:
@@ -177,6 +243,11 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def export_json(df: DataFrame, path: str) -> None:
+    """A report for readers outside Spark."""
+    df.write.mode("overwrite").json(path)
+
+
 def write_snapshot(df: DataFrame, root: str, stamp: str) -> str:
     """A raw snapshot in a folder named by its time."""
     path = f"{root}/snapshot_ts={stamp}"

@@ -141,15 +141,15 @@ def test_batch_is_repeatable_and_survives_a_crash(spark, tmp_path):
     batch = spark.createDataFrame(rows, "property_id string, title string, city string, district string, price string, area_sqm string, bedrooms string, posted_at string")
     clean = lambda d: cleaning.standardize(d, {"city": CITIES, "district": DISTRICTS})
     now = F.lit("2024-01-11 00:00:00").cast("timestamp")
-    real, state = tables.overwrite, {}
+    real, state = tables.upsert, {}
 
-    def fails(name, df, partition_by=()):
+    def fails(name, *args, **how):
         if name == "cdc_state" and not state:
             state["failed"] = True
             raise RuntimeError("crash before the state is saved")
-        return real(name, df, partition_by)
+        return real(name, *args, **how)
 
-    tables.overwrite = fails
+    tables.upsert = fails
     with pytest.raises(RuntimeError):
         process_batch(batch, tables, clean, now, "2024-01-11")
     for _ in range(2):
@@ -161,13 +161,13 @@ def test_batch_is_repeatable_and_survives_a_crash(spark, tmp_path):
     state["failed"] = False  # the next batch crashes before the state, and is repeated
     more = spark.createDataFrame([("4", "t", "HCM", "Q1", "7e9", "50", "2", AT), ("5", "t", "HCM", "Lạ", "5e9", "50", "2", AT)], batch.schema)
 
-    def once(name, df, partition_by=()):
+    def once(name, *args, **how):
         if name == "cdc_state" and not state["failed"]:
             state["failed"] = True
             raise RuntimeError("crash")
-        return real(name, df, partition_by)
+        return real(name, *args, **how)
 
-    tables.overwrite = once
+    tables.upsert = once
     with pytest.raises(RuntimeError):
         process_batch(more, tables, clean, now, "2024-01-11", "1")
     process_batch(more, tables, clean, now, "2024-01-11", "1")
