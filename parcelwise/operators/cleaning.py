@@ -80,24 +80,46 @@ def alias_table(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
     return literal_table(df.sparkSession, pairs, "alias string, standard string")
 
 
-def standardize(df: DataFrame, tables: dict[str, DataFrame | dict[str, list[str]]]) -> DataFrame:
+def scoped_table(df: DataFrame, aliases: dict[tuple[str | None, str], list[str]]) -> DataFrame:
+    """(scope, alias, standard) of rules that hold within a standard of another column, or, with a null scope, everywhere."""
+    pairs = {}
+    for (scope, standard), names in aliases.items():
+        for name in [standard, *names]:
+            pairs.setdefault((scope, name.lower()), standard)
+    return literal_table(df.sparkSession, [(scope, alias, standard) for (scope, alias), standard in pairs.items()], "scope string, alias string, standard string")
+
+
+def standardize(df: DataFrame, tables: dict[str, DataFrame | dict[str, list[str]]], scopes: dict[str, str] | None = None) -> DataFrame:
     """Columns replaced by their standard names; ``mapping_status`` is MAPPED only if all of them were found, and a
     value that was not found keeps its text. Tables are joined, so they may grow: Spark broadcasts those it knows to be
-    small (dicts, and tables read from files) and shuffles others."""
+    small (dicts, and tables read from files) and shuffles others.
+
+    ``scopes`` names, for a column, an earlier one whose standard its aliases may depend on: of a table with ``scope``
+    (:func:`scoped_table`) the rule for that standard is taken first, and else the one without scope. So two cities may
+    map one district alias apart. A table without ``scope`` holds everywhere."""
     hits: list[Column] = []
+    made = []
     for column, table in tables.items():
         pairs = alias_table(df, table) if isinstance(table, dict) else table
-        pairs = pairs.select(F.col("alias").alias(f"_{column}_alias"), F.col("standard").alias(f"_{column}_standard"))
+        own, found = f"_{column}_alias", [f"_{column}_standard"]
         df = df.withColumn(column, squeezed(F.col(column)))
-        df = df.join(pairs, F.lower(F.col(column)) == F.col(f"_{column}_alias"), "left")
+        if scopes and column in scopes and "scope" in pairs.columns:
+            outer = F.coalesce(f"_{scopes[column]}_standard", scopes[column])
+            narrow = pairs.filter("scope is not null").select(F.col("scope").alias(f"_{column}_scope"), F.col("alias").alias(f"_{column}_narrow"), F.col("standard").alias(f"_{column}_nearest"))
+            df = df.join(narrow, (F.lower(F.col(column)) == F.col(f"_{column}_narrow")) & (outer == F.col(f"_{column}_scope")), "left")
+            found.insert(0, f"_{column}_nearest")
+            made += narrow.columns
+        wide = pairs.filter("scope is null") if "scope" in pairs.columns else pairs
+        wide = wide.select(F.col("alias").alias(own), F.col("standard").alias(f"_{column}_wide"))
+        df = df.join(wide, F.lower(F.col(column)) == F.col(own), "left")
+        df = df.withColumn(f"_{column}_standard", F.coalesce(*[c for c in found if c != f"_{column}_standard"], f"_{column}_wide"))
+        made += [own, f"_{column}_wide", f"_{column}_standard"]
         hits.append(F.col(f"_{column}_standard").isNotNull())
     status = hits[0]
     for h in hits[1:]:
         status = status & h
     df = df.withColumn("mapping_status", F.when(status, "MAPPED").otherwise("UNMAPPED"))
-    for column in tables:
-        df = df.withColumn(column, F.coalesce(f"_{column}_standard", column)).drop(f"_{column}_alias", f"_{column}_standard")
-    return df
+    return df.withColumns({c: F.coalesce(f"_{c}_standard", c) for c in tables}).drop(*made)
 
 
 def clean_records(df: DataFrame, tables: dict[str, DataFrame | dict[str, list[str]]], keywords: dict[str, list[str]] | None = rules.TYPE_KEYWORDS, unknown: str = rules.UNKNOWN_TYPE, other: str = rules.OTHER_SOURCE, rounder: Rounder = F.round) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -77,24 +80,50 @@ def in_band(value: Column, low: Column, high: Column) -> Column:
     return (value >= low) & (high.isNull() | (value < high))
 
 
-def range_join(facts: DataFrame, bands: DataFrame, value: str, low: str, high: str, columns: list[str], steps: int = 0) -> DataFrame:
-    """Each fact with the columns of the band that holds its value, or nulls.
+#: Cells that one axis of a grid is cut into at most.
+MOST_CELLS = 1024
+
+
+def _edges(bands: DataFrame, low: str, high: str, cells: int) -> list[float]:
+    """Values that cut the bands' own ends into ``cells`` equal shares; they are fewer where ends coincide. At most
+    MOST_CELLS values reach the driver."""
+    ends = bands.select(F.explode(F.array(F.col(low).cast("double"), F.col(high).cast("double"))).alias("e")).filter("e is not null and not isnan(e)")
+    shares = [k / cells for k in range(1, cells)]
+    found = ends.agg(F.percentile_approx("e", shares, 10 * cells)).first()[0] if shares else None
+    return sorted(set(found or []))
+
+
+def _cells(df: DataFrame, value: Column, edges: list[float], name: str) -> DataFrame:
+    """The number of the cell that a value lies in, by binary search; above all edges for NaN, which sorts there, and null for
+    null."""
+    search = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="_v", outputCol=name, handleInvalid="keep")
+    held = df.withColumn("_v", F.when(F.isnan(value.cast("double")), math.inf).otherwise(value.cast("double")))
+    return search.transform(held).withColumn(name, F.when(F.col("_v").isNotNull(), F.col(name).cast("int"))).drop("_v")
+
+
+def _dealt(bands: DataFrame, low: str, high: str, edges: list[float], name: str) -> DataFrame:
+    """Each band once for every cell that it touches; a null upper end is open."""
+    rows = _cells(_cells(bands, F.col(low), edges, "_a"), F.col(high), edges, "_b")
+    return rows.withColumn(name, F.explode(F.sequence(F.col("_a"), F.coalesce("_b", F.lit(len(edges)))))).drop("_a", "_b")
+
+
+def range_join(facts: DataFrame, bands: DataFrame, value: str, low: str, high: str, columns: list[str], grid: bool = False) -> DataFrame:
+    """Each fact with the columns of the bands that hold its value (one row for each, if bands overlap), or nulls.
 
-    With few bands the comparison goes straight against them. With ``steps`` (bands are many), closed bands are dealt
-    to the buckets of that width that they touch and joined by bucket, so no task meets all bands; bands that are open
-    above (those that overlap no other are one at most) are compared straight.
+    With few bands the comparison goes straight against them. With many, ``grid`` joins by cells: edges are taken from the
+    bands' own ends, so every cell meets about as many bands, namely the square root of their number if they do not overlap,
+    and no task meets all of them. There are as many cells as that root, so a band that is as wide as all others together is
+    copied that often at most; the result does not depend on the cells.
     """
     side = bands.select(F.col(low).alias("_low"), F.col(high).alias("_high"), *columns)
-    if not steps:
-        return facts.join(side, in_band(F.col(value), F.col("_low"), F.col("_high")), "left").drop("_low", "_high")
-    bucket = lambda c: F.floor(c / steps)
-    closed = side.filter("_high is not null").withColumn("_b", F.explode(F.sequence(bucket(F.col("_low")), bucket(F.col("_high")))))
-    facts = facts.withColumn("_f", bucket(F.col(value)))
-    facts = facts.join(closed, (F.col("_f") == F.col("_b")) & in_band(F.col(value), F.col("_low"), F.col("_high")), "left").drop("_low", "_b", "_f")
-    # A band that is open above takes what no closed band holds.
-    open_ = side.filter("_high is null").select(F.col("_low").alias("_from"), *[F.col(c).alias(f"_{c}") for c in columns])
-    facts = facts.join(open_, F.col("_high").isNull() & (F.col(value) >= F.col("_from")), "left")
-    return facts.withColumns({c: F.when(F.col("_from").isNotNull(), F.col(f"_{c}")).otherwise(F.col(c)) for c in columns}).drop("_high", "_from", *[f"_{c}" for c in columns])
+    held = in_band(F.col(value), F.col("_low"), F.col("_high"))
+    if not grid:
+        return facts.join(side, held, "left").drop("_low", "_high")
+    side = side.filter("_low is not null and (_high is null or _low < _high)")
+    edges = _edges(side, "_low", "_high", min(MOST_CELLS, math.isqrt(side.count()) + 1))
+    side = _dealt(side, "_low", "_high", edges, "_cell")
+    facts = _cells(facts, F.col(value), edges, "_f")
+    return facts.join(side, (F.col("_f") == F.col("_cell")) & held, "left").drop("_low", "_high", "_cell", "_f")
 
 
 def half_open(dim: DataFrame, low: str, high: str) -> DataFrame:
@@ -104,11 +133,20 @@ def half_open(dim: DataFrame, low: str, high: str) -> DataFrame:
     return dim.withColumn(high, F.lead(low).over(after))
 
 
-def point_in_time_join(facts: DataFrame, dim: DataFrame, value: str, day: str, low: str, high: str, columns: list[str]) -> DataFrame:
-    """Each fact with the band that was valid on its day."""
+def point_in_time_join(facts: DataFrame, dim: DataFrame, value: str, day: str, low: str, high: str, columns: list[str], grid: bool = False) -> DataFrame:
+    """Each fact with the band that was valid on its day. With ``grid`` (bands times periods are many) it is joined by cells of
+    value and day, each cut at the bands' own ends, as in :func:`range_join`."""
     side = dim.select(F.col(low).alias("_low"), F.col(high).alias("_high"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), *columns)
     valid = (F.col("_from") <= F.col(day)) & (F.col("_to").isNull() | (F.col(day) <= F.col("_to")))
-    return facts.join(side, in_band(F.col(value), F.col("_low"), F.col("_high")) & valid, "left").drop("_low", "_high", "_from", "_to")
+    held = in_band(F.col(value), F.col("_low"), F.col("_high")) & valid
+    if not grid:
+        return facts.join(side, held, "left").drop("_low", "_high", "_from", "_to")
+    side = side.filter("_low is not null and (_high is null or _low < _high) and _from is not null").withColumns({"_first": F.unix_date("_from"), "_last": F.unix_date("_to")})
+    cells = min(MOST_CELLS, math.isqrt(math.isqrt(side.count()) + 1) * 2)
+    values, days = _edges(side, "_low", "_high", cells), _edges(side, "_first", "_last", cells)
+    side = _dealt(_dealt(side, "_low", "_high", values, "_cell"), "_first", "_last", days, "_days").drop("_first", "_last")
+    facts = _cells(_cells(facts, F.col(value), values, "_f"), F.unix_date(F.col(day)), days, "_d")
+    return facts.join(side, (F.col("_f") == F.col("_cell")) & (F.col("_d") == F.col("_days")) & held, "left").drop("_low", "_high", "_from", "_to", "_cell", "_days", "_f", "_d")
 
 
 def scd2_apply(dim: DataFrame, new: DataFrame, natural: str, tracked: list[str], effective: Column, key: str) -> DataFrame:

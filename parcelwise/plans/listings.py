@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from parcelwise.functions.columns import half_up
 from parcelwise.operators import analytics, changes, cleaning, market, warehouse
 from parcelwise.sources import readers
-from parcelwise.sources.store import as_strings, merge_upsert, scratch, sized, spread, written
+from parcelwise.sources.store import TableStore, as_strings, export_csv, merge_upsert, scratch, sized, spread, written
 
 AS_OF = "2002-01-01 00:00:00"
 #: Stand-ins in the language of the tables for the rules of :mod:`parcelwise.functions.rules`.
@@ -306,10 +306,10 @@ def range_join_bands(spark, sf):
 
 
 def range_join_buckets(spark, sf):
-    """Orders fall into many bands of 1000, given by the customers' balances; joined by bucket."""
+    """Line items fall into many bands, given by the customers' balances; joined by cells."""
     bands = _t(spark, sf, "customer").filter("c_acctbal >= 0").select(F.floor(F.col("c_acctbal") / 10).alias("b")).distinct().select((F.col("b") * 10).cast("double").alias("low"), (F.col("b") * 10 + 10).cast("double").alias("high"))
     values = _t(spark, sf, "lineitem").select("l_orderkey", (F.col("l_extendedprice") / 10).alias("v"))
-    joined = warehouse.range_join(values, bands.withColumn("band", F.col("low")), "v", "low", "high", ["band"], steps=100)
+    joined = warehouse.range_join(values, bands.withColumn("band", F.col("low")), "v", "low", "high", ["band"], grid=True)
     return joined.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -321,6 +321,82 @@ def scd2_point_in_time(spark, sf):
     return joined.groupBy("segment_name", F.year("day").alias("year")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def point_in_time_grid(spark, sf):
+    """Line items fall into bands that every customer's balance gives for the days of one year; joined by cells of value and day."""
+    year = F.col("c_custkey") % 7 + 1992
+    start = F.make_date(year, F.lit(1), F.lit(1))
+    bands = _t(spark, sf, "customer").filter("c_acctbal >= 0").select(year.alias("year"), start.alias("valid_from"), F.make_date(year, F.lit(12), F.lit(31)).alias("valid_to"), F.floor(F.col("c_acctbal") / 10).alias("b")).distinct()
+    bands = bands.select("valid_from", "valid_to", (F.col("b") * 10).cast("double").alias("low"), (F.col("b") * 10 + 10).cast("double").alias("high"), (F.col("year") * 10_000 + F.col("b")).alias("band"))
+    values = _t(spark, sf, "lineitem").select((F.col("l_extendedprice") / 10).alias("v"), F.to_date("l_shipdate").alias("day"))
+    return warehouse.point_in_time_join(values, bands, "v", "day", "low", "high", ["band"], grid=True).groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+
+
+def standardize_scoped(spark, sf):
+    """One district name is another district in two cities; everywhere else the rule without a city holds."""
+    rules_ = {(None, k): v for k, v in SEGMENTS.items()} | {(None, "Plant"): ["MACHINERY"], ("NATION_1", "Works"): ["MACHINERY"], ("NATION_2", "Depot"): ["MACHINERY", "FURNITURE"]}
+    rows = raw(spark, sf)
+    found = cleaning.standardize(rows, {"city": _cities(spark, sf), "district": cleaning.scoped_table(rows, rules_)}, scopes={"district": "city"})
+    return found.groupBy("city", "district", "mapping_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def gold_sketched(spark, sf):
+    """Gold from stored cells of place and day: the cells of all listings, and those of the last posting days made anew after
+    prices changed there. Quantiles are given as whether their rank is within one percent of the one asked for."""
+    rows = written(silver(spark, sf))
+    recent = F.col("posted_date") >= "1998-06-01"
+    changed = market.to_silver(rows.withColumn("price", F.when(recent, F.col("price") * 2).otherwise(F.col("price"))), _as_of(), half_up)
+    store = TableStore(spark, f"{scratch(spark)}/cells", buckets=16)
+    keys = ["city", "district", "posted_date"]
+    store.upsert("cells", market.gold_cells(rows), keys, null_safe=True)
+    store.upsert("cells", market.cells_of_batch(changed, rows.filter(recent)), keys, null_safe=True)
+    gold = written(market.gold_of_cells(store.read("cells"), _as_of(), half_up))
+    near = lambda c, q, p: F.abs(F.count_if(F.col(c) <= F.col(q)) / F.count(c) - F.lit(p)) <= F.lit(0.01) + 1 / F.count(c)
+    at = gold.select(F.col("city").alias("_city"), F.col("district").alias("_district"), "median_price", "p90_price", "p90_price_per_sqm")
+    ranks = changed.join(at, (F.col("city") == F.col("_city")) & (F.col("district") == F.col("_district"))).groupBy("city", "district")
+    ranks = ranks.agg(near("price", "median_price", 0.5).alias("median_near"), near("price", "p90_price", 0.9).alias("p90_near"), near("price_per_sqm", "p90_price_per_sqm", 0.9).alias("p90_per_sqm_near"))
+    return gold.drop("median_price", "p90_price", "p90_price_per_sqm").join(ranks, ["city", "district"])
+
+
+def raw_snapshots(spark, sf):
+    """Two raw snapshots of JSON arrays, a file for each city: all files are listed, and the newest snapshot is read and normalised."""
+    ad = F.to_json(F.struct(F.col("property_id").alias("list_id"), F.col("title").alias("subject"), F.trim("city").alias("region_name"), "price", F.col("bedrooms").alias("rooms")))
+    root = scratch(spark)
+    rows = raw(spark, sf).groupBy(F.upper(F.trim("city")).alias("city")).agg(F.array_sort(F.collect_list(ad)).alias("ads"))
+    wrapped = F.concat(F.lit('{"ads":['), F.array_join("ads", ","), F.lit("]}"))
+    for stamp, text in (("20240101_000000", F.concat(F.lit("["), F.array_join("ads", ","), F.lit("]"))), ("20240102_000000", wrapped)):
+        readers.write_array_snapshot(rows.select(text.alias("value")), root, stamp)
+    found = readers.normalize(readers.snapshot_records(spark, root))
+    files = readers.snapshots(spark, root).count()
+    return found.groupBy("city", "district", "source_category").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("price").cast("decimal(18,2)")).cast("decimal(30,2)").alias("total"), F.max("bedrooms").alias("bedrooms")).withColumn("several_files", F.lit(files > 2))
+
+
+def facts_merged(spark, sf):
+    """Listing facts written, then merged with later facts of some listings: those keep when they were created, and a new column is
+    null for the others. Casts to decimals that do not fit are counted."""
+    fact = star_tables(spark, sf)[3].select("listing_key", "property_id", "price_vnd", "created_at", "updated_at")
+    store = TableStore(spark, f"{scratch(spark)}/warehouse", buckets=16)
+    store.upsert_fact("fact_listing", fact, "listing_key")
+    changed = F.col("property_id").endswith("-1")
+    later = fact.filter(changed).withColumns({"created_at": _as_of() + F.expr("interval 1 day"), "updated_at": _as_of() + F.expr("interval 1 day"), "price_vnd": (F.col("price_vnd") * 2).cast("decimal(15,2)"), "price_short": F.col("price_vnd").cast("string")})
+    later, counted = readers.counted_casts(later, {"price_short": "decimal(11,2)"}, "facts")
+    store.upsert_fact("fact_listing", later, "listing_key")
+    lost = counted.get["price_short"]
+    merged = store.read("fact_listing").groupBy("created_at", "updated_at").agg(F.count(F.lit(1)).alias("n"), F.sum("price_vnd").cast("decimal(30,2)").alias("total"), F.count("price_short").alias("n_short"))
+    return merged.withColumn("n_lost", F.lit(lost).cast("long"))
+
+
+def training_files(spark, sf):
+    """Training rows exported in several formats and read back as one table with canonical names."""
+    root = scratch(spark)
+    rows = written(training_set(spark, sf).select("property_id", F.col("title").alias("subject"), F.col("price_double").cast("decimal(18,2)").cast("string").alias("cost"), "listing_type"))
+    kind = F.pmod(F.crc32(F.col("property_id").cast("binary")), F.lit(3))
+    export_csv(rows.filter(kind == 0), f"{root}/a.csv")
+    rows.filter(kind == 1).write.parquet(f"{root}/b.parquet")
+    readers.write_array_snapshot(rows.filter(kind == 2).groupBy("listing_type").agg(F.concat(F.lit('{"data":['), F.array_join(F.collect_list(F.to_json(F.struct(*rows.columns))), ","), F.lit("]}")).alias("value")).select("value"), root, "c")
+    found = readers.read_training(spark, [f"{root}/a.csv", f"{root}/b.parquet", f"{root}/snapshot_ts=c"], {"property_id": "property_id", "subject": "title", "cost": "price", "listing_type": "listing_type"})
+    return found.select("property_id", "title", F.col("price").cast("decimal(18,2)").alias("price"), "listing_type")
+
+
 def _star(spark, sf):
     rows, location, kinds, fact = star_tables(spark, sf)
     return analytics.star(fact, location, kinds, rows)
@@ -496,6 +572,12 @@ QUERIES = {
     "range_join_bands": range_join_bands,
     "range_join_buckets": range_join_buckets,
     "scd2_point_in_time": scd2_point_in_time,
+    "point_in_time_grid": point_in_time_grid,
+    "standardize_scoped": standardize_scoped,
+    "gold_sketched": gold_sketched,
+    "raw_snapshots": raw_snapshots,
+    "facts_merged": facts_merged,
+    "training_files": training_files,
     "drilldown_counts": drilldown_counts,
     "drilldown_rollup": lambda s, d: analytics.drilldown_rollup(latest(s, d), ["region", "city", "district"]),
     "top_n_other": lambda s, d: analytics.top_n_other(latest(s, d), "title", 10),
@@ -569,6 +651,17 @@ week(full_date) AS week_of_year, month(full_date) AS month, 'Tháng ' || CAST(mo
     "range_join_buckets": "WITH b AS (SELECT DISTINCT floor(c_acctbal / 10) * 10 AS low FROM customer WHERE c_acctbal >= 0), v AS (SELECT l_extendedprice / 10 AS v FROM lineitem) SELECT low AS band, count(*) AS n FROM v LEFT JOIN b ON v >= low AND v < low + 10 GROUP BY low",
     "scd2_point_in_time": f"""WITH {LATEST}, x AS (SELECT CASE WHEN posted_at < '1998' THEN price ELSE price / 2 END AS p, CAST(posted_at[1:4] AS INTEGER) AS year FROM latest)
 SELECT CASE WHEN p < 4000000000 THEN 'affordable' WHEN p < 8000000000 THEN 'mid' WHEN p < 12000000000 THEN 'upper_mid' ELSE 'luxury' END AS segment_name, year, {_COUNT} FROM x GROUP BY ALL""",
+    "point_in_time_grid": """WITH b AS (SELECT DISTINCT c_custkey % 7 + 1992 AS year, CAST(floor(c_acctbal / 10) AS BIGINT) AS b FROM customer WHERE c_acctbal >= 0), v AS (SELECT l_extendedprice / 10 AS v, year(l_shipdate) AS year FROM lineitem)
+SELECT b.year * 10000 + b AS band, count(*) AS n FROM v LEFT JOIN b ON v.year = b.year AND v >= b * 10 AND v < b * 10 + 10 GROUP BY 1""",
+    "standardize_scoped": f"""WITH {RAW}, x AS (SELECT upper(trim(city)) AS city, CASE WHEN district = '' THEN '' WHEN district = 'MACHINERY' AND upper(trim(city)) = 'NATION_1' THEN 'Works' WHEN district IN ('MACHINERY', 'FURNITURE') AND upper(trim(city)) = 'NATION_2' THEN 'Depot'
+  WHEN district = 'MACHINERY' THEN 'Plant' ELSE upper(district[1:1]) || lower(district[2:]) END AS district FROM raw) SELECT city, district, CASE WHEN district = '' THEN 'UNMAPPED' ELSE 'MAPPED' END AS mapping_status, {_COUNT} FROM x GROUP BY ALL""",
+    "gold_sketched": f"WITH {SILVER}, changed AS (SELECT * REPLACE (CASE WHEN posted_date >= '1998-06-01' THEN price * 2 ELSE price END AS price) FROM silver), c2 AS (SELECT * REPLACE ({_r('price / area_sqm', 2)} AS price_per_sqm, CASE WHEN price < 4000000000 THEN 'affordable' WHEN price < 8000000000 THEN 'mid' WHEN price < 12000000000 THEN 'upper_mid' ELSE 'luxury' END AS price_segment) FROM changed), g AS ("
+    + GOLD_OF("c2") + ") SELECT * EXCLUDE (median_price, p90_price, p90_price_per_sqm), true AS median_near, true AS p90_near, true AS p90_per_sqm_near FROM g",
+    "raw_snapshots": f"""WITH {RAW} SELECT trim(city) AS city, 'Unknown' AS district, 'Khác' AS source_category, {_COUNT}, CAST(sum(CAST(TRY_CAST(price AS DOUBLE) AS DECIMAL(18,2))) AS DECIMAL(30,2)) AS total, CAST(max(CAST(bedrooms AS INTEGER)) AS INTEGER) AS bedrooms, true AS several_files
+FROM raw WHERE TRY_CAST(price AS DOUBLE) IS NOT NULL GROUP BY trim(city)""",
+    "facts_merged": f"""WITH {FACT}, x AS (SELECT *, suffix(property_id, '-1') AS changed FROM fact) SELECT TIMESTAMP '2002-01-01' AS created_at, CASE WHEN changed THEN TIMESTAMP '2002-01-02' ELSE TIMESTAMP '2002-01-01' END AS updated_at, {_COUNT},
+  CAST(sum(CASE WHEN changed THEN price_vnd * 2 ELSE price_vnd END) AS DECIMAL(30,2)) AS total, count(*) FILTER (changed AND price_vnd < 1000000000) AS n_short, (SELECT count(*) FROM x WHERE changed AND price_vnd >= 1000000000) AS n_lost FROM x GROUP BY changed""",
+    "training_files": f"SELECT property_id, title, CAST(price_double AS DECIMAL(18,2)) AS price, listing_type FROM ({TRAINING_SQL})",
     "drilldown_counts": f"WITH {FACT} SELECT region_code, city, district, property_type AS property_type_name, CASE listing_type WHEN 'BAN' THEN 'Bán' WHEN 'CHO_THUE' THEN 'Cho thuê' WHEN 'SANG_NHUONG' THEN 'Sang nhượng' ELSE 'Khác' END AS deal, count(*) AS so_tin FROM fact GROUP BY ALL",
     "drilldown_rollup": f"WITH {LATEST} SELECT region, city, district, {_COUNT}, CAST(grouping(region) + grouping(city) + grouping(district) AS INTEGER) AS level FROM latest GROUP BY ROLLUP (region, city, district)",
     "top_n_other": f"WITH {LATEST}, c AS (SELECT title, {_COUNT} FROM latest GROUP BY title), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, title) AS r FROM c) SELECT CASE WHEN r <= 10 THEN title ELSE 'other' END AS title, CAST(sum(n) AS BIGINT) AS n FROM r GROUP BY 1",

@@ -175,11 +175,11 @@ def test_batch_is_repeatable_and_survives_a_crash(spark, tmp_path):
     assert tables.read("gold").first()["listing_count"] == 2 and tables.read("gold", 0).first()["listing_count"] == 1
 
 
-def test_open_bands_with_steps_and_literal_tables(spark):
+def test_open_bands_by_cells_and_literal_tables(spark):
     bands = store.literal_table(spark, [("low", 0.0, 10.0), ("mid", 10.0, 30.0), ("high", 30.0, None)], "name string, a double, b double")
     values = spark.createDataFrame([(-1.0,), (0.0,), (9.9,), (10.0,), (29.0,), (30.0,), (1e6,), (None,)], "v double")
-    for steps in (0, 7):
-        found = warehouse.range_join(values, bands, "v", "a", "b", ["name"], steps=steps)
+    for grid in (False, True):
+        found = warehouse.range_join(values, bands, "v", "a", "b", ["name"], grid=grid)
         assert [r["name"] for r in found.collect()] == [None, "low", "low", "mid", "mid", "high", "high", None]
     assert store.sized(values, 3) is values and store.sized(values, 8).count() == 8
 
@@ -285,3 +285,48 @@ def test_exact_quantiles_equal_the_sorted_values(spark):
         assert n == len(own) and np.allclose(q, np.quantile(own, shares), rtol=1e-12)
     assert market.exact_quantiles(frame.filter("false"), "v", shares, "g").count() == 0
     assert market.exact_quantiles(frame, "v", [0.5]).first()["n"] == len([1 for _, v in rows if v is not None and v == v])
+
+
+def test_grids_equal_plain_range_joins(spark):
+    """Disjoint, overlapping, very wide, empty and open bands, with periods; NaN, null and boundary values; no nested loop."""
+    import random
+
+    rng = random.Random(4)
+    ends = [(float(a), float(a + rng.choice([0, 1, 1, 2, 30, 500]))) for a in rng.choices(range(200), k=300)] + [(0.0, 1000.0), (50.0, None), (199.0, None), (None, 5.0)]
+    days = [f"2024-0{rng.randint(1, 6)}-1{rng.randint(0, 9)}" for _ in ends]
+    bands = spark.createDataFrame([(a, b, d, None if k % 9 == 0 else f"2024-0{rng.randint(5, 9)}-01", k) for k, ((a, b), d) in enumerate(zip(ends, days, strict=True))], "a double, b double, f string, t string, band int")
+    bands = bands.select("a", "b", F.to_date("f").alias("valid_from"), F.to_date("t").alias("valid_to"), "band")
+    facts = [(k, v, f"2024-0{k % 9 + 1}-15" if k % 11 else None) for k, v in enumerate([-1.0, 0.0, 1.0, 199.0, 1e9, float("nan"), None, float("inf"), *[rng.randint(0, 420) / 2 for _ in range(120)]])]
+    facts = spark.createDataFrame(facts, "id int, v double, day string").withColumn("day", F.to_date("day"))
+    for join in (lambda g: warehouse.range_join(facts, bands, "v", "a", "b", ["band"], grid=g), lambda g: warehouse.point_in_time_join(facts, bands, "v", "day", "a", "b", ["band"], grid=g)):
+        plain, cells = (sorted(((r["id"], r["band"]) for r in join(g).collect()), key=str) for g in (False, True))
+        assert plain == cells and len(plain) > 130
+        assert "NestedLoop" not in join(True)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_alias_maps_apart_in_two_cities(spark):
+    rows = spark.createDataFrame([("1", "HCM", "Trung tâm"), ("2", "hn", "TRUNG TÂM "), ("3", "HP", "trung tâm"), ("4", "HN", "Q1"), ("5", "xx", "Q1"), ("6", "HN", "lạ")], "id string, city string, district string")
+    cities = {"Hồ Chí Minh": ["HCM"], "Hà Nội": ["HN"], "Hải Phòng": ["HP"]}
+    districts = cleaning.scoped_table(rows, {("Hồ Chí Minh", "Quận 1"): ["Trung tâm", "Q1"], ("Hà Nội", "Hoàn Kiếm"): ["Trung tâm"], (None, "Trung Tâm"): [], (None, "Quận 1"): ["Q1"]})
+    found = {r["id"]: (r["district"], r["mapping_status"]) for r in cleaning.standardize(rows, {"city": cities, "district": districts}, scopes={"district": "city"}).collect()}
+    assert found == {"1": ("Quận 1", "MAPPED"), "2": ("Hoàn Kiếm", "MAPPED"), "3": ("Trung Tâm", "MAPPED"), "4": ("Quận 1", "MAPPED"), "5": ("Quận 1", "UNMAPPED"), "6": ("lạ", "UNMAPPED")}
+
+
+def test_cells_give_gold_within_the_rank_error(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    rows = [(str(k), f"c{k % 2}", "d", float(v), 50.0 + k % 7, f"2024-01-{k % 28 + 1:02}T00:00:00Z") for k, v in enumerate(rng.lognormal(22, 1, 6000))]
+    rows += [("n", "c1", "e", None, None, "2024-01-01T00:00:00Z")]
+    now = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    silver = market.to_silver(spark.createDataFrame(rows, "property_id string, city string, district string, price double, area_sqm double, posted_at string"), now)
+    exact = {(r["city"], r["district"]): r for r in market.to_gold(silver, now, accuracy=1_000_000).collect()}
+    cells = market.gold_cells(silver)
+    for r in market.gold_of_cells(cells, now).collect():
+        for c in ("listing_count", "avg_price", "avg_area_sqm", "max_price", "min_price", "avg_listing_age_days", "luxury_listing_ratio", "snapshot_at"):
+            assert r[c] == pytest.approx(exact[r["city"], r["district"]][c]) if isinstance(r[c], float) else r[c] == exact[r["city"], r["district"]][c], c
+        own = sorted(x[3] for x in rows if (x[1], x[2]) == (r["city"], r["district"]) and x[3] is not None)
+        for c, p in (("median_price", 0.5), ("p90_price", 0.9)):
+            assert (r[c] is None) == (not own) and (not own or abs(np.searchsorted(own, r[c]) / len(own) - p) < 0.01)
+    up = market.gold_of_cells(cells, now, keys=("city",)).filter("city = 'c0'").first()
+    assert up["listing_count"] == 3000
