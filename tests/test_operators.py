@@ -259,16 +259,47 @@ def test_models_are_compared_saved_loaded_and_used(spark, tmp_path):
     rows = [(str(i), "bán nhà đẹp" if i % 2 else "cho thuê phòng", "Nhà" if i % 3 else "Phòng", f"C{i % 3}", f"D{i % 4}", float(i % 7 + 1), 50.0, i % 4, "BAN" if i % 2 else "THUE") for i in range(120)]
     frame = spark.createDataFrame(rows, "property_id string, title string, source_category string, city string, district string, price double, area_sqm double, bedrooms int, label string")
     frame = market.build_features(frame)
-    model, scores, means = models.train_and_compare(frame, "label", trees=5, folds=2)
-    assert {r["model"] for r in scores.collect()} == {"logistic", "forest", "soft_vote"} and scores.agg(F.max("accuracy")).first()[0] > 0.9
-    assert all((r["cv_accuracy"] is None) == (r["model"] == "soft_vote") and (r["cv_accuracy"] or 1) > 0.9 for r in scores.collect())
-    vote = models.SoftVote([model, model]) if not isinstance(model, models.SoftVote) else model
-    for one, n in ((model, 1), (vote, 2)):
+    model, scores, means = models.train_and_compare(frame, "label", trees=5, folds=2, rounds=2, version="v7")
+    table = {r["model"]: r for r in scores.collect()}
+    assert set(table) == {"logistic", "forest", "boosted", "soft_vote"} and max(r["accuracy"] for r in table.values()) > 0.9
+    assert sum(r["cv_accuracy"] is not None for r in table.values()) == 1 and all((r["cv_accuracy"] or 1) > 0.9 and (r["cv_deviation"] or 0) < 0.2 for r in table.values())
+    every = models.fit_models(frame, "label", trees=5, rounds=2)
+    for n, one in enumerate((model, every)):
         models.save_model(one, str(tmp_path / str(n)))
-        out = models.predict(models.load_model(str(tmp_path / str(n)), n), frame, means)
+        back = models.load_model(str(tmp_path / str(n)))
+        assert (back.labels, back.version, back.columns, set(back.members)) == (one.labels, one.version, [*models.NUMBERS, *models.FLAGS], set(one.members))
+        assert {r[0]: r[1] for r in back.means.collect()} == {r[0]: r[1] for r in one.means.collect()}
+        out = models.predict(back, frame)
         assert out.filter("label_ml = label").count() > 110 and out.filter("confidence_ml between 0.3 and 1").count() == 120
         routed = cleaning.route_by_confidence(out.withColumns({"property_type": F.lit(rules.UNKNOWN_TYPE), "mapping_source": F.lit("x")}), "label_ml", "confidence_ml")
         assert routed.filter("property_type = label").count() > 90
+        one_row = models.predict(back, frame.filter("property_id = '7'")).first()  # means are the model's, not those of the rows scored
+        assert one_row["confidence_ml"] == pytest.approx(out.filter("property_id = '7'").first()["confidence_ml"])
+    assert len(every.members["boosted"]) == 2 and model.version == "v7"
+
+
+def test_vocabulary_equals_a_brute_force_count(spark):
+    """Words and pairs of words together, the most frequent of those in two titles at least, as log-scaled counts with IDF."""
+    import math
+    from collections import Counter
+
+    from pyspark.ml import Pipeline
+
+    from parcelwise.operators import models
+
+    titles = ["bán nhà bán nhà đẹp", "bán nhà phố", "cho thuê nhà", "cho thuê phòng", "phòng phòng phòng", "một mình", ""]
+    frame = spark.createDataFrame([(t, "x") for t in titles], "title string, source_category string")
+    fitted = Pipeline(stages=models.term_stages(terms=6)).fit(frame)
+    terms = [[w for w in t.split()] + [" ".join(p) for p in zip(t.split(), t.split()[1:])] for t in titles]
+    held, used = Counter(x for own in terms for x in set(own)), Counter(x for own in terms for x in own)
+    counts = Counter({x: n for x, n in used.items() if held[x] >= 2})
+    chosen = models.vocabulary(fitted)
+    assert len(chosen) == 6 and set(x for x, n in counts.items() if n > counts[chosen[-1]]) <= set(chosen) and all(counts[x] >= min(counts[y] for y in chosen) for x in chosen)
+    for t, own, r in zip(titles, terms, fitted.transform(frame).collect(), strict=True):
+        assert r["title"] == t
+        for k, x in enumerate(chosen):
+            n = own.count(x)
+            assert r["_terms_idf"][k] == pytest.approx((1 + math.log(n) if n else 0) * math.log((len(titles) + 1) / (held[x] + 1)))
 
 
 def test_exact_quantiles_equal_the_sorted_values(spark):
