@@ -134,13 +134,19 @@ def _stack(column: pa.Array) -> np.ndarray:
 
 def best_of(queries: np.ndarray, query_rows: np.ndarray, entries: np.ndarray, entry_rows: np.ndarray, entry_ids: np.ndarray, open_: np.ndarray, top: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query position, ids, exact scores) of each query's nearest among the entries that ``open_`` lets it see."""
-    rough = queries @ entries.T
-    rough[~open_] = -np.inf
-    rough[query_rows[:, None] == entry_rows[None, :]] = -np.inf
-    cut = np.partition(rough, -top, axis=1)[:, -top] if rough.shape[1] > top else np.full(len(rough), -np.inf)
+    with np.errstate(all="ignore"):  # products may overflow
+        rough = queries @ entries.T
+        # Rounding of a product, however it is summed up, by the norms and not by the product itself, which may cancel out.
+        slack = 16 * queries.shape[1] * np.finfo(float).eps * np.linalg.norm(entries, axis=1)
+        norms = np.linalg.norm(queries, axis=1)
     for k in range(len(queries)):
-        seen = np.flatnonzero((rough[k] > -np.inf) & (rough[k] >= cut[k] - 1e-9 * (1 + abs(cut[k]))) if np.isfinite(cut[k]) else rough[k] > -np.inf)
-        exact = (entries[seen] * queries[k]).sum(axis=1)
+        seen = np.flatnonzero(open_[k] & (entry_rows != query_rows[k]))
+        if len(seen) > top:
+            near, off = rough[k][seen], slack[seen] * norms[k]
+            if np.isfinite(near).all() and np.isfinite(off).all():
+                seen = seen[near + off >= np.partition(near - off, -top)[-top]]
+        with np.errstate(all="ignore"):
+            exact = (entries[seen] * queries[k]).sum(axis=1)
         order = np.lexsort((entry_ids[seen], -exact))[:top]
         if len(order):
             yield k, entry_ids[seen][order], exact[order]

@@ -224,3 +224,22 @@ def test_every_stage_equals_brute_force(spark, sf):
         assert (i in found) == (want[i] == (t or "") or want[i].strip(" ") != "")
         if i in found and t is not None:
             assert found[i]["text"] == want[i] and (want[i] == t or found[i]["n_chars"] == len(want[i]))
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e8, 1e200])
+def test_nearest_of_products_that_cancel_or_overflow(scale):
+    """Large vectors nearly at right angles, whose products are rounding, and products beyond all doubles."""
+    rng = np.random.default_rng(9)
+    queries, entries = rng.normal(size=(6, 8)) * scale, rng.normal(size=(300, 8)) * scale
+    unit = queries[0] / np.abs(queries[0]).max()
+    entries[:200] -= (entries[:200] @ unit)[:, None] / (unit @ unit) * unit
+    open_ = rng.random((6, 300)) < 0.9
+    open_[1, 3:] = False  # fewer candidates than are asked for
+    rows, ids = np.arange(6), np.arange(300) % 90
+    found = {k: (i.tolist(), s.tolist()) for k, i, s in multiindex.best_of(queries, rows, entries, np.arange(300), ids, open_, 20)}
+    for k in range(6):
+        seen = [e for e in range(300) if open_[k, e] and e != k]
+        with np.errstate(all="ignore"):
+            scores = (entries[seen] * queries[k]).sum(axis=1)
+        order = np.lexsort((ids[seen], -scores))[:20]
+        assert found[k][0] == ids[seen][order].tolist() and np.array_equal(found[k][1], scores[order], equal_nan=True)
