@@ -146,39 +146,68 @@ def test_two_labels_texts_and_long_texts_in_the_toxic_sample(spark, monkeypatch)
     assert {i for i, _, _ in toxicity.labelled_sample(docs, labels, "doc_id", "text", "toxic")} == train - {2}
 
 
-def greedy(docs, depth=3, similar=0.7, least=3):
-    """Which lines stay, by one pass over all lines of a leaf."""
+def by_all_pairs(docs, depth=3, similar=0.7, least=3):
+    """Which lines stay, by comparing every line of a leaf with every other."""
     mask = lambda line: tuple("<*>" if any(c.isdigit() for c in t) else t for t in line.split())
     holders = defaultdict(set)
     for i, t in docs:
         for line in t.split("\n"):
             if mask(line):
                 holders[mask(line)].add(i)
-    leaves = defaultdict(list)
-    for m in sorted(holders, key=lambda m: (-len(holders[m]), " ".join(m))):
-        best = None
-        for t in leaves[len(m), m[:depth]]:
-            same = sum(a == b != "<*>" for a, b in zip(t[0], m, strict=True))
-            if best is None or same > best[0]:
-                best = (same, t)
-        if best and best[0] / len(m) >= similar:
-            best[1][0] = tuple(a if a == b else "<*>" for a, b in zip(best[1][0], m, strict=True))
-            best[1][1].append(m)
-        else:
-            leaves[len(m), m[:depth]].append([m, [m]])
-    gone = set()
-    for group in leaves.values():
-        for _, members in group:
-            ids = set().union(*(holders[m] for m in members))
+    leaves, gone = defaultdict(list), set()
+    for m in holders:
+        leaves[len(m), m[:depth]].append(m)
+    for leaf in leaves.values():
+        for m in leaf:
+            near = [o for o in leaf if o == m or sum(a == b != "<*>" for a, b in zip(o, m, strict=True)) / len(m) >= similar]
+            ids = set().union(*(holders[o] for o in near))
             if len(ids) >= least:
-                gone |= {(i, m) for m in members for i in ids - {min(ids)}}
+                gone |= {(i, m) for i in holders[m] - {min(ids)}}
     return {i: "\n".join(x for x in t.split("\n") if not mask(x) or (i, mask(x)) not in gone) for i, t in docs}
 
 
-@pytest.mark.parametrize("part_lines", [2048, 3])
-def test_line_templates_equal_a_single_pass(spark, monkeypatch, part_lines):
-    """Families of lines that differ in one place, within leaves that hold several families; the parts do not matter."""
-    monkeypatch.setattr(templates.templates_of, "__defaults__", (templates.SIMILAR, part_lines))
+def small_blocks(monkeypatch, block_lines):
+    kept = templates.templates_of.__defaults__
+    monkeypatch.setattr(templates.templates_of, "__defaults__", (*kept[:-1], block_lines))
+
+
+@pytest.mark.parametrize("block_lines", [1024, 50, 3])
+def test_drifting_lines_do_not_depend_on_blocks(spark, monkeypatch, block_lines):
+    """Leaves of lines that drift away from each other step by step, many pairs of them just similar enough."""
+    small_blocks(monkeypatch, block_lines)
+    rng, docs = np.random.default_rng(12), []
+    for leaf in range(4):
+        width = (10, 10, 6, 21)[leaf]
+        line = [f"{'abcd'[leaf]}x"] * width
+        for _ in range(70):
+            for place in rng.integers(3, width, 2):
+                line[place] = "v" + "abcdefgh"[rng.integers(0, 8)]
+            docs.append((int(rng.integers(0, 90)), " ".join(line if rng.random() < 0.9 else [*line[:-1], "no7"])))
+    texts = defaultdict(list)
+    for i, line in docs:
+        texts[i].append(line)
+    docs = [(i, "\n".join(x)) for i, x in texts.items()]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    want = by_all_pairs(docs)
+    assert 10 < sum(t.count("\n") - want[i].count("\n") for i, t in docs) < 270
+    assert {r["doc_id"]: r["text"] for r in templates.drop_recurring_lines(frame).collect()} == want
+
+
+def test_templates_are_where_all_similar_lines_agree(spark, monkeypatch):
+    small_blocks(monkeypatch, 2)
+    lines = [f"a b c d e f {x} {y} i j" for x, y in ("gh", "gz", "yh", "yz", "qh")] + ["a b c 0 1 2 g h i j", "a b c k l m n o p q"]
+    rows = [(1, k, " ".join("<*>" if t.isdigit() else t for t in x.split()), [k]) for k, x in enumerate(lines)]
+    found = templates.templates_of(spark.createDataFrame(rows, "leaf long, masked long, line string, ids array<long>"))
+    got = {r["masked"]: (r["template"], r["ids"]) for r in found.collect()}
+    assert got == {k: ("a b c d e f <*> <*> i j", [0, 1, 2]) for k in range(5)} | {5: ("a b c <*> <*> <*> g h i j", [0, 5]), 6: (lines[6], [6])} | {
+        0: ("a b c <*> <*> <*> <*> <*> i j", [0, 1, 2])
+    }
+
+
+@pytest.mark.parametrize("block_lines", [1024, 3])
+def test_line_templates_equal_brute_force(spark, monkeypatch, block_lines):
+    """Families of lines that differ in one place, within leaves that hold several families; blocks do not matter."""
+    small_blocks(monkeypatch, block_lines)
     rng, docs = np.random.default_rng(6), []
     for i in range(60):
         lines = []
@@ -190,7 +219,7 @@ def test_line_templates_equal_a_single_pass(spark, monkeypatch, part_lines):
             lines.append(" ".join(["it", "is", "so", *body]) + (f" no {rng.integers(0, 99)}" if f % 3 else ""))
         docs.append((i, "\n".join([*lines, "", f"own {chr(97 + i % 26)}{chr(97 + i // 26)} line"])))
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    assert {r["doc_id"]: r["text"] for r in templates.drop_recurring_lines(frame).collect()} == greedy(docs)
+    assert {r["doc_id"]: r["text"] for r in templates.drop_recurring_lines(frame).collect()} == by_all_pairs(docs)
 
 
 def test_stages_keep_awkward_rows_and_columns(spark, sf):
@@ -219,7 +248,7 @@ def test_every_stage_equals_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     found = {r["doc_id"]: r for r in corpus_pipeline.drop_lines(spark, docs, sf).collect()}
-    want = greedy([(i, t or "") for i, t in rows])
+    want = by_all_pairs([(i, t or "") for i, t in rows])
     for i, t in rows:
         assert (i in found) == (want[i] == (t or "") or want[i].strip(" ") != "")
         if i in found and t is not None:
