@@ -130,7 +130,7 @@ _TERMS = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+
 _CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), [CAST(ord(x) AS UBIGINT) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]), lambda c, b:
   list_reduce(list_prepend(xor(c, b), CAST(range(8) AS UBIGINT[])), lambda y, i: xor(y >> 1, CASE WHEN y % 2 = 1 THEN CAST(3988292384 AS UBIGINT) ELSE CAST(0 AS UBIGINT) END))), CAST(4294967295 AS UBIGINT))"""
 
-#: Where SQL has no counterpart (fitted models, BPE, files, a greedy parse, approximate search) the tests hold the query
+#: Where SQL has no counterpart (fitted models, BPE, files, approximate search) the tests hold the query
 #: against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op4_suffix_decontamination": rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -155,6 +155,15 @@ link AS (SELECT a, b FROM same JOIN n x ON a = x.r JOIN n y ON b = y.r JOIN d p
 reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
 least_id AS (SELECT a, min(doc_id) AS id FROM reach JOIN d ON b = r GROUP BY a), degree AS (SELECT a, count(*) AS n FROM link GROUP BY a)
 SELECT doc_id, coalesce(n.n, 0) AS n_shingles, least(doc_id, least_id.id) AS component_id, coalesce(degree.n, 0) AS n_links FROM d LEFT JOIN n USING (r) LEFT JOIN least_id ON least_id.a = r LEFT JOIN degree ON degree.a = r""",
+    "op10_line_templates": r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+l AS (SELECT r, doc_id, p, s[p] AS line, [CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END FOR t IN regexp_extract_all(s[p], '[^\x20\x09-\x0D]+')] AS w
+ FROM (SELECT r, doc_id, s, unnest(generate_series(1, len(s))) AS p FROM (SELECT r, doc_id, string_split(text, chr(10)) AS s FROM d))),
+h AS (SELECT DISTINCT w, doc_id FROM l WHERE len(w) > 0 AND doc_id IS NOT NULL), k AS (SELECT w, row_number() OVER () AS n, len(w) AS size, w[1:3] AS leaf FROM (SELECT DISTINCT w FROM h)),
+near AS (SELECT a.w AS w, b.w AS o FROM k a JOIN k b USING (size, leaf) WHERE a.n = b.n OR len(list_filter(list_zip(a.w, b.w), lambda z: z[1] = z[2] AND z[1] <> '<*>')) / size >= 0.7),
+often AS (SELECT near.w AS w, min(doc_id) AS keeper FROM near JOIN h ON near.o = h.w GROUP BY near.w HAVING count(DISTINCT doc_id) >= 3),
+judged AS (SELECT l.*, coalesce(l.doc_id <> keeper, false) AS gone FROM l LEFT JOIN often ON l.w = often.w),
+kept AS (SELECT r, count(*) AS n, count(*) FILTER (gone) AS dropped, string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone) AS rest FROM judged GROUP BY r)
+SELECT doc_id, coalesce(n, 1) AS n_lines, coalesce(dropped, 0) AS n_dropped, CASE WHEN text IS NOT NULL THEN sha256(coalesce(rest, '')) END AS text_sha256 FROM d LEFT JOIN kept USING (r)""",
     "op11_ranked_search": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents), i AS (SELECT row_number() OVER () AS b, item_id, {_TERMS} AS w FROM benchmark),
 s AS (SELECT count(*) FILTER (len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d), t AS (SELECT r, x, count(*) AS tf FROM (SELECT r, unnest(w) AS x FROM d) GROUP BY ALL),
 k AS (SELECT x, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight FROM t, s GROUP BY x, docs), q AS (SELECT b, x, count(*) AS n FROM (SELECT b, unnest(w) AS x FROM i) GROUP BY ALL),

@@ -421,7 +421,7 @@ def test_queries_and_pipeline(spark, sf, real):
     import corpus_pipeline
 
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "quality classifier" and len(corpus_pipeline.STAGES) == 5
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[1:4]:
         out = stage(spark, docs, sf)
@@ -431,6 +431,9 @@ def test_queries_and_pipeline(spark, sf, real):
     last = {r["doc_id"]: r for r in corpus_pipeline.run(spark, sf).collect()}
     assert 0 < len(last) < len(real) and set(last) <= {i for i, _ in real}
     whole = {r["doc_id"]: r for r in queries.QUERIES["op6_bpe_chunks"](spark, sf).collect()}
-    texts = dict(real)
+    texts, library = dict(real), Tokenizer.from_file(WORD)
     for i, e in zip(texts, encoded(WORD, texts.values()), strict=True):
         assert whole[i]["ids_sha256"] == hashlib.sha256(np.array(e, "<u4").tobytes()).hexdigest()
+        assert whole[i]["decoded_sha256"] == hashlib.sha256(library.decode(e, skip_special_tokens=False).encode()).hexdigest()
+    docs_left = {i: texts[i] for i in last}
+    assert all(last[i]["n_tokens"] <= whole[i]["n_tokens"] for i in docs_left)
