@@ -544,9 +544,10 @@ HISTORY = lambda source, day: f"SELECT city, district, count(*) AS listing_count
 LAYERS_SQL = lambda fits: f"""WITH {LATEST}, v AS (SELECT *, {"district <> 'Household' AND district <> 'Machinery'" if fits == "fits" else "true"} AS fits, orderkey % 89 <> 1 AS fine, orderkey % 2 = 0 AS even, orderkey % 38 = 0 AS lost, orderkey % 46 = 0 AS ask FROM latest),
 w AS (SELECT *, orderkey % 10 = 0 AND NOT lost AND NOT ask AND fine AS raised, even AND NOT lost AND NOT ask AS again FROM v),
 t AS (SELECT CAST(sum(CAST(price + CASE WHEN raised THEN 1500 ELSE 0 END AS DECIMAL(18,2))) FILTER (fits AND fine) AS DECIMAL(30,2)) AS total, count(*) AS n, count(*) FILTER (again) AS again, count(*) FILTER (fits AND fine) AS silver, count(*) FILTER (NOT fits AND fine) AS quarantine,
-  count(*) FILTER (NOT fine) AS invalid, count(DISTINCT (city, district)) FILTER (fits AND fine) AS gold, count(*) FILTER (raised) AS raised, count(*) FILTER (even AND lost) AS lost, count(*) FILTER (even AND NOT lost AND ask) AS ask FROM w)
-SELECT unnest(['bronze', 'invalid', 'quarantine', 'silver', 'gold', 'cdc_state', 'passed change detection', 'reported invalid', 'reported below range', 'samples', 'records without id', 'records with a bad number']) AS layer,
-  unnest([n + again, invalid, quarantine, silver, gold, n, n + raised, invalid, invalid, least(20, invalid), lost, ask]) AS n, total FROM t"""
+  count(*) FILTER (NOT fine) AS invalid, count(DISTINCT (city, district)) FILTER (fits AND fine) AS gold, count(*) FILTER (raised) AS raised, count(*) FILTER (even AND lost) AS lost, count(*) FILTER (even AND NOT lost AND ask) AS ask FROM w),
+g AS (SELECT CAST(sum(highest) * 100 AS BIGINT) AS highest FROM (SELECT max(CAST(price + CASE WHEN raised THEN 1500 ELSE 0 END AS DECIMAL(18,2))) AS highest FROM w WHERE fits AND fine GROUP BY city, district))
+SELECT unnest(['bronze', 'invalid', 'quarantine', 'silver', 'gold', 'gold listings', 'gold highest prices in cents', 'cdc_state', 'passed change detection', 'reported invalid', 'reported below range', 'samples', 'records without id', 'records with a bad number']) AS layer,
+  unnest([n + again, invalid, quarantine, silver, gold, silver, highest, n, n + raised, invalid, invalid, least(20, invalid), lost, ask]) AS n, total FROM t, g"""
 
 QUERIES = {
     "raw_normalize": raw_normalize,

@@ -13,6 +13,7 @@ import json
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -146,6 +147,11 @@ class TableStore:
     def read_or_empty(self, name: str, schema: str) -> DataFrame:
         return self.read(name) if self.exists(name) else self.spark.createDataFrame([], schema)
 
+    def read_batch(self, name: str, batch: dict[str, str]) -> DataFrame | None:
+        """The rows of one batch, without a look at those of others; None if it was never written."""
+        found, part = self.state(name), _batch_part(batch)
+        return self._read(name, found.schema, {part: found.versions[part]}) if part in found.versions else None
+
     def register(self, name: str) -> None:
         """The table's current generation under its name in Spark SQL."""
         self.read(name).createOrReplaceTempView(name)
@@ -186,8 +192,26 @@ class TableStore:
     def replace_batch(self, name: str, df: DataFrame, batch: dict[str, str]) -> int:
         """Rows of one batch, which the columns ``batch`` name; writing the batch again replaces it, and no other batch is
         touched."""
-        part = hashlib.md5("|".join(f"{len(v)}:{v}" for v in batch.values()).encode()).hexdigest()
-        return self._with_part(name, df.withColumns({c: F.lit(v) for c, v in batch.items()}), f"b{part}", "batch")
+        return self._with_part(name, df.withColumns({c: F.lit(v) for c, v in batch.items()}), _batch_part(batch), "batch")
+
+    def keep_up(self, name: str, source: str, make: Callable[[DataFrame, str], DataFrame]) -> int:
+        """A table that follows another one part by part. ``make`` gets rows and the name of a column that says which part they
+        are of, and has to keep that column. Parts of the source that were written since the last call are made anew, those
+        that are gone go, and of all others nothing is read. A part is known by the write that made it, so a call that broke
+        off, here or before, can be repeated."""
+        old, base = self.state(name), self.state(source)
+        parts = {f"{p}-{v}": (p, v) for p, v in base.versions.items()}
+        kept = {k: v for k, v in old.versions.items() if k in parts}
+        if len(kept) == len(old.versions) == len(parts) and old.number >= 0:
+            return old.number
+        written_since = self._read(source, base.schema, dict(x for k, x in parts.items() if k not in kept))
+        if len(kept) < len(parts):
+            path = F.col("_metadata.file_path")
+            of = F.concat_ws("-", F.regexp_extract(path, "/_part=([^/]+)/", 1), F.regexp_extract(path, "/g=([0-9]+)/_part=", 1))
+        else:
+            of = F.lit("")  # no rows
+        rows, g = make(written_since.withColumn("_of", of), "_of"), old.number + 1
+        return self._commit(name, g, f"parts of {source}", rows.schema, kept | self._write_parts(name, g, rows, F.col("_of")))
 
     def append_bronze(self, name: str, df: DataFrame, ingest_date: str, batch_id: str) -> int:
         """All columns as text, with the day and the batch, so that a replay adds nothing."""
@@ -211,9 +235,10 @@ class TableStore:
         hit = {r[0] for r in source.select(part).distinct().collect()}  # a row for each part of the table at most
         return old, self._read(name, old.schema, {p: v for p, v in old.versions.items() if p in hit}), {p: v for p, v in old.versions.items() if p not in hit}
 
-    def upsert(self, name: str, source: DataFrame, keys: list[str], keep: list[str] = (), null_safe: bool = False, sequence: str | None = None, partition: str | None = None) -> int:
+    def upsert(self, name: str, source: DataFrame, keys: list[str], keep: list[str] = (), null_safe: bool = False, sequence: str | None = None, partition: str | None = None, where: str | None = None) -> int:
         """The source's rows merged in on their keys (:func:`merge_upsert`); only parts that hold keys of the source are read and
-        written. The source is evaluated once."""
+        written. The source is evaluated once. Of the merged rows only those that meet ``where`` stay, so a source row that does
+        not takes its key out of the table."""
         source = written(source)
         if repeated_keys(source, keys).limit(1).count():
             raise ValueError(f"several source rows have the same {keys}")
@@ -222,19 +247,24 @@ class TableStore:
             rows, g = merge_upsert(target, source, keys, keep, null_safe, sequence), old.number + 1
         else:
             old, rows, others, g = Generation(), source, {}, 0
+        rows = rows if where is None else rows.filter(where)
         layout, part = self._keyed(name, old, keys, partition)
         return self._commit(name, g, layout, rows.schema, others | self._write_parts(name, g, rows, part))
 
-    def upsert_partitions(self, name: str, source: DataFrame, keys: list[str], partition: str) -> int:
+    def upsert_partitions(self, name: str, source: DataFrame, keys: list[str], partition: str, where: str | None = None) -> int:
         """An upsert within the values of a column: a snapshot of the same day replaces its places, a new day is added. Days
         that the source has no rows of keep their files."""
-        return self.upsert(name, source, [*keys, partition], partition=partition)
+        return self.upsert(name, source, [*keys, partition], partition=partition, where=where)
 
     def upsert_fact(self, name: str, fact: DataFrame, key: str) -> int:
         """Facts merged on their stable key; a fact that is there already keeps when it was created."""
         return self.upsert(name, fact, [key], keep=["created_at"] if "created_at" in fact.columns else [])
 
 
+def _batch_part(batch: dict[str, str]) -> str:
+    return "b" + hashlib.md5("|".join(f"{len(v)}:{v}" for v in batch.values()).encode()).hexdigest()
+
+
 def as_strings(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 

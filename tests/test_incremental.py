@@ -87,6 +87,70 @@ def test_a_batch_that_breaks_off_anywhere_can_be_repeated(run, monkeypatch):
     assert tables.read("invalid").count() == 2 and tables.read("bronze").count() == 7 and tables.read("cdc_state").count() == 5
 
 
+def gold_of(tables):
+    return {r["district"]: (r["listing_count"], r["avg_price"], r["median_price"]) for r in tables.read("gold").collect()}
+
+
+@pytest.mark.parametrize("at", ["silver", "gold_cells", "gold"])
+def test_gold_of_places_that_are_left_and_released_survives_a_stop(run, monkeypatch, at):
+    """One listing moves away from a place that others stay in, one from a place that is empty then, and one is released from
+    quarantine; the batch stops once Silver, the cells or Gold is committed, and is repeated."""
+    run("0", listing("a"), listing("b", price="300"), listing("c", "Q3"), listing("d", "Lạ"), districts=OLD | {"Quận 3": ["Q3"]})
+    real, stopped = store.TableStore._commit, []
+
+    def stops(self, name, *args):
+        out = real(self, name, *args)
+        if name == at and not stopped:
+            stopped.append(name)
+            raise RuntimeError("stopped")
+        return out
+
+    monkeypatch.setattr(store.TableStore, "_commit", stops)
+    rows, rules = [listing("a", "Q7"), listing("c", "Q7", price="200")], NEW | {"Quận 3": ["Q3"], "Quận 7": ["Q7"]}
+    with pytest.raises(RuntimeError):
+        run("1", *rows, districts=rules)
+    tables = run("1", *rows, districts=rules)
+    assert stopped and gold_of(tables) == {"Quận 1": (1, 300.0, 300.0), "Quận 7": (2, 150.0, 100.0), "Huyện Mới": (1, 100.0, 100.0)}
+
+
+def test_only_parts_that_were_written_since_are_made_anew(spark, tmp_path):
+    tables, asked = store.TableStore(spark, str(tmp_path), buckets=8), []
+    make = lambda rows, part: asked.append(rows) or rows.groupBy(part, "place").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("v"))
+    row = lambda ids, v: spark.createDataFrame([(str(i), f"p{i % 3}", v) for i in ids], "id string, place string, v long")
+    totals = lambda: {r["place"]: (r["n"], r["v"]) for r in tables.read("sums").groupBy("place").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()}
+    tables.upsert("t", row([], 1), ["id"])
+    tables.keep_up("sums", "t", make)
+    assert totals() == {}
+    tables.upsert("t", row(range(60), 1), ["id"])
+    g = tables.keep_up("sums", "t", make)
+    held = set(tables.read("sums").inputFiles())
+    assert totals() == {f"p{k}": (20, 20) for k in range(3)} and tables.keep_up("sums", "t", make) == g and len(asked) == 2
+    tables.upsert("t", row([7], 5), ["id"])
+    tables.keep_up("sums", "t", make)
+    now = set(tables.read("sums").inputFiles())
+    assert totals() == {"p0": (20, 20), "p1": (20, 24), "p2": (20, 20)} and len(asked[-1].inputFiles()) == 1 and len(held - now) == len(now - held) == 1
+    tables.upsert("t", row(range(60), 0), ["id"], where="v > 0")  # all rows go, and their parts with them
+    tables.keep_up("sums", "t", make)
+    assert totals() == {} and tables.read("t").count() == 0
+
+
+def test_gold_of_cells_and_of_all_rows_agree(spark, tmp_path):
+    import random
+
+    rng, now = random.Random(3), F.lit("2024-01-11 00:00:00").cast("timestamp")
+    clean = lambda d: cleaning.standardize(d, {"city": {"Hồ Chí Minh": ["HCM"]}, "district": {"Quận 1": ["Q1"], "Quận 3": ["Q3"]}})
+    both = [store.TableStore(spark, str(tmp_path / k), buckets=4) for k in ("cells", "rows")]
+    for batch in ("0", "1"):
+        rows = [listing(str(rng.randrange(150)), rng.choice(["Q1", "Q3"]), str(rng.randrange(1, 10**6)), f"2024-01-0{rng.randrange(1, 9)}T00:00:0{batch}Z") for _ in range(100)]
+        for tables, exact in zip(both, (False, True), strict=True):
+            process_batch(spark.createDataFrame(rows, SCHEMA), tables, clean, now, "2024-01-11", batch, exact=exact)
+    cells, exact = ([r.asDict() for r in t.read("gold").orderBy("district").collect()] for t in both)
+    assert [c.keys() == e.keys() for c, e in zip(cells, exact, strict=True)] == [True, True]
+    for c, e in zip(cells, exact, strict=True):  # sketches of fewer values than they keep are exact
+        assert {k: v for k, v in c.items() if not isinstance(v, float)} == {k: v for k, v in e.items() if not isinstance(v, float)}
+        assert {k: v for k, v in c.items() if isinstance(v, float)} == pytest.approx({k: v for k, v in e.items() if isinstance(v, float)}, abs=0.02)
+
+
 def files(top):
     return {os.path.join(d, f): os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(top) for f in names if f.endswith(".parquet")}
 
