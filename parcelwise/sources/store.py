@@ -157,7 +157,7 @@ class TableStore:
         self.read(name).createOrReplaceTempView(name)
 
     def _commit(self, name: str, g: int, layout: str, schema: T.StructType, versions: dict[str, int]) -> int:
-        pointer = self.spark.createDataFrame([(layout, schema.json(), versions)], "layout string, columns string, versions map<string,int>")
+        pointer = literal_table(self.spark, [(layout, schema.json(), list(versions.items()))], "layout string, columns string, versions map<string,int>")
         pointer.coalesce(1).write.mode("overwrite").json(f"{self.root}/{name}/_pointer/generation={g}")
         return g
 
