@@ -138,6 +138,7 @@ def measured(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
 
 
 RUNS = "range int, found binary, owner binary, sets binary, extra binary"
+RUN_SCHEMA = pa.schema([("range", pa.int32()), *[(c, pa.binary()) for c in ("found", "owner", "sets", "extra")]])
 
 
 def runs(found: np.ndarray, owner: np.ndarray, sets: np.ndarray, bits: int, extra: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
@@ -205,11 +206,9 @@ def candidate_links(docs: DataFrame, text_col: str, n: int, percent: int, bits:
     return stars(docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(send, RUNS))
 
 
-def rarest_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, n: int, percent: int, bits: int) -> DataFrame:
-    """(a, b): a star for each shingle that is among the rarest of several ``members`` (set, id, key). Other documents
-    that the sieve lets through add links that none of them needs, and lose none. Rarity is the number of members that hold a shingle, above 255 of them all alike, then its hash. Sets
-    that are similar enough have as many of their shingles in common as leave ``|set| - ceil(percent |set| / 100)`` out,
-    so their first shared shingle, in the order of rarity, is among the first of those and one more of each."""
+def shared_shingles(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, n: int, bits: int) -> DataFrame:
+    """(bucket, sets, size, lengths, found, holders): of each range of shingles those that several sets hold, with how many do
+    (255 at most), packed by buckets of sets: a range makes a row for each bucket, however many sets it has."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", BLOCK):
@@ -225,42 +224,45 @@ def rarest_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str
         holders = np.diff(np.append(np.flatnonzero(new), len(found)))[np.cumsum(new) - 1]
         more = holders > 1
         found, owner, size, holders = found[more], owner[more], size[more], np.minimum(holders[more], 255).astype(np.uint8)
-        order = np.argsort(owner, kind="stable")
-        found, owner, size, holders = found[order], owner[order], size[order], holders[order]
-        cut = np.append(np.flatnonzero(np.append(True, owner[1:] != owner[:-1])[: len(owner)]), len(owner))
-        parts = [(owner[i], size[i], found[i:j].tobytes(), holders[i:j].tobytes()) for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-        columns = list(zip(*parts, strict=True)) if parts else [[]] * 4
-        return pa.table({c: pa.array(v, t) for c, v, t in zip(("set", "size", "found", "holders"), columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)})
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []  # rows of the last set, which may go on in the next batch
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([*held, batch])
-            sets = table.column("set").to_numpy()
-            done = int(np.argmax(sets == sets[-1]))
-            held = table.slice(done).to_batches()
-            if done:
-                yield from _rarest(table.slice(0, done), percent, bits)
-        if held:
-            yield from _rarest(pa.Table.from_batches(held), percent, bits)
+        bucket = (mixed(owner.view(np.uint64) ^ _C) >> np.uint64(64 - bits)).astype(np.int64)
+        order = np.lexsort((found, owner, bucket))
+        found, owner, size, holders, bucket = found[order], owner[order], size[order], holders[order], bucket[order]
+        rows = []
+        for b in np.unique(bucket).tolist():
+            part = slice(*np.searchsorted(bucket, [b, b + 1]).tolist())
+            sets, first, lengths = np.unique(owner[part], return_index=True, return_counts=True)
+            rows.append((b, sets.tobytes(), packed(size[part][first]), packed(lengths), found[part].tobytes(), holders[part].tobytes()))
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
+        return pa.table({c: pa.array(v, t) for c, v, t in zip(("bucket", "sets", "size", "lengths", "found", "holders"), columns, (pa.int32(), *[pa.binary()] * 5), strict=True)})
 
     picked = sifted(_picked(docs, id_col, text_col), members, {"id": "id", "key": "key"}, "maybe").filter("maybe").select("text")
-    counted = picked.mapInArrow(send, RUNS).groupBy("range").applyInArrow(shared, "set long, size long, found binary, holders binary")
-    chosen = counted.repartition("set").sortWithinPartitions("set").mapInArrow(choose, RUNS)
-    return stars(chosen)
+    shape = "bucket int, sets binary, size binary, lengths binary, found binary, holders binary"
+    return picked.mapInArrow(send, RUNS).groupBy("range").applyInArrow(shared, shape)
+
+
+def rarest_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, n: int, percent: int, bits: int) -> DataFrame:
+    """(a, b): a star for each shingle that is among the rarest of several ``members`` (set, id, key). Other documents
+    that the sieve lets through add links that none of them needs, and lose none. Rarity is the number of members that hold a shingle, above 255 of them all alike, then its hash. Sets
+    that are similar enough have as many of their shingles in common as leave ``|set| - ceil(percent |set| / 100)`` out,
+    so their first shared shingle, in the order of rarity, is among the first of those and one more of each."""
+
+    def choose(group: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(_rarest(group, percent, bits), RUN_SCHEMA)
+
+    # A bucket holds whole sets.
+    return stars(shared_shingles(docs, members, id_col, text_col, n, bits).groupBy("bucket").applyInArrow(choose, RUNS))
 
 
 def _rarest(table: pa.Table, percent: int, bits: int) -> Iterator[pa.RecordBatch]:
     """Runs of the shingles that count for each set, from all that it shares with others."""
-    found = [np.frombuffer(x, np.uint64) for x in table.column("found").to_pylist()]
-    lengths = np.array([len(x) for x in found])
-    names, owner_of_row = np.unique(table.column("set").to_numpy(), return_inverse=True)
-    owner, found = np.repeat(owner_of_row, lengths), np.concatenate(found)
-    holders = np.frombuffer(b"".join(table.column("holders").to_pylist()), np.uint8)
+    column = lambda c: table.column(c).to_pylist()
+    whole = lambda c, t: np.frombuffer(b"".join(column(c)), t)
+    numbers = lambda c: np.concatenate([unpacked(x).astype(np.int64) for x in column(c)])
+    found, holders, lengths = whole("found", np.uint64), whole("holders", np.uint8), numbers("lengths")
+    names, owner_of_part = np.unique(whole("sets", np.int64), return_inverse=True)
+    owner = np.repeat(owner_of_part, lengths)
     size = np.zeros(len(names), np.int64)
-    size[owner_of_row] = table.column("size").to_numpy()
+    size[owner_of_part] = numbers("size")
     total = np.bincount(owner, minlength=len(names))
     alone = size - total  # shingles that no other set has come first and link with nothing
     take = size - -(-percent * size // 100) + 1 - alone
@@ -374,7 +376,7 @@ def placed_rows(docs: DataFrame, id_col: str, text_col: str, n: int, percent: in
     members = near.withColumnRenamed("node", "set").join(classes, "set")
     members = frozen(_with_count(members, "root", whole["n"]))
     large = members.filter(F.col("n") > SPLIT_SETS)
-    # A set has a row in each range here, so there are no more ranges than their bytes call for.
+    # Sets are dealt to as many buckets as there are ranges, so there are no more of these than their bytes call for.
     split = components(rarest_links(docs, large, id_col, text_col, n, percent, bits_for(whole["shingles"] * 12, 8)))
     split = split.withColumnRenamed("node", "set").join(classes, "set")
     members = members.filter(F.col("n") <= SPLIT_SETS).unionByName(_with_count(split, "root", whole["n"]))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from parcelwise.llm import partenum
 from parcelwise.plans import listings
 
 
@@ -21,3 +22,13 @@ def test_latest_rows_are_found_where_the_join_leaves_them(spark, sf):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     assert "SortAggregate" not in plan and "min_by" not in plan
     assert "hashpartitioning(property_id" not in plan and "hashpartitioning(_key" not in plan and "hashpartitioning(o_custkey" in plan
+
+
+def test_shared_shingles_make_rows_by_range_and_not_by_set(spark):
+    """Every set of a large component has shingles in every range; rows must not grow with sets times ranges."""
+    docs = spark.range(800).select(F.col("id").alias("doc_id"), F.expr("concat_ws(' ', transform(sequence(1, 60), i -> concat('w', i + id)))").alias("text"))
+    sizes = partenum.measured(docs, "doc_id", "text", 2)
+    rows = partenum.shared_shingles(docs, sizes.select("set", "id", "key"), "doc_id", "text", 2, 4).collect()
+    assert 0 < len(rows) <= 16 * 16
+    sets = {x for r in rows for x in memoryview(bytes(r["sets"])).cast("q")}
+    assert len(sets) == 800 and len({r["bucket"] for r in rows}) > 8
