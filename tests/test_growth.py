@@ -32,3 +32,37 @@ def test_shared_shingles_make_rows_by_range_and_not_by_set(spark):
     assert 0 < len(rows) <= 16 * 16
     sets = {x for r in rows for x in memoryview(bytes(r["sets"])).cast("q")}
     assert len(sets) == 800 and len({r["bucket"] for r in rows}) > 8
+
+
+def test_classes_are_not_shuffled_into_one_task_each(spark):
+    """Shares, weights and means of few classes and places meet the rows without a shuffle by class or place."""
+    from parcelwise.operators import models
+
+    rows = spark.range(200).select(F.col("id").cast("string").alias("property_id"), F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("label"))
+    train, test = models.stratified_split(rows, "label", "property_id")
+    for df in (train, test, models.with_class_weights(rows, "label")):
+        plan = plan_of(df)
+        assert "SortMergeJoin" not in plan and "hashpartitioning(label" not in plan
+    assert train.count() + test.count() == 200
+
+
+def test_snapshot_files_do_not_grow_with_a_city(spark, sf, monkeypatch):
+    """A city of many orders has several files, and the result is that of one file for each city."""
+    from parcelwise.sources import readers
+
+    whole = sorted(listings.QUERIES["raw_snapshots"](spark, sf).collect())
+    files = []
+    monkeypatch.setattr(listings, "SPAN", 500, raising=False)
+    monkeypatch.setattr(readers, "write_array_snapshot", lambda texts, *where, write=readers.write_array_snapshot: files.append(texts.count()) or write(texts, *where))
+    assert sorted(listings.QUERIES["raw_snapshots"](spark, sf).collect()) == whole
+    assert min(files) > 30
+
+
+def test_landed_listings_are_worked_out_once(spark, sf, monkeypatch):
+    """Both landings of the stream come from one table, not from the joins of all tables again."""
+    from parcelwise.plans import streams
+
+    plans = []
+    monkeypatch.setattr(streams, "written", lambda df, write=streams.written: plans.append(plan_of(df)) or write(df))
+    streams.incremental(spark, sf)
+    assert len(plans) == 1 and "Join" in plans[0]
