@@ -45,3 +45,18 @@ def test_plain_words_are_no_patterns_in_the_plan_and_numbers_are_cast_once(spark
     assert plan(rows).count("try_cast(price") == 1
     words = market.weak_label(rows, [("title", "widget|cold", "A", 0.8), ("source_category", "rod", "B", 0.8)], "l", "c", ("U", 0.3))
     assert "RLIKE" not in plan(words) and "RLIKE" not in plan(cleaning.classify_by_keywords(rows, listings.KEYWORDS))
+
+
+def test_ads_are_parsed_twice_and_not_once_for_each_use(spark):
+    from parcelwise.sources import readers
+
+    whole = '"list_id":"%s","price":%s,"size":"2","list_time":1700000000'
+    texts = [None, "", "x", "[]", "{", "{}", "{" + whole % (1, '"3.5"') + "}", "{" + whole % (2, "1.50") + ',"rooms":null}', "{" + whole % (3, '"ask"') + "}", "{" + whole % (4, "7") + ',"subject":{"a":[1, 2]},"rooms":3}', "{" + whole % (5, "7"), '{"price":1}', "{" + whole % (6, "1") + ',"list_id":"7"}']
+    rows = spark.createDataFrame([(t,) for t in texts], "record string")
+    found, counted = readers.normalize_counted(rows)
+    kept = sorted(tuple(r) for r in found.collect())
+    assert [r[:2] + (r[4],) for r in kept] == [("1", "", 3.5), ("4", '{"a":[1,2]}', 7.0), ("7", "", 1.0)]
+    assert kept == sorted(tuple(r) for r in readers.normalize(rows).collect())
+    assert counted.get == {"records": 13, "no_ad": 6, "without_id": 2, "null_field": 1, "bad_number": 1, "kept": 3}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("jsonObjectKeys(") + plan.count("json_object_keys(") == 1 and "get_json_object" not in plan
