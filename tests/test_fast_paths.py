@@ -60,3 +60,11 @@ def test_ads_are_parsed_twice_and_not_once_for_each_use(spark):
     assert counted.get == {"records": 13, "no_ad": 6, "without_id": 2, "null_field": 1, "bad_number": 1, "kept": 3}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("jsonObjectKeys(") + plan.count("json_object_keys(") == 1 and "get_json_object" not in plan
+
+
+def test_both_sides_of_the_quarantine_come_from_one_reading(spark, sf):
+    """Mapped and unmapped rows are read from what was cleaned; nothing is joined and sorted for each of them again."""
+    from parcelwise.plans import listings
+
+    plan = listings.QUERIES["quarantine_reprocess"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "lineitem" not in plan
