@@ -68,3 +68,30 @@ def test_both_sides_of_the_quarantine_come_from_one_reading(spark, sf):
 
     plan = listings.QUERIES["quarantine_reprocess"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "lineitem" not in plan
+
+
+@pytest.mark.parametrize("name", ["gold_touched", "layer_inventory", "outliers_iqr"])
+def test_latest_listings_are_worked_out_once(spark, sf, name):
+    """The latest rows are ranked by the write only; the rest of the query reads them."""
+    from parcelwise.plans import listings
+
+    plan = listings.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "row_number()" not in plan
+
+
+def test_change_detection_writes_only_what_it_reads(spark, sf, monkeypatch):
+    from parcelwise.plans import listings
+
+    columns = []
+    monkeypatch.setattr(listings, "written", lambda df, write=listings.written: columns.append(df.columns) or write(df))
+    listings.QUERIES["cdc_changes"](spark, sf)
+    assert columns == [["property_id", "title", "city", "district", "price", "posted_at", "orderkey"]]
+
+
+def test_the_quantile_reads_written_prices(spark, sf, monkeypatch):
+    from parcelwise.plans import listings
+
+    columns = []
+    monkeypatch.setattr(listings, "written", lambda df, write=listings.written: columns.append(df.columns) or write(df))
+    listings.QUERIES["dim_price_segment_scd2"](spark, sf)
+    assert columns == [["price"]]
