@@ -66,3 +66,17 @@ def test_landed_listings_are_worked_out_once(spark, sf, monkeypatch):
     monkeypatch.setattr(streams, "written", lambda df, write=streams.written: plans.append(plan_of(df)) or write(df))
     streams.incremental(spark, sf)
     assert len(plans) == 1 and "Join" in plans[0]
+
+
+def test_rows_that_look_for_pairs_are_not_copied_to_every_cell(spark, sf, monkeypatch):
+    """A row is shuffled at most three times for each title it looks for, titles are compared once and not for each pair of rows, all
+    reads what was written, and a title of many rows is compared part by part with the same result."""
+    from parcelwise.operators import cleaning
+
+    pairs = listings.QUERIES["resolve_entities"](spark, sf)
+    plan = plan_of(pairs)
+    assert "explode([[" not in plan and "row_number() windowspecdefinition(orderkey" not in plan and "lineitem" not in plan
+    assert not any("levenshtein" in line and "score" in line for line in plan.splitlines())
+    whole = sorted(pairs.collect())
+    monkeypatch.setattr(cleaning, "HELD", 3, raising=False)
+    assert sorted(listings.QUERIES["resolve_entities"](spark, sf).collect()) == whole and len(whole) > 100
