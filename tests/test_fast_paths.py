@@ -95,3 +95,27 @@ def test_the_quantile_reads_written_prices(spark, sf, monkeypatch):
     monkeypatch.setattr(listings, "written", lambda df, write=listings.written: columns.append(df.columns) or write(df))
     listings.QUERIES["dim_price_segment_scd2"](spark, sf)
     assert columns == [["price"]]
+
+
+def test_keys_of_an_ad_are_parsed_only_where_a_field_is_missing(spark):
+    """Whole ads are parsed once; where a field is null, the keys say whether it was given as null or not at all."""
+    import re
+
+    from parcelwise.sources import readers
+
+    whole = '"list_id":"9","subject":"s","region_name":"r","area_name":"a","price":"1","list_time":"1","size":"2","rooms":"3","category_name":"c"'
+    texts = ["{" + whole + "}", "{" + whole + "} x", "{" + whole.replace('"subject":"s",', "") + "}", "{" + whole.replace('"s"', "null") + "}", "{" + whole, "[{" + whole + "}]", None]
+    found, counted = readers.normalize_counted(spark.createDataFrame([(t,) for t in texts], "record string"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"CASE WHEN [^\n]*isnull\([^\n]* THEN [^\n]*(jsonObjectKeys|json_object_keys)\(", plan)
+    assert sorted(r["title"] for r in found.collect()) == ["", "s", "s"]
+    assert counted.get == {"records": 7, "no_ad": 3, "without_id": 0, "null_field": 1, "bad_number": 0, "kept": 3}
+
+
+def test_a_committed_batch_is_not_read_again(spark, sf, monkeypatch):
+    from parcelwise.plans import streams
+
+    read = []
+    monkeypatch.setattr(streams.readers, "normalize_counted", lambda *a, read_=streams.readers.normalize_counted: read.append(a) or read_(*a))
+    streams.layers(spark, sf)
+    assert len(read) == 2
