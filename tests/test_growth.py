@@ -80,3 +80,35 @@ def test_rows_that_look_for_pairs_are_not_copied_to_every_cell(spark, sf, monkey
     whole = sorted(pairs.collect())
     monkeypatch.setattr(cleaning, "HELD", 3, raising=False)
     assert sorted(listings.QUERIES["resolve_entities"](spark, sf).collect()) == whole and len(whole) > 100
+
+
+def test_latest_rows_carry_only_what_decides_the_columns_asked_for(spark, sf, tmp_path):
+    """Ids with several rows of one time and prices and areas of all kinds: the columns asked for are those of the whole rows. Where only
+    texts are asked for, prices and areas stay with the line items and no place is standardised."""
+    import os
+
+    for name in ("region", "nation", "customer", "part", "orders"):
+        os.symlink(f"{sf}/{name}.parquet", tmp_path / f"{name}.parquet")
+    items = spark.read.parquet(f"{sf}/lineitem.parquet").filter("l_orderkey < 600")
+    again = lambda i, price, area: items.withColumns({"l_partkey": (F.col("l_partkey") + i) % 150 + 1, "l_extendedprice": F.expr(price), "l_quantity": F.expr(area)})
+    items.union(again(7, "l_extendedprice + 1", "0.0")).union(again(11, "-1.0", "l_quantity")).union(again(20, "l_extendedprice", "l_quantity")).union(again(31, "double('NaN')", "cast(null as double)")).union(again(44, "0.0", "l_quantity")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    whole = listings.latest(spark, str(tmp_path)).cache()
+    assert whole.count() > 1000
+    for columns in (["title"], ["title", "source_category", "orderkey"], ["city", "price"], ["district"], ["title", "area_sqm"], ["posted_at", "price"], ["property_id", "bedrooms"]):
+        found = listings.latest(spark, str(tmp_path), *columns).select(*columns)
+        assert sorted(map(str, found.collect())) == sorted(map(str, whole.select(*columns).collect())), columns
+    plan = plan_of(listings.QUERIES["classify_hybrid"](spark, sf))
+    assert "_alias" not in plan and not [x for x in plan.splitlines() if ("Exchange" in x or "Sort" in x) and "price" in x]
+    exchanged = listings.latest(spark, sf, "title", "source_category")._jdf.queryExecution().optimizedPlan().toString()
+    assert [x for x in exchanged.splitlines() if "Filter" in x and "l_extendedprice" in x] and "_standard" not in exchanged
+
+
+def test_only_valid_rows_are_those_without_a_reason(spark):
+    from parcelwise.operators import cleaning
+
+    texts = [None, "", "  ", "x", "0", "1", "-1", " 2 ", "1.5", "NaN", "Infinity", "-Infinity", "1e400", "99999999999"]
+    rows = spark.createDataFrame([(a,) for a in texts], "a string")
+    rows = rows.select(F.col("a").alias("price")).crossJoin(rows.select(F.col("a").alias("area_sqm"))).crossJoin(rows.select(F.col("a").alias("bedrooms")))
+    rows = rows.withColumns({"property_id": F.lit("1"), "city": F.when(F.col("price") == "1", " ").otherwise("c"), "district": F.lit("d"), "posted_at": F.when(F.col("price") != "1.5", "t")})
+    kept = sorted(map(str, cleaning.only_valid(rows).collect()))
+    assert kept == sorted(map(str, cleaning.validate(rows)[0].select(*rows.columns).collect())) and len(kept) > 20
