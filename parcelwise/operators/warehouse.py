@@ -175,20 +175,27 @@ def stable_key(*columns: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns]).cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def fact_listing(silver: DataFrame, location: DataFrame, property_type: DataFrame, price: DataFrame, area: DataFrame, now: Column) -> DataFrame:
+#: Silver columns that dimensions are looked up by, and those that the other columns of the facts come from.
+FACT_MEMBERS = ("city", "district", "property_type", "price_segment", "area_segment")
+FACT_SOURCES = {"listing_key": "property_id", "posted_time_key": "posted_at", "ingested_time_key": "ingested_at", "price_vnd": "price"} | {c: c for c in ("property_id", "title", "price_billion_vnd", "area_sqm", "price_per_sqm", "bedrooms", "listing_age_days")}
+
+
+def fact_listing(silver: DataFrame, location: DataFrame, property_type: DataFrame, price: DataFrame, area: DataFrame, now: Column, columns: tuple[str, ...] = ()) -> DataFrame:
     """One row for each listing, with the keys of all its dimensions. The row's own key is a hash of its natural key:
-    it needs no numbering of all facts and is the same on every run."""
-    facts = silver.withColumns({"posted_time_key": F.coalesce(date_key(timestamp_of(F.col("posted_at"))), F.lit(UNKNOWN_DATE)), "ingested_time_key": F.coalesce(date_key(timestamp_of(F.col("ingested_at"))), F.lit(UNKNOWN_DATE))})
-    facts = with_key(facts, location, {"city": "city", "district": "district"}, "location_key")
+    it needs no numbering of all facts and is the same on every run. With ``columns`` only these are made, and Silver need not have
+    what the others come from (FACT_SOURCES)."""
+    time_key = lambda c: F.coalesce(date_key(timestamp_of(F.col(c))), F.lit(UNKNOWN_DATE)).cast("int")
+    facts = with_key(silver, location, {"city": "city", "district": "district"}, "location_key")
     facts = with_key(facts, property_type, {"property_type": "property_type_name"}, "property_type_key")
     facts = with_key(facts, price, {"price_segment": "segment_name"}, "price_segment_key")
     facts = with_key(facts, area, {"area_segment": "segment_name"}, "area_segment_key")
     money = lambda c, t: F.col(c).try_cast(t)
-    return facts.select(
-        stable_key("property_id").alias("listing_key"), "property_id", *[F.col(c).cast("int") for c in ("location_key", "property_type_key", "price_segment_key", "area_segment_key", "posted_time_key", "ingested_time_key")],
-        "title", money("price", "decimal(15,2)").alias("price_vnd"), money("price_billion_vnd", "decimal(8,3)").alias("price_billion_vnd"), money("area_sqm", "decimal(8,2)").alias("area_sqm"),
-        money("price_per_sqm", "decimal(15,2)").alias("price_per_sqm"), money("bedrooms", "smallint").alias("bedrooms"), F.col("listing_age_days").cast("int"), now.alias("created_at"), now.alias("updated_at"),
-    )
+    made = {
+        "listing_key": stable_key("property_id"), "property_id": F.col("property_id"), **{c: F.col(c).cast("int") for c in ("location_key", "property_type_key", "price_segment_key", "area_segment_key")},
+        "posted_time_key": time_key("posted_at"), "ingested_time_key": time_key("ingested_at"), "title": F.col("title"), "price_vnd": money("price", "decimal(15,2)"), "price_billion_vnd": money("price_billion_vnd", "decimal(8,3)"),
+        "area_sqm": money("area_sqm", "decimal(8,2)"), "price_per_sqm": money("price_per_sqm", "decimal(15,2)"), "bedrooms": money("bedrooms", "smallint"), "listing_age_days": F.col("listing_age_days").cast("int"), "created_at": now, "updated_at": now,
+    }
+    return facts.select(*[made[c].alias(c) for c in columns or made])
 
 
 def fact_market_snapshot(gold: DataFrame, location: DataFrame) -> DataFrame:

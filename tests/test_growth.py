@@ -112,3 +112,46 @@ def test_only_valid_rows_are_those_without_a_reason(spark):
     rows = rows.withColumns({"property_id": F.lit("1"), "city": F.when(F.col("price") == "1", " ").otherwise("c"), "district": F.lit("d"), "posted_at": F.when(F.col("price") != "1.5", "t")})
     kept = sorted(map(str, cleaning.only_valid(rows).collect()))
     assert kept == sorted(map(str, cleaning.validate(rows)[0].select(*rows.columns).collect())) and len(kept) > 20
+
+
+def test_merged_facts_write_what_they_need_and_once(spark, sf, monkeypatch):
+    """Silver holds what the facts and dimensions come from, and facts that are new to the table are not written before they are written."""
+    from parcelwise.sources import store
+
+    columns = []
+    for module in (listings, store):
+        monkeypatch.setattr(module, "written", lambda df, write=store.written: columns.append(set(df.columns)) or write(df))
+    listings.QUERIES["facts_merged"](spark, sf)
+    assert columns[0] == {"city", "district", "property_type", "price_segment", "area_segment", "mapping_source", "property_id", "price"}
+    assert len(columns) == 2 and "price_short" in columns[1]
+
+
+def test_a_merge_that_keeps_columns_is_one_join(spark):
+    """Null and repeated keys, columns that one side lacks: the rows are those of two joins."""
+    from parcelwise.sources import store
+
+    old = spark.createDataFrame([(1, "a", 10, 0.5), (2, "b", None, 1.5), (None, "c", 30, None), (3, None, 40, 2.5), (3, "e", 50, 3.5)], "id int, v string, made int, gone double")
+    new = spark.createDataFrame([("x", 9, 2, 7), ("y", 8, None, 7), (None, 7, 3, 7), ("z", None, 4, 7), ("w", 5, 4, 8)], "v string, made long, id int, extra int")
+    for null_safe in (False, True):
+        same = lambda a, b, n=null_safe: a.eqNullSafe(b) if n else a == b
+        was = old.select(F.col("id").alias("_id"), F.col("made").alias("_made"), F.lit(True).alias("_old"))
+        took = new.join(was, same(new["id"], was["_id"]), "left").withColumn("made", F.when(F.col("_old"), F.col("_made")).otherwise(F.col("made"))).drop(*was.columns)
+        want = old.join(took, same(old["id"], took["id"]), "left_anti").unionByName(took, allowMissingColumns=True)
+        found = store.merge_upsert(old, new, ["id"], keep=["made"], null_safe=null_safe)
+        assert found.columns == want.columns and [f.dataType for f in found.schema] == [f.dataType for f in want.schema]
+        assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_repeated_keys_make_no_new_table(spark, tmp_path):
+    import pytest
+
+    from parcelwise.sources.store import TableStore
+
+    tables = TableStore(spark, str(tmp_path), buckets=4)
+    row = lambda *ids: spark.createDataFrame([(i, "v") for i in ids], "id int, v string")
+    with pytest.raises(ValueError):
+        tables.upsert("t", row(1, 2, 3, 4, 5, 5), ["id"])
+    assert not tables.exists("t")
+    tables.upsert("t", row(7, 8, None), ["id"])
+    assert sorted(map(str, tables.read("t").collect())) == sorted(map(str, row(7, 8, None).collect()))
